@@ -49,7 +49,8 @@ CSV_OPTIONS = {
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All columns as strings. Text with line breaks needs ``multi_line``; such files cannot be
     split, so a large table should come as many files."""
-    return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
+    # An empty field is null, a quoted empty one is an empty text.
+    return spark.read.options(**CSV_OPTIONS, nullValue="\\N", multiLine=multi_line).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
