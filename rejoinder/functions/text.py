@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once, however often the body and later filters use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Remove white space (not only blanks) at both ends."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")
@@ -45,8 +52,7 @@ def _ngrams(words: Column, size: int, longer_than: int) -> Column:
 def phrases(text: Column) -> Column:
     """Two-word phrases longer than 5 characters, then three-word ones longer than 8,
     each with at least one word that is no stop word."""
-    words = tokens(text)
-    return F.concat(_ngrams(words, 2, 5), _ngrams(words, 3, 8))
+    return let(tokens(text), lambda words: F.concat(_ngrams(words, 2, 5), _ngrams(words, 3, 8)))
 
 
 def sentences(text: Column) -> Column:

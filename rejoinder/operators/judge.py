@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
-from rejoinder.functions.text import strip
+from rejoinder.functions.text import let, strip
 
 NUMBER = r"(\d+(?:\.\d+)?)"
 PAIR_SCORES = [
@@ -27,11 +26,6 @@ def _labelled(label: str) -> str:
     return rf"(?i){label}(?:\*\*)?\s*:?\s*{NUMBER}"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value computed once, however often the body and later filters use it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _mean3(a: Column, b: Column, c: Column) -> Column:
     return (a + b + c) / F.lit(3.0)
 

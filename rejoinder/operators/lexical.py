@@ -20,6 +20,9 @@ from rejoinder.operators.knowledge_base import layer
 # Characters of terms one broadcast may hold; more terms are matched block by block.
 TERM_BLOCK_CHARS = 2_000_000
 
+# (text, term) hits scored together inside a task.
+HITS_AT_ONCE = 100_000
+
 MATCH_SCHEMA = "query_id bigint, id {id_type}, layer int, score bigint, qualifies boolean"
 
 
@@ -86,50 +89,87 @@ def _matcher(name: str, shared) -> tuple:
     return _matchers[name]
 
 
-def _score_texts(name: str, shared):
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        automaton, starts, ids, query, weight, qualifying = _matcher(name, shared)
+def _scored(batch: pd.DataFrame, text: list[int], term: list[int], block: tuple) -> pd.DataFrame:
+    """Weights of the (text, term) hits added up per (text, query)."""
+    _, starts, ids, query, weight, qualifying = block
+    row, hit = np.array(text), np.array(term)
+    many = starts[hit + 1] - starts[hit]
+    first = np.repeat(starts[hit] - np.r_[0, np.cumsum(many)[:-1]], many)
+    use = first + np.arange(many.sum())
+    pair, slot = np.unique(np.repeat(row, many) * len(ids) + query[use], return_inverse=True)
+    row, asked = np.divmod(pair, len(ids))
+    return pd.DataFrame(
+        {
+            "query_id": ids[asked],
+            "id": batch["id"].to_numpy()[row],
+            "layer": batch["layer"].to_numpy()[row],
+            "score": np.bincount(slot, weights=weight[use]).astype(np.int64),
+            "qualifies": np.bincount(slot, weights=qualifying[use]) > 0,
+        }
+    )
+
+
+def _score_texts(name: str, shared, keep: int | None):
+    """Scores of one partition's texts; with ``keep`` the best per query and layer only."""
+
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = _matcher(name, shared)
         for batch in batches:
-            found: list[tuple] = []
-            for key, place, text in zip(batch["id"], batch["layer"], batch["text"]):
-                hits = {position for _, position in automaton.iter(text)}
-                if not hits:
-                    continue
-                rows = np.concatenate([np.arange(starts[h], starts[h + 1]) for h in hits])
-                matched, slot = np.unique(query[rows], return_inverse=True)
-                total = np.bincount(slot, weights=weight[rows]).astype(np.int64)
-                qualifies = np.bincount(slot, weights=qualifying[rows]) > 0
-                n = len(matched)
-                found.append((ids[matched], np.full(n, key), np.full(n, place), total, qualifies))
-            if found:
-                columns = [np.concatenate(parts) for parts in zip(*found)]
-                yield pd.DataFrame(dict(zip(["query_id", "id", "layer", "score", "qualifies"], columns)))
-
-    return score
-
-
-def match_terms(texts: DataFrame, terms: DataFrame, block_chars: int = TERM_BLOCK_CHARS) -> DataFrame:
+            text: list[int] = []
+            term: list[int] = []
+            for row, content in enumerate(batch["text"]):
+                hits = {position for _, position in block[0].iter(content)}
+                text.extend([row] * len(hits))
+                term.extend(hits)
+                if len(term) > HITS_AT_ONCE:
+                    yield _scored(batch, text, term, block)
+                    text, term = [], []
+            if term:
+                yield _scored(batch, text, term, block)
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for scored in scores(batches):
+            rows = scored[scored["qualifies"]]
+            rows = rows if kept is None else pd.concat([kept, rows])
+            rows = rows.sort_values(["query_id", "layer", "score", "id"], ascending=[True, True, False, True])
+            kept = rows[rows.groupby(["query_id", "layer"]).cumcount() < keep]
+        if kept is not None:
+            yield kept
+
+    return scores if keep is None else best
+
+
+def match_terms(
+    texts: DataFrame, terms: DataFrame, keep: int | None = None,
+    chars: int | None = None, block_chars: int = TERM_BLOCK_CHARS,
+) -> DataFrame:
     """Score of every (query, text) with at least one qualifying term contained in the text.
 
     ``texts`` has ``id, layer, text`` (lower case). One pass over the texts finds all terms of
     a block at once, so the work grows with the text, not with text times terms, and nothing
-    but matches leaves the task. The terms are counted first: up to ``block_chars`` they are
-    one broadcast; beyond it they are cut by hash into blocks of that size, each matched in
-    its own pass, and the partial scores are added up.
+    but matches leaves the task; with ``keep`` only those leave it that can be among the
+    ``keep`` best of a query and layer. ``chars`` is an upper bound of the terms' length; where
+    it does not settle the matter the terms are counted. Up to ``block_chars`` they are one
+    broadcast; beyond it they are cut by hash into blocks of that size, each matched in its
+    own pass, and the partial scores are added up.
     """
     spark = texts.sparkSession
-    size = terms.agg(F.coalesce(F.sum(F.length("term")), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(size / block_chars))
+    blocks = 1
+    if chars is None or chars > block_chars:
+        size = terms.agg(F.coalesce(F.sum(F.length("term")), F.lit(0))).first()[0]
+        blocks = max(1, math.ceil(size / block_chars))
     if blocks > 1:
         blocks = 2 * blocks  # hashed blocks differ in size; halve the mean to stay below the bound
         terms = terms.withColumn("_block", F.pmod(F.xxhash64("query_id", "term"), F.lit(blocks)))
+        keep = None  # a block knows a part of each score only
     narrow = texts.select("id", "layer", "text")
     schema = MATCH_SCHEMA.format(id_type=narrow.schema["id"].dataType.simpleString())
     passes = []
     for block in range(blocks):
         part = terms.filter(F.col("_block") == block) if blocks > 1 else terms
         shared = spark.sparkContext.broadcast(part.select("query_id", "term", "weight", "qualifies").toPandas())
-        passes.append(narrow.mapInPandas(_score_texts(uuid.uuid4().hex, shared), schema))
+        passes.append(narrow.mapInPandas(_score_texts(uuid.uuid4().hex, shared, keep), schema))
     matched = passes[0]
     for more in passes[1:]:
         matched = matched.unionAll(more)
@@ -140,6 +180,12 @@ def match_terms(texts: DataFrame, terms: DataFrame, block_chars: int = TERM_BLOC
     return matched.filter("qualifies").drop("qualifies")
 
 
+def _most_chars(queries: DataFrame) -> int:
+    """Upper bound of the length of all terms: a word is in one keyword, two two-word and
+    three three-word phrases and the whole query; lower case may lengthen a letter."""
+    return 14 * queries.agg(F.coalesce(F.sum(F.length("query")), F.lit(0))).first()[0]
+
+
 def lowered(paragraphs: DataFrame) -> DataFrame:
     return paragraphs.select("id", layer().alias("layer"), F.lower("content").alias("text")).filter(
         F.col("text").isNotNull()
@@ -147,11 +193,11 @@ def lowered(paragraphs: DataFrame) -> DataFrame:
 
 
 def score_v1(queries: DataFrame, paragraphs: DataFrame, **options) -> DataFrame:
-    return match_terms(lowered(paragraphs), terms_v1(queries), **options)
+    return match_terms(lowered(paragraphs), terms_v1(queries), chars=_most_chars(queries), **options)
 
 
 def score_v2(queries: DataFrame, paragraphs: DataFrame, **options) -> DataFrame:
-    return match_terms(lowered(paragraphs), terms_v2(queries), **options)
+    return match_terms(lowered(paragraphs), terms_v2(queries), chars=_most_chars(queries), **options)
 
 
 def best_first() -> list:
@@ -161,7 +207,7 @@ def best_first() -> list:
 def single_layer_hits(queries: DataFrame, paragraphs: DataFrame, k: int = fixed.RESULTS_PER_LAYER) -> DataFrame:
     """First version, texts that are not synthetic."""
     first = paragraphs.filter(~F.coalesce(F.col("is_synthetic"), F.lit(False)))
-    return top_per(score_v1(queries, first), ["query_id"], best_first(), k)
+    return top_per(score_v1(queries, first, keep=k), ["query_id"], best_first(), k)
 
 
 def _layered(hits: DataFrame, k: int) -> DataFrame:
@@ -172,8 +218,8 @@ def _layered(hits: DataFrame, k: int) -> DataFrame:
 
 
 def two_layer_hits(queries: DataFrame, paragraphs: DataFrame, k: int = fixed.RESULTS_PER_LAYER) -> DataFrame:
-    return _layered(score_v1(queries, paragraphs), k)
+    return _layered(score_v1(queries, paragraphs, keep=k), k)
 
 
 def phrase_hits(queries: DataFrame, paragraphs: DataFrame, k: int = fixed.RESULTS_PER_LAYER) -> DataFrame:
-    return _layered(score_v2(queries, paragraphs), k)
+    return _layered(score_v2(queries, paragraphs, keep=k), k)

@@ -39,25 +39,26 @@ def merge_hits(first: DataFrame, second: DataFrame, k: int) -> DataFrame:
 
 
 def hybrid_hits(
-    queries: DataFrame, kb: KnowledgeBase, k: int = fixed.RESULTS_PER_LAYER, order_by: str = "similarity"
+    queries: DataFrame, kb: KnowledgeBase, k: int = fixed.RESULTS_PER_LAYER, order_by: str = "similarity",
+    asked: int | None = None,
 ) -> DataFrame:
-    near = semantic.semantic_hits(queries, kb.sentences, kb.paragraphs, k, order_by=order_by)
+    near = semantic.semantic_hits(queries, kb.sentences, kb.paragraphs, k, order_by=order_by, asked=asked)
     worded = lexical.phrase_hits(queries, kb.paragraphs, k).withColumnRenamed("score", "relevance_score")
     return merge_hits(near.drop("quality_score"), worded, k)
 
 
 def search(
     queries: DataFrame, kb: KnowledgeBase, method: str = "semantic",
-    k: int = fixed.RESULTS_PER_LAYER, order_by: str = "similarity",
+    k: int = fixed.RESULTS_PER_LAYER, order_by: str = "similarity", asked: int | None = None,
 ) -> DataFrame:
     """Ranked hits ``query_id, id, layer, rank`` with a similarity or relevance score."""
     if method == "syntax":
         return lexical.phrase_hits(queries, kb.paragraphs, k).withColumnRenamed("score", "relevance_score")
     if method == "semantic":
-        found = semantic.semantic_hits(queries, kb.sentences, kb.paragraphs, k, order_by=order_by)
+        found = semantic.semantic_hits(queries, kb.sentences, kb.paragraphs, k, order_by=order_by, asked=asked)
         return found.drop("quality_score")
     if method == "hybrid":
-        return hybrid_hits(queries, kb, k, order_by)
+        return hybrid_hits(queries, kb, k, order_by, asked)
     raise ValueError(f"method must be one of {METHODS}")
 
 
@@ -131,6 +132,7 @@ def retrieve_context(
     The hits (at most ``2k`` per query) and the finished rows are written to the shared
     folder: several steps read them, and none of these should repeat the search.
     """
-    rows = queries.count() * 2 * k
-    hits = written(search(queries, kb, method, k, order_by), "hits")
+    asked = queries.count()
+    rows = asked * 2 * k
+    hits = written(search(queries, kb, method, k, order_by, asked), "hits")
     return written(counter_context(fill_counters(attach_details(hits, kb, rows), kb.counters, rows)), "context")

@@ -13,37 +13,46 @@ TURN_BLOCK = 65_536
 TRANSCRIPT_PART = 10_000
 
 
-def extract_pairs(messages: DataFrame, key: str = "conv_id", turn_block: int = TURN_BLOCK) -> DataFrame:
+def extract_pairs(messages: DataFrame, key: str = "conv_id", turn_block: int | None = TURN_BLOCK) -> DataFrame:
     """Pair each opponent message with the proponent message right before it.
 
     ``messages`` has ``key, turn, role, content``. Other roles are skipped; the pair needs
-    a non-empty proponent message as the previous kept one. A transcript is windowed in
-    blocks of ``turn_block`` turns, so a transcript holding much of the table is spread over
-    many tasks; the last message of a block reaches the next block through a table with one
-    row per block, which is empty unless some transcript is longer than a block.
+    a non-empty proponent message as the previous kept one. The turn column is looked at
+    first: if some transcript reaches beyond ``turn_block`` turns, transcripts are windowed in
+    blocks of that many turns, so that one holding much of the table is spread over many
+    tasks. ``None`` skips this for transcripts known to be short.
     """
-    kept = messages.filter(F.col("role").isin("proponent", "opponent")).select(
-        key, "turn", "role", "content", F.floor(F.col("turn") / turn_block).alias("_block")
-    )
+    kept = messages.filter(F.col("role").isin("proponent", "opponent")).select(key, "turn", "role", "content")
+    last_turn = None if turn_block is None else messages.agg(F.max("turn")).first()[0]
+    if last_turn is not None and last_turn >= turn_block:
+        seen = _with_previous_in_blocks(kept, key, turn_block)
+    else:
+        one = Window.partitionBy(key).orderBy("turn")
+        seen = kept.withColumn("_before", F.lag(F.struct("role", "content")).over(one))
+    before = F.col("_before")
+    return seen.filter(
+        (F.col("role") == "opponent") & (before["role"] == "proponent") & (before["content"] != "")
+    ).select(key, "turn", before["content"].alias("proponent"), F.col("content").alias("opponent"))
+
+
+def _with_previous_in_blocks(kept: DataFrame, key: str, turn_block: int) -> DataFrame:
+    """Previous message per row, windowed by (transcript, block of turns).
+
+    The last message of a block reaches the next one through a table with one row per block
+    of the long transcripts.
+    """
+    blocked = kept.withColumn("_block", F.floor(F.col("turn") / turn_block))
     in_block = Window.partitionBy(key, "_block").orderBy("turn")
-    seen = kept.withColumn("_before", F.lag(F.struct("role", "content")).over(in_block))
-
-    long_ones = kept.filter(F.col("_block") > 0).select(key).distinct()
+    seen = blocked.withColumn("_inside", F.lag(F.struct("role", "content")).over(in_block))
+    long_ones = blocked.filter(F.col("_block") > 0).select(key).distinct()
     block_ends = (
-        kept.join(long_ones, key, "left_semi")
+        blocked.join(long_ones, key, "left_semi")
         .groupBy(key, "_block")
         .agg(F.max_by(F.struct("role", "content"), "turn").alias("_end"))
     )
     over_blocks = Window.partitionBy(key).orderBy("_block")
     carried = block_ends.select(key, "_block", F.lag("_end").over(over_blocks).alias("_carried"))
-
-    before = F.coalesce(F.col("_before"), F.col("_carried"))
-    return (
-        seen.filter(F.col("role") == "opponent")
-        .join(carried, [key, "_block"], "left")
-        .filter((before["role"] == "proponent") & (before["content"] != ""))
-        .select(key, "turn", before["content"].alias("proponent"), F.col("content").alias("opponent"))
-    )
+    return seen.join(carried, [key, "_block"], "left").withColumn("_before", F.coalesce("_inside", "_carried"))
 
 
 def debate_messages(debates: DataFrame, key: str = "debate_id") -> DataFrame:
@@ -70,7 +79,9 @@ def debate_pairs(debates: DataFrame, key: str = "debate_id") -> DataFrame:
         F.col("content.opponent").alias("opponent"),
     )
     messages = debate_messages(debates.filter(~ready), key)
-    paired = extract_pairs(messages.select(F.struct(key, "source").alias("_id"), "turn", "role", "content"), "_id")
+    # Messages of one debate come from one row, so they fit a task.
+    named = messages.select(F.struct(key, "source").alias("_id"), "turn", "role", "content")
+    paired = extract_pairs(named, "_id", turn_block=None)
     walked = paired.select(f"_id.{key}", "_id.source", "turn", "proponent", "opponent")
     return given.unionByName(walked)
 

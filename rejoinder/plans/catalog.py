@@ -611,17 +611,17 @@ def _(i):
 
 @query("lexical_match")
 def _(i):
-    return lexical.score_v2(i.text_queries(), i.paragraphs()).select("query_id", "id")
+    return lexical.score_v2(i.text_queries(), i.paragraphs(spread=True)).select("query_id", "id")
 
 
 @query("lexical_score_v1")
 def _(i):
-    return lexical.score_v1(i.text_queries(), i.paragraphs()).select("query_id", "id", "score")
+    return lexical.score_v1(i.text_queries(), i.paragraphs(spread=True)).select("query_id", "id", "score")
 
 
 @query("lexical_score_v2")
 def _(i):
-    return lexical.score_v2(i.text_queries(), i.paragraphs()).select("query_id", "id", "score")
+    return lexical.score_v2(i.text_queries(), i.paragraphs(spread=True)).select("query_id", "id", "score")
 
 
 def _results(i: Inputs, hits: DataFrame, score: str) -> DataFrame:
@@ -634,19 +634,19 @@ def _results(i: Inputs, hits: DataFrame, score: str) -> DataFrame:
 
 @query("search_lexical_single")
 def _(i):
-    hits = lexical.single_layer_hits(i.text_queries(), i.paragraphs()).withColumnRenamed("score", "relevance_score")
+    hits = lexical.single_layer_hits(i.text_queries(), i.paragraphs(spread=True)).withColumnRenamed("score", "relevance_score")
     return _results(i, hits, "relevance_score").drop("layer")
 
 
 @query("search_lexical_two_layer")
 def _(i):
-    hits = lexical.two_layer_hits(i.text_queries(), i.paragraphs()).withColumnRenamed("score", "relevance_score")
+    hits = lexical.two_layer_hits(i.text_queries(), i.paragraphs(spread=True)).withColumnRenamed("score", "relevance_score")
     return _results(i, hits, "relevance_score")
 
 
 @query("search_lexical_v2")
 def _(i):
-    return _results(i, retrieval.search(i.text_queries(), i.kb(), "syntax"), "relevance_score")
+    return _results(i, retrieval.search(i.text_queries(), i.kb(spread=True), "syntax"), "relevance_score")
 
 
 @query("expand_topic_counter")
@@ -656,8 +656,8 @@ def _(i):
 
 @query("dedupe_by_id")
 def _(i):
-    first = lexical.phrase_hits(i.text_queries(), i.paragraphs())
-    second = lexical.two_layer_hits(i.text_queries(), i.paragraphs())
+    first = lexical.phrase_hits(i.text_queries(), i.paragraphs(spread=True))
+    second = lexical.two_layer_hits(i.text_queries(), i.paragraphs(spread=True))
     listed = first.unionByName(second.withColumn("rank", F.col("rank") + 2 * fixed.RESULTS_PER_LAYER))
     return retrieval.dedupe_by_id(listed)
 
@@ -706,13 +706,13 @@ def _(i):
 
 @query("search_hybrid")
 def _(i):
-    found = _results(i, retrieval.search(i.queries(), i.kb(), "hybrid"), "similarity_score")
+    found = _results(i, retrieval.search(i.queries(), i.kb(spread=True), "hybrid"), "similarity_score")
     return found
 
 
 @query("fill_counter_by_topic")
 def _(i):
-    hits = written(retrieval.search(i.queries(), i.kb(), "hybrid"), "hits")
+    hits = written(retrieval.search(i.queries(), i.kb(spread=True), "hybrid"), "hits")
     filled = retrieval.fill_counters(retrieval.attach_details(hits, i.kb()), i.counters())
     return filled.select(
         "query_id", "rank", "layer", "id", "topic", "counter_id", "counter_content",
@@ -722,7 +722,7 @@ def _(i):
 
 @query("counter_context")
 def _(i):
-    return retrieval.retrieve_context(i.queries(), i.kb(), "hybrid")
+    return retrieval.retrieve_context(i.queries(), i.kb(spread=True), "hybrid")
 
 
 # --- assessment ----------------------------------------------------------------------
@@ -758,7 +758,7 @@ def _(i):
 
 @query("mitigation_level")
 def _(i):
-    return assess_queries(i.queries(), i.kb(), "hybrid").select("query_id", "mitigation_level")
+    return assess_queries(i.queries(), i.kb(spread=True), "hybrid").select("query_id", "mitigation_level")
 
 
 @query("mitigation_summary")
@@ -780,12 +780,12 @@ def _(i):
 
 @query("assess_queries_syntax")
 def _(i):
-    return assess_queries(i.queries(), i.kb(), "syntax")
+    return assess_queries(i.queries(), i.kb(spread=True), "syntax")
 
 
 @query("assess_queries_hybrid")
 def _(i):
-    return assess_queries(i.queries(), i.kb(), "hybrid")
+    return assess_queries(i.queries(), i.kb(spread=True), "hybrid")
 
 
 @query("context_mild")

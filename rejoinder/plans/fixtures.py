@@ -28,6 +28,13 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
+    def spread_table(self, name: str) -> DataFrame:
+        """A table for heavy work per row: if its scan gives fewer tasks than there are cores
+        (one small file), its rows are spread first. A large table is read as it lies."""
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     # transcripts
 
     def messages(self) -> DataFrame:
@@ -197,11 +204,12 @@ class Inputs:
 
     # knowledge base
 
-    def paragraphs(self) -> DataFrame:
+    def paragraphs(self, spread: bool = False) -> DataFrame:
         doc = F.col("doc_id")
         fifth = F.floor(doc / 20) % 5
         quality = F.lit(5.0) + doc % 11 * 0.5
-        return self.table("documents").select(
+        table = self.spread_table("documents") if spread else self.table("documents")
+        return table.select(
             doc.alias("id"),
             F.col("text").alias("content"),
             _topic().alias("topic"),
@@ -242,8 +250,8 @@ class Inputs:
     def topics(self) -> DataFrame:
         return kb_ops.build_topics(self.paragraphs())
 
-    def kb(self) -> KnowledgeBase:
-        return KnowledgeBase(self.topics(), self.paragraphs(), self.sentences(), self.counters())
+    def kb(self, spread: bool = False) -> KnowledgeBase:
+        return KnowledgeBase(self.topics(), self.paragraphs(spread), self.sentences(), self.counters())
 
     def edges(self) -> dict[str, DataFrame]:
         kb = self.kb()
