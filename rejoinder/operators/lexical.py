@@ -168,8 +168,13 @@ def match_terms(
     passes = []
     for block in range(blocks):
         part = terms.filter(F.col("_block") == block) if blocks > 1 else terms
-        shared = spark.sparkContext.broadcast(part.select("query_id", "term", "weight", "qualifies").toPandas())
+        rows = part.select("query_id", "term", "weight", "qualifies").toPandas()
+        if rows.empty:
+            continue
+        shared = spark.sparkContext.broadcast(rows)
         passes.append(narrow.mapInPandas(_score_texts(uuid.uuid4().hex, shared, keep), schema))
+    if not passes:
+        return spark.createDataFrame([], schema).drop("qualifies")
     matched = passes[0]
     for more in passes[1:]:
         matched = matched.unionAll(more)

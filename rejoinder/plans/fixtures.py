@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rejoinder.functions import fixed_values as fixed
 from rejoinder.operators import knowledge_base as kb_ops
@@ -22,11 +23,16 @@ PARAGRAPH_STEP = 7
 class Inputs:
     """Lazy views over one directory of tables."""
 
+    _schemas: dict[str, T.StructType] = {}  # by file, so that a footer is read once per process
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        file = f"{self.path}/{name}.parquet"
+        if file not in self._schemas:
+            self._schemas[file] = self.spark.read.parquet(file).schema
+        return self.spark.read.schema(self._schemas[file]).parquet(file)
 
     def spread_table(self, name: str) -> DataFrame:
         """A table for heavy work per row: if its scan gives fewer tasks than there are cores
