@@ -23,7 +23,7 @@ TERM_BLOCK_CHARS = 2_000_000
 # (text, term) hits scored together inside a task.
 HITS_AT_ONCE = 100_000
 
-MATCH_SCHEMA = "query_id bigint, id {id_type}, layer int, score bigint, qualifies boolean"
+MATCH_SCHEMA = "query_id bigint, id bigint, layer int, score bigint, qualifies boolean"
 
 
 def terms_v1(queries: DataFrame) -> DataFrame:
@@ -164,7 +164,6 @@ def match_terms(
         terms = terms.withColumn("_block", F.pmod(F.xxhash64("query_id", "term"), F.lit(blocks)))
         keep = None  # a block knows a part of each score only
     narrow = texts.select("id", "layer", "text")
-    schema = MATCH_SCHEMA.format(id_type=narrow.schema["id"].dataType.simpleString())
     passes = []
     for block in range(blocks):
         part = terms.filter(F.col("_block") == block) if blocks > 1 else terms
@@ -172,9 +171,9 @@ def match_terms(
         if rows.empty:
             continue
         shared = spark.sparkContext.broadcast(rows)
-        passes.append(narrow.mapInPandas(_score_texts(uuid.uuid4().hex, shared, keep), schema))
+        passes.append(narrow.mapInPandas(_score_texts(uuid.uuid4().hex, shared, keep), MATCH_SCHEMA))
     if not passes:
-        return spark.createDataFrame([], schema).drop("qualifies")
+        return spark.createDataFrame([], MATCH_SCHEMA).drop("qualifies")
     matched = passes[0]
     for more in passes[1:]:
         matched = matched.unionAll(more)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
 from rejoinder.operators import lexical, semantic
-from rejoinder.operators.joins import broadcast_if_small, top_per
+from rejoinder.operators.joins import BROADCAST_ROWS, broadcast_if_small, top_per
 from rejoinder.session import written
 
 METHODS = ("syntax", "semantic", "hybrid")
@@ -62,17 +62,29 @@ def search(
     raise ValueError(f"method must be one of {METHODS}")
 
 
+COUNTER_FIELDS = ["counter_id", "counter_content", "directness", "evidence_quality", "persuasiveness"]
+
+
+def _lowest_counter(counters: DataFrame, key: str, wanted: DataFrame, rows: int | None) -> DataFrame:
+    """(key, _counter): the counter with the lowest id per wanted key.
+
+    Few wanted keys are broadcast and filter the counters where they lie. Otherwise every key
+    is reduced to one row inside each partition before the join, so that a key with many
+    counters never gathers in one task.
+    """
+    answers = counters.withColumnRenamed("id", "counter_id").withColumnRenamed("content", "counter_content")
+    keys = wanted.select(key).distinct()
+    first = F.min_by(F.struct(*COUNTER_FIELDS), "counter_id").alias("_counter")
+    if rows is not None and rows <= BROADCAST_ROWS:
+        return answers.join(F.broadcast(keys), key, "left_semi").groupBy(key).agg(first)
+    return answers.groupBy(key).agg(first).join(keys, key, "left_semi")
+
+
 def first_counters(counters: DataFrame, paragraph_ids: DataFrame, rows: int | None = None) -> DataFrame:
     """The counter with the lowest id of each wanted paragraph (column ``id``)."""
-    wanted = broadcast_if_small(paragraph_ids.select("id").distinct(), rows)
-    answers = counters.withColumnRenamed("id", "counter_id").withColumnRenamed("content", "counter_content")
-    row = F.struct("counter_id", "counter_content", "directness", "evidence_quality", "persuasiveness")
-    return (
-        answers.join(wanted, F.col("counters_id") == F.col("id"))
-        .groupBy("id")
-        .agg(F.min_by(row, "counter_id").alias("_counter"))
-        .select("id", "_counter.*")
-    )
+    wanted = paragraph_ids.select(F.col("id").alias("counters_id"))
+    found = _lowest_counter(counters, "counters_id", wanted, rows)
+    return found.select(F.col("counters_id").alias("id"), "_counter.*")
 
 
 def expand_topic_counter(paragraphs: DataFrame, counters: DataFrame) -> DataFrame:
@@ -91,18 +103,11 @@ def attach_details(hits: DataFrame, kb: KnowledgeBase, rows: int | None = None)
 def fill_counters(results: DataFrame, counters: DataFrame, rows: int | None = None) -> DataFrame:
     """Give synthetic hits without a counter the lowest-id counter of their topic."""
     lacking = (F.col("layer") == 2) & F.col("counter_id").isNull() & F.col("topic").isNotNull()
-    topics = results.filter(lacking).select("topic").distinct()
-    fields = ["counter_id", "counter_content", "directness", "evidence_quality", "persuasiveness"]
-    answers = counters.withColumnRenamed("id", "counter_id").withColumnRenamed("content", "counter_content")
-    per_topic = (
-        answers.join(broadcast_if_small(topics, rows), "topic", "left_semi")
-        .groupBy("topic")
-        .agg(F.min_by(F.struct(*fields), "counter_id").alias("_fill"))
-    )
+    per_topic = _lowest_counter(counters, "topic", results.filter(lacking), rows)
     filled = results.join(per_topic, "topic", "left")
     return filled.withColumns(
-        {f: F.when(lacking, F.col(f"_fill.{f}")).otherwise(F.col(f)) for f in fields}
-    ).drop("_fill")
+        {f: F.when(lacking, F.col(f"_counter.{f}")).otherwise(F.col(f)) for f in COUNTER_FIELDS}
+    ).drop("_counter")
 
 
 def counter_context(results: DataFrame) -> DataFrame:

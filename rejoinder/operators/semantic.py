@@ -155,18 +155,21 @@ def topic_name_hits(
 ) -> DataFrame:
     """Up to ``2k`` paragraphs of topics whose name contains the query; similarity is 1.
 
-    Topic names are matched like texts. Each topic offers its lowest ``2k`` ids only, all that
-    a query can take from it, so a topic with many paragraphs does not multiply with the queries.
+    Topic names are matched like texts, each under its lowest paragraph id. A query's ``2k``
+    lowest ids lie in the ``2k`` matching topics that start lowest, and within the ``2k`` lowest
+    ids of each; only those are joined, so neither a topic with many paragraphs nor a query
+    found in many names multiplies.
     """
     limit = 2 * k
-    names = topics.select(F.col("name").alias("id"), F.lit(0).alias("layer"), F.lower("name").alias("text"))
+    named = paragraphs.filter(F.col("topic") != "").join(topics, F.col("topic") == F.col("name"), "left_semi")
+    starts = named.groupBy("topic").agg(F.min("id").alias("id"))
+    texts = starts.select("id", F.lit(0).alias("layer"), F.lower("topic").alias("text"))
     wanted = queries.select(
         "query_id", F.lower("query").alias("term"), F.lit(1).alias("weight"), F.lit(True).alias("qualifies")
     ).filter(F.col("term") != "")
-    named = match_terms(names, wanted).select("query_id", F.col("id").alias("topic"))
+    matched = top_per(match_terms(texts, wanted, keep=limit), ["query_id"], [F.asc("id")], limit, "_place")
     offered = top_per(
-        paragraphs.select("id", "topic", "quality_score", layer().alias("layer")).filter(F.col("topic") != ""),
-        ["topic"], [F.asc("id")], limit, "_place",
+        named.select("id", "topic", "quality_score", layer().alias("layer")), ["topic"], [F.asc("id")], limit, "_place"
     ).drop("_place")
-    hits = named.join(offered, "topic").drop("topic").withColumn("similarity_score", F.lit(1.0))
-    return top_per(hits, ["query_id"], [F.asc("id")], limit)
+    hits = matched.join(starts, "id").select("query_id", "topic").join(offered, "topic").drop("topic")
+    return top_per(hits.withColumn("similarity_score", F.lit(1.0)), ["query_id"], [F.asc("id")], limit)

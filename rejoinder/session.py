@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,12 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder of this machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="rejoinder-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _folder_of_this_machine()
+
+
+@cache
+def _folder_of_this_machine() -> str:
+    return tempfile.mkdtemp(prefix="rejoinder-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
