@@ -134,10 +134,10 @@ def retrieve_context(
 ) -> DataFrame:
     """Search, details, counter fill and projection for a whole table of queries.
 
-    The hits (at most ``2k`` per query) and the finished rows are written to the shared
-    folder: several steps read them, and none of these should repeat the search.
+    The hits (at most ``2k`` per query) are written to the shared folder: several steps read
+    them, and none of these should repeat the search.
     """
     asked = queries.count()
     rows = asked * 2 * k
     hits = written(search(queries, kb, method, k, order_by, asked), "hits")
-    return written(counter_context(fill_counters(attach_details(hits, kb, rows), kb.counters, rows)), "context")
+    return counter_context(fill_counters(attach_details(hits, kb, rows), kb.counters, rows))

@@ -125,6 +125,7 @@ def rollup_to_paragraphs(
     return (
         broadcast_if_small(placed, rows)
         .join(nodes, "paragraph_id")
+        .repartition("query_id")  # serves this and every later step per query; few rows each
         .groupBy("query_id", F.col("paragraph_id").alias("id"), "layer", "quality_score")
         .agg(F.max("similarity").alias("similarity_score"))
     )

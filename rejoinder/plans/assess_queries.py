@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from rejoinder.functions import fixed_values as fixed
 from rejoinder.operators.assessment import assess, response_requests
 from rejoinder.operators.retrieval import KnowledgeBase, retrieve_context
+from rejoinder.session import written
 
 
 def assess_queries(
@@ -22,6 +23,6 @@ def assess_and_request(
     num_results: int = fixed.RESULTS_PER_LAYER, order_by: str = "similarity",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Assessment, retrieved rows and request texts from one retrieval."""
-    context = retrieve_context(queries, kb, method, num_results, order_by)
+    context = written(retrieve_context(queries, kb, method, num_results, order_by), "context")
     assessed = assess(queries, context)
     return assessed, context, response_requests(queries, assessed, context)

@@ -346,7 +346,7 @@ def _(i):
 
 @query("split_sentences")
 def _(i):
-    return nodes.split_sentences(i.paragraphs())
+    return nodes.split_sentences(i.paragraphs(spread=True))
 
 
 @query("extract_turn_number")
@@ -722,14 +722,14 @@ def _(i):
 
 @query("counter_context")
 def _(i):
-    return retrieval.retrieve_context(i.queries(), i.kb(spread=True), "hybrid")
+    return retrieval.retrieve_context(i.queries(), i.stored_kb(spread=True), "hybrid")
 
 
 # --- assessment ----------------------------------------------------------------------
 
 
 def _context(i: Inputs) -> DataFrame:
-    return retrieval.retrieve_context(i.queries(), i.kb())
+    return retrieval.retrieve_context(i.queries(), i.stored_kb())
 
 
 @query("raw_score")
@@ -758,34 +758,34 @@ def _(i):
 
 @query("mitigation_level")
 def _(i):
-    return assess_queries(i.queries(), i.kb(spread=True), "hybrid").select("query_id", "mitigation_level")
+    return assess_queries(i.queries(), i.stored_kb(spread=True), "hybrid").select("query_id", "mitigation_level")
 
 
 @query("mitigation_summary")
 def _(i):
-    return assessment.mitigation_summary(assess_queries(i.queries(), i.kb()))
+    return assessment.mitigation_summary(assess_queries(i.queries(), i.stored_kb()))
 
 
 @query("mitigation_running_counts")
 def _(i):
-    levels = written(assess_queries(i.queries(), i.kb()).select("query_id", "mitigation_level"), "levels")
+    levels = written(assess_queries(i.queries(), i.stored_kb()).select("query_id", "mitigation_level"), "levels")
     events = mitigation.read_events(i.spark, i.path)
     return mitigation.run_to_end(mitigation.level_counts(events, levels), "running_counts")
 
 
 @query("assess_queries")
 def _(i):
-    return assess_queries(i.queries(), i.kb())
+    return assess_queries(i.queries(), i.stored_kb())
 
 
 @query("assess_queries_syntax")
 def _(i):
-    return assess_queries(i.queries(), i.kb(spread=True), "syntax")
+    return assess_queries(i.queries(), i.stored_kb(spread=True), "syntax")
 
 
 @query("assess_queries_hybrid")
 def _(i):
-    return assess_queries(i.queries(), i.kb(spread=True), "hybrid")
+    return assess_queries(i.queries(), i.stored_kb(spread=True), "hybrid")
 
 
 @query("context_mild")
@@ -800,7 +800,7 @@ def _(i):
 
 @query("response_request_table")
 def _(i):
-    return assess_and_request(i.queries(), i.kb())[2]
+    return assess_and_request(i.queries(), i.stored_kb())[2]
 
 
 # --- evaluation ----------------------------------------------------------------------

@@ -14,6 +14,7 @@ from rejoinder.operators import knowledge_base as kb_ops
 from rejoinder.operators.retrieval import KnowledgeBase
 from rejoinder.operators.transcripts import extract_pairs
 from rejoinder.plans.evaluate_pairs import evaluate_pairs
+from rejoinder.session import written
 from rejoinder.sources.files import EVALUATION, MESSAGES
 
 DEBATE_TURNS = 1000  # turns per nested debate row, so that a row stays small
@@ -259,6 +260,13 @@ class Inputs:
     def kb(self, spread: bool = False) -> KnowledgeBase:
         return KnowledgeBase(self.topics(), self.paragraphs(spread), self.sentences(), self.counters())
 
+    def stored_kb(self, spread: bool = False) -> KnowledgeBase:
+        """The knowledge base as retrieval meets it: the counters, which take a walk over all
+        transcripts to make, are written before they are searched."""
+        return KnowledgeBase(
+            self.topics(), self.paragraphs(spread), self.sentences(), written(self.counters(), "counters")
+        )
+
     def edges(self) -> dict[str, DataFrame]:
         kb = self.kb()
         return {
