@@ -15,6 +15,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def whole_parts(number: Column, size: int) -> Column:
+    """Integer division, exact for any id."""
+    return F.call_function("div", number, F.lit(size))
+
+
 def strip(text: Column) -> Column:
     """Remove white space (not only blanks) at both ends."""
     return F.regexp_replace(text, r"^\s+|\s+$", "")

@@ -180,7 +180,7 @@ def stratified_sample(
     """
     sizes = df.groupBy(stratum).agg(F.count("*").alias("_size"))
     total = df.agg(F.count("*").alias("_total"))
-    quota = F.least(F.floor(F.lit(n) * F.col("_size") / total.scalar()), F.col("_size"))
+    quota = F.least(F.call_function("div", F.lit(n) * F.col("_size"), total.scalar()), F.col("_size"))
     picked = top_per(
         df.withColumn("_draw", _draw(key, seed)), [stratum], [F.asc("_draw"), F.asc(key)], n, "_place"
     )

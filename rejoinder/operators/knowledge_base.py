@@ -196,13 +196,13 @@ def page_after_id(df: DataFrame, last_id: int, limit: int) -> DataFrame:
 
 
 def topic_overview(paragraphs: DataFrame, sentences: DataFrame, counters: DataFrame, top: int = 5) -> DataFrame:
-    """Distinct paragraphs, sentences and counters per topic, the largest topics first.
+    """Paragraphs, sentences and counters (a row is a node) per topic, the largest topics first.
 
     Each side is counted per paragraph before the join, so no product of sentences and
     counters comes into being.
     """
-    per_sentence = sentences.groupBy(F.col("paragraph_id").alias("id")).agg(F.countDistinct("id").alias("_s"))
-    per_counter = counters.groupBy(F.col("counters_id").alias("id")).agg(F.countDistinct("id").alias("_c"))
+    per_sentence = sentences.groupBy(F.col("paragraph_id").alias("id")).agg(F.count("*").alias("_s"))
+    per_counter = counters.groupBy(F.col("counters_id").alias("id")).agg(F.count("*").alias("_c"))
     named = paragraphs.filter(F.col("topic").isNotNull() & (F.col("topic") != "")).select("id", "topic")
     totals = (
         named.join(per_sentence, "id", "left")

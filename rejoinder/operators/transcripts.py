@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
-from rejoinder.functions.text import contains_any, strip
+from rejoinder.functions.text import contains_any, strip, whole_parts
 from rejoinder.operators.ordinals import with_ordinal
 
 TURN_BLOCK = 65_536
@@ -41,7 +41,7 @@ def _with_previous_in_blocks(kept: DataFrame, key: str, turn_block: int) -> Data
     The last message of a block reaches the next one through a table with one row per block
     of the long transcripts.
     """
-    blocked = kept.withColumn("_block", F.floor(F.col("turn") / turn_block))
+    blocked = kept.withColumn("_block", whole_parts(F.col("turn"), turn_block))
     in_block = Window.partitionBy(key, "_block").orderBy("turn")
     seen = blocked.withColumn("_inside", F.lag(F.struct("role", "content")).over(in_block))
     long_ones = blocked.filter(F.col("_block") > 0).select(key).distinct()
@@ -92,7 +92,7 @@ def next_turn_state(messages: DataFrame, debates: DataFrame, key: str = "conv_id
         F.count("*").alias("_said"), F.max_by("role", "turn").alias("_last")
     )
     said = F.coalesce(F.col("_said"), F.lit(0))
-    turn = F.least(F.floor(said / 2) + 1, F.lit(max_turns)).cast("bigint")
+    turn = F.least(whole_parts(said, 2) + 1, F.lit(max_turns)).cast("bigint")
     focus = F.create_map(*[F.lit(x) for pair in fixed.TURN_FOCUS.items() for x in pair])
     return (
         debates.select(key)
@@ -121,7 +121,7 @@ def render_transcript(messages: DataFrame, key: str = "conv_id", part_turns: int
         F.array_sort(F.collect_list(F.struct("turn", "role", "content"))),
         lambda m: F.concat_ws(": ", m["role"], m["content"]),
     )
-    return messages.groupBy(key, F.floor(F.col("turn") / part_turns).cast("bigint").alias("part")).agg(
+    return messages.groupBy(key, whole_parts(F.col("turn"), part_turns).alias("part")).agg(
         F.array_join(lines, "\n").alias("transcript")
     )
 
@@ -129,7 +129,7 @@ def render_transcript(messages: DataFrame, key: str = "conv_id", part_turns: int
 def assign_batches(df: DataFrame, order_by: list, batch_size: int = fixed.BATCH_SIZE) -> DataFrame:
     """Consecutive batches of ``batch_size`` rows, numbered from 0; the last may be short."""
     return with_ordinal(df, order_by, "position").withColumn(
-        "batch", F.floor((F.col("position") - 1) / batch_size).cast("bigint")
+        "batch", whole_parts(F.col("position") - 1, batch_size)
     )
 
 

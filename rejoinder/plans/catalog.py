@@ -75,7 +75,7 @@ def _(i):
     path = _place(i, "debates")
     debates = i.debates()
     # Arrays of bounded size, one per line.
-    arrays = debates.groupBy(F.floor(F.col("debate_id") / 100_000_000)).agg(
+    arrays = debates.groupBy(text_fn.whole_parts(F.col("debate_id"), 100_000_000)).agg(
         F.to_json(F.collect_list(F.struct(*debates.columns))).alias("value")
     )
     arrays.select("value").write.text(path)

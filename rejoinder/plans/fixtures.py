@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rejoinder.functions import fixed_values as fixed
+from rejoinder.functions.text import whole_parts
 from rejoinder.operators import knowledge_base as kb_ops
 from rejoinder.operators.retrieval import KnowledgeBase
 from rejoinder.operators.transcripts import extract_pairs
@@ -83,7 +84,7 @@ class Inputs:
 
         grouped = (
             self.messages()
-            .groupBy("conv_id", F.floor(F.col("turn") / DEBATE_TURNS).alias("_part"))
+            .groupBy("conv_id", whole_parts(F.col("turn"), DEBATE_TURNS).alias("_part"))
             .agg(arrays.alias("_all"), first("proponent").alias("_p"), first("opponent").alias("_o"))
             .join(self.topics_of_documents(), F.col("conv_id") == F.col("doc_id"), "left")
         )
@@ -213,7 +214,7 @@ class Inputs:
 
     def paragraphs(self, spread: bool = False) -> DataFrame:
         doc = F.col("doc_id")
-        fifth = F.floor(doc / 20) % 5
+        fifth = whole_parts(doc, 20) % 5
         quality = F.lit(5.0) + doc % 11 * 0.5
         table = self.spread_table("documents") if spread else self.table("documents")
         return table.select(
@@ -231,7 +232,7 @@ class Inputs:
     def sentences(self) -> DataFrame:
         return self.table("embeddings").select(
             F.col("vec_id").alias("id"),
-            (F.floor(F.col("vec_id") / 3) * PARAGRAPH_STEP).alias("paragraph_id"),
+            (whole_parts(F.col("vec_id"), 3) * PARAGRAPH_STEP).alias("paragraph_id"),
             "embedding",
         )
 
@@ -337,7 +338,7 @@ def _topic() -> Column:
 
 
 def _tenths(n: Column) -> Column:
-    return F.concat_ws(".", F.floor(n / 10).cast("string"), (n % 10).cast("string"))
+    return F.concat_ws(".", whole_parts(n, 10).cast("string"), (n % 10).cast("string"))
 
 
 def _choose(layout: Column, layouts: list[list]) -> Column:
