@@ -222,7 +222,7 @@ ORACLES: dict[str, str] = {
         f"SELECT pair_id, corrupted, {r6(PAIR_SCORES)}, assessment FROM scored", "scored"),
     "resume_pending": with_views(
         """SELECT pair_id, topic, position, proponent FROM pairs p WHERE NOT EXISTS (
-             SELECT 1 FROM pairs d WHERE d.conv_id % 3 = 0 AND d.topic IS NOT DISTINCT FROM p.topic
+             SELECT 1 FROM pairs d WHERE d.conv_id IN (SELECT doc_id FROM labels) AND d.topic IS NOT DISTINCT FROM p.topic
              AND d.position IS NOT DISTINCT FROM p.position AND d.proponent IS NOT DISTINCT FROM p.proponent)""",
         "pairs"),
     "judge_request_table": with_views(

@@ -23,6 +23,8 @@ TERM_BLOCK_CHARS = 2_000_000
 # (text, term) hits scored together inside a task.
 HITS_AT_ONCE = 100_000
 
+LAYERS = 3  # 1 and 2 for texts, 0 for topic names
+
 MATCH_SCHEMA = "query_id bigint, id bigint, layer int, score bigint, qualifies boolean"
 
 
@@ -128,12 +130,26 @@ def _score_texts(name: str, shared, keep: int | None):
                 yield _scored(batch, text, term, block)
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids = _matcher(name, shared)[2]
+        # Score and id of the last kept row per query and layer, once there are enough.
+        last_score = np.zeros((len(ids), LAYERS))
+        last_id = np.full((len(ids), LAYERS), np.iinfo(np.int64).max)
         kept = None
         for scored in scores(batches):
-            rows = scored[scored["qualifies"]]
+            place = np.searchsorted(ids, scored["query_id"]), scored["layer"].to_numpy()
+            ahead = (scored["score"] > last_score[place]) | (
+                (scored["score"] == last_score[place]) & (scored["id"] < last_id[place])
+            )
+            rows = scored[scored["qualifies"] & ahead]
+            if rows.empty:
+                continue
             rows = rows if kept is None else pd.concat([kept, rows])
             rows = rows.sort_values(["query_id", "layer", "score", "id"], ascending=[True, True, False, True])
-            kept = rows[rows.groupby(["query_id", "layer"]).cumcount() < keep]
+            order = rows.groupby(["query_id", "layer"]).cumcount()
+            kept = rows[order < keep]
+            last = rows[order == keep - 1]
+            place = np.searchsorted(ids, last["query_id"]), last["layer"].to_numpy()
+            last_score[place], last_id[place] = last["score"], last["id"]
         if kept is not None:
             yield kept
 
