@@ -29,22 +29,18 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"\s+"), lambda word: word != "")
 
 
-def _is_stop(word: Column) -> Column:
-    return word.isin(fixed.STOP_WORDS)
-
-
-def keywords(text: Column, drop_stop_words: bool = False) -> Column:
-    """Words longer than three characters, repeats kept."""
+def keywords(text: Column, stop_words: list[str] | None = None) -> Column:
+    """Words longer than three characters that are no stop words, repeats kept."""
     found = F.filter(tokens(text), lambda word: F.length(word) > 3)
-    return F.filter(found, lambda word: ~_is_stop(word)) if drop_stop_words else found
+    return F.filter(found, lambda word: ~word.isin(stop_words)) if stop_words else found
 
 
-def _ngrams(words: Column, size: int, longer_than: int) -> Column:
+def _ngrams(words: Column, size: int, longer_than: int, stop_words: list[str]) -> Column:
     def gram(start: Column) -> Column:
         return F.concat_ws(" ", F.slice(words, start, F.lit(size)))
 
     def wanted(start: Column) -> Column:
-        return F.exists(F.slice(words, start, F.lit(size)), lambda word: ~_is_stop(word)) & (
+        return F.exists(F.slice(words, start, F.lit(size)), lambda word: ~word.isin(stop_words)) & (
             F.length(gram(start)) > longer_than
         )
 
@@ -54,10 +50,13 @@ def _ngrams(words: Column, size: int, longer_than: int) -> Column:
     return F.transform(F.filter(starts, wanted), gram)
 
 
-def phrases(text: Column) -> Column:
+def phrases(text: Column, stop_words: list[str] = fixed.STOP_WORDS) -> Column:
     """Two-word phrases longer than 5 characters, then three-word ones longer than 8,
     each with at least one word that is no stop word."""
-    return let(tokens(text), lambda words: F.concat(_ngrams(words, 2, 5), _ngrams(words, 3, 8)))
+    return let(
+        tokens(text),
+        lambda words: F.concat(_ngrams(words, 2, 5, stop_words), _ngrams(words, 3, 8, stop_words)),
+    )
 
 
 def sentences(text: Column) -> Column:

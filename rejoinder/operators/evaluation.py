@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
 from rejoinder.operators.joins import top_per
-from rejoinder.operators.knowledge_base import union_all
 from rejoinder.operators.ordinals import with_ordinal
 
 JUDGE_METRICS = [*fixed.JUDGE_CRITERIA, "overall_score"]
@@ -244,72 +243,62 @@ def quality_summary(scored: DataFrame) -> DataFrame:
 
 # --- reports -------------------------------------------------------------------------
 
+REDUCTION_SECTIONS = {
+    "avg_reduction": "reduction",
+    "avg_reduction_percent": "reduction_percent",
+    "samples_with_reduction": "samples_with_reduction",
+}
 
-def report_tables(
-    judged: DataFrame, toxicity: DataFrame, dataset: str, search_method: str
-) -> DataFrame:
-    """The report as rows ``section, metric, value``; ``text`` holds the settings."""
-    names = [f"avg_{m}" for m in JUDGE_METRICS]
-    size = judged.agg(F.count("*").cast("double").alias("value"))
-    null_text, null_value = F.lit(None).cast("string"), F.lit(None).cast("double")
 
-    def rows(df: DataFrame, section: str, metric, value: str) -> DataFrame:
-        return df.select(
-            F.lit(section).alias("section"), metric.alias("metric"), F.col(value).alias("value"), null_text.alias("text")
-        )
+def _judge_rows(judged: DataFrame, by: list[str]) -> DataFrame:
+    """Averages and, as ``sample_size`` in section ``config``, the number of rows: one pass."""
+    averages = [_mean_or_zero(F.col(m)).alias(f"avg_{m}") for m in JUDGE_METRICS]
+    wide = judged.groupBy(*by).agg(*averages, F.count("*").cast("double").alias("sample_size"))
+    long = wide.unpivot(by, [c for c in wide.columns if c not in by], "metric", "value")
+    section = F.when(F.col("metric") == "sample_size", "config").otherwise("judge")
+    return long.select(*by, section.alias("section"), "metric", "value")
 
-    setting = size.select(
-        F.explode(F.create_map(F.lit("dataset"), F.lit(dataset), F.lit("search_method"), F.lit(search_method)))
-        .alias("metric", "text")
-    ).select(F.lit("config").alias("section"), "metric", null_value.alias("value"), "text")
-    means = toxicity_averages(toxicity)
-    drops = toxicity_reduction(toxicity)
-    return union_all(
-        [
-            setting,
-            rows(size, "config", F.lit("sample_size"), "value"),
-            rows(judge_averages(judged).unpivot([], names, "metric", "value"), "judge", F.col("metric"), "value"),
-            rows(means, "toxicity", F.concat_ws(" ", "side", "attribute"), "avg_all"),
-            rows(drops, "reduction", F.col("attribute"), "avg_reduction"),
-            rows(drops, "reduction_percent", F.col("attribute"), "avg_reduction_percent"),
-            rows(drops, "samples_with_reduction", F.col("attribute"), "samples_with_reduction"),
-        ]
+
+def _toxicity_rows(toxicity: DataFrame, by: list[str]) -> DataFrame:
+    means = toxicity_averages(toxicity, by).select(
+        *by,
+        F.lit("toxicity").alias("section"),
+        F.concat_ws(" ", "side", "attribute").alias("metric"),
+        F.col("avg_all").alias("value"),
+    )
+    names = F.create_map(*[F.lit(x) for pair in REDUCTION_SECTIONS.items() for x in pair])
+    drops = toxicity_reduction(toxicity, by).unpivot(
+        [*by, "attribute"], list(REDUCTION_SECTIONS), "_measure", "value"
+    )
+    return means.unionByName(
+        drops.select(*by, F.element_at(names, F.col("_measure")).alias("section"), F.col("attribute").alias("metric"), "value")
+    )
+
+
+def report_tables(judged: DataFrame, toxicity: DataFrame, dataset: str, search_method: str) -> DataFrame:
+    """The report as rows ``section, metric, value``; ``text`` holds the settings."""
+    numbers = _judge_rows(judged, []).unionByName(_toxicity_rows(toxicity, []))
+    settings = judged.sparkSession.createDataFrame(
+        [("config", "dataset", None, dataset), ("config", "search_method", None, search_method)],
+        "section string, metric string, value double, text string",
     )
+    return numbers.withColumn("text", F.lit(None).cast("string")).unionByName(settings)
 
 
 def run_summary(judged: DataFrame, toxicity: DataFrame) -> DataFrame:
     """Headline numbers of a run, one row each."""
-    tables = report_tables(judged, toxicity, "", "")
-    headline = F.col("attribute") == "toxicity"
-    means = toxicity_averages(toxicity).filter(headline & (F.col("side") == "counter"))
-    drop = toxicity_reduction(toxicity).filter(headline)
-    return union_all(
-        [
-            tables.filter(F.col("section") == "judge").select("metric", "value"),
-            means.select(F.lit("avg_counter_toxicity").alias("metric"), F.col("avg_all").alias("value")),
-            drop.select(F.lit("avg_toxicity_reduction_percent").alias("metric"), F.col("avg_reduction_percent").alias("value")),
-        ]
+    section, metric = F.col("section"), F.col("metric")
+    names = (
+        F.when(section == "judge", metric)
+        .when((section == "toxicity") & (metric == "counter toxicity"), "avg_counter_toxicity")
+        .when((section == "reduction_percent") & (metric == "toxicity"), "avg_toxicity_reduction_percent")
     )
+    rows = _judge_rows(judged, []).unionByName(_toxicity_rows(toxicity, []))
+    return rows.select(names.alias("metric"), "value").filter(F.col("metric").isNotNull())
 
 
 def evaluate_systems(judged: DataFrame, toxicity: DataFrame | None = None) -> DataFrame:
     """Judge averages, toxicity averages and reduction of every system as rows
     ``system, section, metric, value``; without toxicity scores the judge part only."""
-    names = [f"avg_{m}" for m in JUDGE_METRICS]
-
-    def rows(df: DataFrame, section: str, metric: Column, value: str) -> DataFrame:
-        return df.select(
-            "system", F.lit(section).alias("section"), metric.alias("metric"), F.col(value).alias("value")
-        )
-
-    by = ["system"]
-    parts = [rows(judge_averages(judged, by).unpivot("system", names, "metric", "value"), "judge", F.col("metric"), "value")]
-    if toxicity is not None:
-        drops = toxicity_reduction(toxicity, by)
-        parts += [
-            rows(toxicity_averages(toxicity, by), "toxicity", F.concat_ws(" ", "side", "attribute"), "avg_all"),
-            rows(drops, "reduction", F.col("attribute"), "avg_reduction"),
-            rows(drops, "reduction_percent", F.col("attribute"), "avg_reduction_percent"),
-            rows(drops, "samples_with_reduction", F.col("attribute"), "samples_with_reduction"),
-        ]
-    return union_all(parts)
+    rows = _judge_rows(judged, ["system"]).filter(F.col("section") == "judge")
+    return rows if toxicity is None else rows.unionByName(_toxicity_rows(toxicity, ["system"]))

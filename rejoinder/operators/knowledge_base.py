@@ -76,18 +76,17 @@ def constraint_violations(nodes: DataFrame, key: str, label: str) -> DataFrame:
 
 def unlinked_nodes(sentences: DataFrame, counters: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """Counters that name a paragraph, and sentences and counters whose paragraph is missing."""
-    ids = paragraphs.select(F.col("id").alias("_id"))
+    ids = paragraphs.select(F.col("id").alias("_id")).distinct()
 
-    def count(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("measure"), "rows")
+    def parents(nodes: DataFrame, key: str) -> DataFrame:
+        return nodes.select(key).join(ids, F.col(key) == F.col("_id"), "left")
 
-    return union_all(
-        [
-            count("counters_with_id", counters.filter(F.col("counters_id").isNotNull())),
-            count("sentences_unlinked", sentences.join(ids, F.col("paragraph_id") == F.col("_id"), "left_anti")),
-            count("counters_unlinked", counters.join(ids, F.col("counters_id") == F.col("_id"), "left_anti")),
-        ]
+    missing = F.count_if(F.col("_id").isNull())
+    named = parents(counters, "counters_id").agg(
+        F.count("counters_id").alias("counters_with_id"), missing.alias("counters_unlinked")
     )
+    held = parents(sentences, "paragraph_id").agg(missing.alias("sentences_unlinked"))
+    return union_all([df.unpivot([], df.columns, "measure", "rows") for df in (named, held)])
 
 
 def next_id_base(paragraphs: DataFrame) -> DataFrame:

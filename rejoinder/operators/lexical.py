@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
@@ -30,35 +30,33 @@ MATCH_SCHEMA = "query_id bigint, id bigint, layer int, score bigint, qualifies b
 
 def terms_v1(queries: DataFrame) -> DataFrame:
     """Whole query 5, each keyword 1 per occurrence. Without keywords the whole query qualifies a text."""
-    return _weighted(queries.select("query_id", "query"), 5, False)
+    return _weighted(queries, keywords(F.col("query")), F.array().cast("array<string>"), 5)
 
 
-def terms_v2(queries: DataFrame) -> DataFrame:
+def terms_v2(queries: DataFrame, stop_words: list[str] = fixed.STOP_WORDS) -> DataFrame:
     """Whole query 10, phrases 3, keywords without stop words 1."""
-    return _weighted(queries.select("query_id", "query"), 10, True)
+    text = F.col("query")
+    return _weighted(queries, keywords(text, stop_words), phrases(text, stop_words), 10)
 
 
-def _weighted(queries: DataFrame, whole_weight: int, with_phrases: bool) -> DataFrame:
-    text = F.col("query")
+def _weighted(queries: DataFrame, words: Column, several: Column, whole_weight: int) -> DataFrame:
+    """Terms with their summed weight; the whole query qualifies a text only if it is all there is."""
 
-    def weighted(words, weight: int, qualifies):
+    def weighted(terms: Column, weight: int, qualifies: Column) -> Column:
         return F.transform(
-            words,
+            terms,
             lambda term: F.struct(term.alias("term"), F.lit(weight).alias("weight"), qualifies.alias("qualifies")),
         )
 
-    words = keywords(text, drop_stop_words=with_phrases)
-    parts = [weighted(F.col("_words"), 1, F.lit(True))]
-    staged = queries.withColumn("_words", words)
-    if with_phrases:
-        staged = staged.withColumn("_phrases", phrases(text))
-        parts.append(weighted(F.col("_phrases"), 3, F.lit(True)))
-        alone = (F.size("_words") == 0) & (F.size("_phrases") == 0)
-    else:
-        alone = F.size("_words") == 0
-    parts.append(weighted(F.array(F.lower(text)), whole_weight, alone))
+    alone = (F.size("_words") == 0) & (F.size("_phrases") == 0)
+    every = F.concat(
+        weighted(F.col("_words"), 1, F.lit(True)),
+        weighted(F.col("_phrases"), 3, F.lit(True)),
+        weighted(F.array(F.lower("query")), whole_weight, alone),
+    )
     return (
-        staged.select("query_id", F.explode(F.concat(*parts)).alias("_t"))
+        queries.select("query_id", "query", words.alias("_words"), several.alias("_phrases"))
+        .select("query_id", F.explode(every).alias("_t"))
         .groupBy("query_id", F.col("_t.term").alias("term"))
         .agg(F.sum("_t.weight").alias("weight"), F.bool_or("_t.qualifies").alias("qualifies"))
         .filter(F.col("term") != "")

@@ -143,8 +143,9 @@ def flag_corrupted(pairs: DataFrame) -> DataFrame:
     )
 
 
-def resume_pending(pairs: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs whose (topic, position, proponent) is not among the evaluated ones.
+def resume_pending(pairs: DataFrame, done: DataFrame, always: Column | None = None) -> DataFrame:
+    """Pairs whose (topic, position, proponent) is not among the evaluated ones, and those
+    that are ``always`` to be done.
 
     The join runs on a hash beside the texts, so the shuffle sorts eight bytes; the texts
     are still compared.
@@ -156,6 +157,8 @@ def resume_pending(pairs: DataFrame, done: DataFrame) -> DataFrame:
     same = F.col("_key") == F.col("_done_key")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    if always is not None:
+        same = same & ~always
     return left.join(right, same, "left_anti").drop("_key")
 
 

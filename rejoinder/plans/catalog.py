@@ -121,10 +121,8 @@ def _(i):
 
 @query("scan_jsonl_tolerant")
 def _(i):
-    accepted, rejected = files.parse_examples(i.example_lines())
-    return accepted.select("line", "topic", "content", F.lit("accepted").alias("outcome")).unionByName(
-        rejected.select("line", F.lit("rejected").alias("outcome")), allowMissingColumns=True
-    )
+    found = files.classify_examples(i.example_lines()).filter(F.col("outcome") != "untitled")
+    return found.select("line", "topic", "content", "outcome")
 
 
 @query("scan_benchmark")
@@ -595,7 +593,7 @@ def _(i):
 
 @query("keywords_v2")
 def _(i):
-    words = text_fn.keywords(F.col("query"), drop_stop_words=True)
+    words = text_fn.keywords(F.col("query"), stop_words=fixed.STOP_WORDS)
     return i.text_queries().select("query_id", F.posexplode(words).alias("position", "keyword"))
 
 

@@ -21,12 +21,10 @@ def evaluate_pairs(
     earlier rows are kept. Corrupted pairs are never skipped and need no response.
     """
     flagged = flag_corrupted(pairs)
-    if done is not None:
-        pending = resume_pending(flagged.filter(~F.col("corrupted")), done)
-        flagged = pending.unionByName(flagged.filter("corrupted"))
-    scored = default_corrupted(score_responses(flagged.join(responses, "pair_id", "left")))
+    open_pairs = flagged if done is None else resume_pending(flagged, done, always=F.col("corrupted"))
+    scored = default_corrupted(score_responses(open_pairs.join(responses, "pair_id", "left")))
     rated = with_quality(scored).withColumn("high_quality", F.col("quality") >= threshold)
     if done is None:
         return rated
-    kept = done.join(rated.filter("corrupted").select("pair_id"), "pair_id", "left_anti")
-    return kept.unionByName(rated)
+    redone = flagged.filter("corrupted").select("pair_id")
+    return done.join(redone, "pair_id", "left_anti").unionByName(rated)

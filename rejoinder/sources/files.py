@@ -117,25 +117,38 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.monotonically_increasing_id().alias("line"), "value")
 
 
-def parse_examples(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Generated examples of ``(line, value)`` rows, and the lines that are no JSON object.
+def classify_examples(lines: DataFrame) -> DataFrame:
+    """Generated examples of ``(line, value)`` rows with an ``outcome``, in one pass.
 
-    Blank lines and examples with a blank topic are skipped, not reported.
+    ``accepted``; ``rejected`` if the line is no JSON object (``value`` is kept); ``untitled``
+    if the topic is blank. Blank lines are left out.
     """
-    filled = lines.filter(strip(F.col("value")) != "")
     wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    parsed = filled.withColumn(
-        "_rows", F.from_json(wrapped, f"array<struct<{EXAMPLE_SCHEMA}>>", {"allowSingleQuotes": "false"})
+    rows = F.from_json(wrapped, f"array<struct<{EXAMPLE_SCHEMA}>>", {"allowSingleQuotes": "false"})
+    parsed = (
+        lines.filter(strip(F.col("value")) != "")
+        .withColumn("_rows", rows)
+        .withColumn("_e", F.when(F.size("_rows") == 1, F.get("_rows", F.lit(0))))
+    )
+    topic = strip(F.col("_e.topic"))
+    outcome = (
+        F.when(F.col("_e").isNull(), "rejected")
+        .when(F.coalesce(topic, F.lit("")) == "", "untitled")
+        .otherwise("accepted")
     )
-    good = F.coalesce(F.size("_rows") == 1, F.lit(False))
-    accepted = (
-        parsed.filter(good)
-        .select("line", F.get("_rows", F.lit(0)).alias("_e"))
-        .select("line", "_e.*")
-        .filter(F.coalesce(strip(F.col("topic")), F.lit("")) != "")
-        .withColumn("topic", strip(F.col("topic")))
+    return parsed.select(
+        "line",
+        topic.alias("topic"), "_e.content", "_e.source", "_e.timestamp", "_e.metadata",
+        outcome.alias("outcome"),
+        F.when(F.col("_e").isNull(), F.col("value")).alias("value"),
     )
-    return accepted, parsed.filter(~good).select("line", "value")
+
+
+def parse_examples(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Accepted examples, and the lines that are no JSON object."""
+    classified = classify_examples(lines)
+    accepted = classified.filter(F.col("outcome") == "accepted").drop("outcome", "value")
+    return accepted, classified.filter(F.col("outcome") == "rejected").select("line", "value")
 
 
 def scan_benchmark(table: DataFrame) -> DataFrame:

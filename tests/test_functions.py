@@ -54,7 +54,7 @@ def test_phrases(spark, query):
 def test_keywords(spark):
     query = "That THAT with four five be"
     assert value(spark, text.keywords(F.col("t")), t=query) == ["that", "that", "with", "four", "five"]
-    assert value(spark, text.keywords(F.col("t"), drop_stop_words=True), t=query) == ["four", "five"]
+    assert value(spark, text.keywords(F.col("t"), stop_words=fixed.STOP_WORDS), t=query) == ["four", "five"]
 
 
 @pytest.mark.parametrize("raw, expected", [(5.5, 2.0), (6.125, 5.0), (8.0, 10.0), (9.0, 10.0), (1.0, 2.0)])
