@@ -409,7 +409,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                4e0 + (doc_id % 7) * 0.5e0 AS representativeness, 4e0 + (doc_id % 5) * 0.5e0 AS coherence,
                5e0 + (doc_id % 11) * 0.5e0 AS harmfulness, 5e0 + (doc_id % 11) * 0.5e0 AS quality_score,
                CASE (doc_id // 20) % 5 WHEN 0 THEN true WHEN 1 THEN false END AS is_synthetic,
-               CASE WHEN (doc_id // 20) % 5 = 0 THEN 2 ELSE 1 END AS layer
+               CASE WHEN (doc_id // 20) % 5 = 0 THEN 2::BIGINT ELSE 1::BIGINT END AS layer
         FROM documents"""),
     "sentences": ([], "SELECT vec_id AS id, (vec_id // 3) * 7 AS paragraph_id, embedding FROM embeddings"),
     "counters": (["pairs", "doc_topics"], """

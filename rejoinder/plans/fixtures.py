@@ -321,9 +321,12 @@ class Inputs:
         return self.table("benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
     def queries(self) -> DataFrame:
-        """All benchmark texts, each with the vector of the same number."""
+        """All benchmark texts, each with the vector of the same number.
+
+        Written, as the lookup reads the whole embedding table and a search reads its queries
+        more than once."""
         vectors = self.table("embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
-        return self.text_queries().join(vectors, "query_id", "left")
+        return written(self.text_queries().join(vectors, "query_id", "left"), "queries")
 
     def topic_queries(self) -> DataFrame:
         """Short queries that are parts of topic names, one per benchmark row."""
