@@ -20,8 +20,8 @@ from rejoinder.operators.knowledge_base import layer
 # Characters of terms one broadcast may hold; more terms are matched block by block.
 TERM_BLOCK_CHARS = 2_000_000
 
-# (text, term) hits scored together inside a task.
-HITS_AT_ONCE = 100_000
+# (text, term, query) hits scored together inside a task.
+HITS_AT_ONCE = 200_000
 
 LAYERS = 3  # 1 and 2 for texts, 0 for topic names
 
@@ -114,16 +114,19 @@ def _score_texts(name: str, shared, keep: int | None):
 
     def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = _matcher(name, shared)
+        askers = np.diff(block[1])  # queries per term
         for batch in batches:
             text: list[int] = []
             term: list[int] = []
+            uses = 0
             for row, content in enumerate(batch["text"]):
-                hits = {position for _, position in block[0].iter(content)}
+                hits = list({position for _, position in block[0].iter(content)})
                 text.extend([row] * len(hits))
                 term.extend(hits)
-                if len(term) > HITS_AT_ONCE:
+                uses += int(askers[hits].sum()) if hits else 0
+                if uses > HITS_AT_ONCE:
                     yield _scored(batch, text, term, block)
-                    text, term = [], []
+                    text, term, uses = [], [], 0
             if term:
                 yield _scored(batch, text, term, block)
 

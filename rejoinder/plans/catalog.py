@@ -14,7 +14,6 @@ from rejoinder.operators import assessment, evaluation, judge, lexical, nodes, r
 from rejoinder.operators import knowledge_base as kb_ops
 from rejoinder.plans import build_knowledge_base as kb_build
 from rejoinder.plans.assess_queries import assess_and_request, assess_queries
-from rejoinder.plans.evaluate_pairs import evaluate_pairs
 from rejoinder.plans.fixtures import Inputs
 from rejoinder.session import scratch_path, written
 from rejoinder.sources import files
@@ -578,7 +577,9 @@ def _(i):
 @query("sample_nodes")
 def _(i):
     kb = i.kb()
-    texts = nodes.split_sentences(kb.paragraphs).select((F.col("id") * 100_000 + F.col("position")).alias("id"), F.col("sentence").alias("content"))
+    texts = nodes.split_sentences(kb.paragraphs).select(
+        (F.col("id") * 100_000 + F.col("position")).alias("id"), F.col("sentence").alias("content")
+    )
     return kb_ops.sample_nodes(kb.topics, kb.paragraphs, texts, kb.counters)
 
 

@@ -64,6 +64,7 @@ def test_lexical_equals_brute_force(spark, corpus, version, block_chars):
 def test_top_hits_equal_brute_force(spark, corpus, hits_at_once, monkeypatch):
     monkeypatch.setattr(lexical, "HITS_AT_ONCE", hits_at_once)
     docs, queries = corpus
+    queries = queries + [(100 + n, queries[0][1]) for n in range(4)]  # copies among the queries too
     q = spark.createDataFrame(queries, "query_id bigint, query string")
     expected = {}
     for (qid, doc), (layer, score) in by_hand(docs, queries, 2).items():

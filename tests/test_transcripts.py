@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from rejoinder.operators import transcripts
 from rejoinder.plans.evaluate_pairs import evaluate_pairs
