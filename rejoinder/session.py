@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,29 @@ def build_session(master: str | None = None, app: str = "rejoinder", **conf: str
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, so that tasks can import it wherever they run."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    app = spark.sparkContext.applicationId
+    if _shipped.get("app") == app:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="rejoinder-code-"), "rejoinder.zip")
+    with zipfile.ZipFile(archive, "w") as file:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    file.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped["app"] = app
+
+
+_shipped: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
