@@ -218,7 +218,7 @@ def _documents(rows: pa.Table, numbers: np.ndarray, ids: pa.Array, vocabulary: s
     pieces = _pieces(vocabulary)
     n_words = rows.column("n_words").to_numpy()
     ends = np.cumsum(n_words)
-    columns: list[list] = [[], [], []]
+    parts: list[list[pa.Array]] = []
     at = 0
     while at < len(n_words):
         start = ends[at] - n_words[at]
@@ -227,15 +227,16 @@ def _documents(rows: pa.Table, numbers: np.ndarray, ids: pa.Array, vocabulary: s
         flat_ids = lists.flatten()
         sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         edges = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[start], ends[at:upto]]) - start]
-        decoded = _bytes_between(pieces.take(flat_ids), edges)
+        decoded = pieces.take(flat_ids)
         if digest:
-            columns[0] += np.diff(edges).tolist()
-            columns[1] += [hashlib.sha256(v[: max(0, len(v) - 1)]).hexdigest() for v in _bytes_between(_decimal(len(pieces)).take(flat_ids), edges)]
-            columns[2] += [hashlib.sha256(v).hexdigest() for v in decoded]
+            decimal = _decimal(len(pieces)).take(flat_ids)
+            told = [hashlib.sha256(v[: max(0, len(v) - 1)]).hexdigest() for v in _bytes_between(decimal, edges)]
+            back = [hashlib.sha256(v).hexdigest() for v in _bytes_between(decoded, edges)]
+            parts.append([pa.array(np.diff(edges)), pa.array(told, pa.string()), pa.array(back, pa.string())])
         else:
-            columns[0] += [flat_ids.slice(a, b - a).to_pylist() for a, b in zip(edges, edges[1:], strict=False)]
-            columns[1] += [bytes(v) for v in decoded]
+            own = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), flat_ids)
+            parts.append([own, pa.array([bytes(v) for v in _bytes_between(decoded, edges)], pa.binary())])
         at = upto
     types = [pa.int64(), pa.string(), pa.string()] if digest else [pa.list_(pa.int32()), pa.binary()]
-    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
+    arrays = [pa.chunked_array([part[i] for part in parts], t) for i, t in enumerate(types)]
     return pa.table([rows.column("key"), *arrays], names=["key", *(f"c{i}" for i in range(len(arrays)))])

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rejoinder.llm import bpe, exact_dedup, language, quality, secret_ledger, toxicity
+import corpus_pipeline
+from rejoinder.llm import (
+    bpe, byte_dedup, decontamination, exact_dedup, language, near_dedup, quality, secret_ledger, substring_dedup, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +18,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passage_report(_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -31,6 +42,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.secret_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_dedup.byte_report(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(_table(spark, sf_dir, "documents"))
 
@@ -39,11 +54,43 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_toxicity, op4_quality, op5_language, op6_secrets, op8_exact_dedup, op9_bpe)
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_substring_dedup, op3_toxicity, op4_quality, op5_language, op6_secrets, op7_suffix_array,
+        op8_exact_dedup, op9_bpe, op10_near_dedup, pipeline,
+    )
 }
 
 LLM_ORACLES: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words
+            FROM documents),
+        starts AS (
+            SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS place FROM split WHERE len(words) >= 13),
+        windows AS (
+            SELECT doc_id, place, min(doc_id) OVER w AS first_id, max(doc_id) OVER w AS last_id
+            FROM starts WINDOW w AS (PARTITION BY words[place:place + 12])),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(place, place + 13)) AS place FROM windows WHERE first_id < doc_id),
+        lost AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id),
+        shared AS (SELECT DISTINCT doc_id FROM windows WHERE first_id < last_id),
+        told AS (
+            SELECT doc_id, words, coalesce(places, []) AS places FROM split LEFT JOIN lost USING (doc_id))
+        SELECT doc_id, len(words) AS n_words, len(places) AS n_removed,
+               sha256(coalesce(array_to_string([words[i] FOR i IN range(1, len(words) + 1) IF NOT list_contains(places, i)], ' '), '')) AS kept_sha256,
+               CASE WHEN doc_id IN (SELECT doc_id FROM shared) THEN 13::BIGINT ELSE 0::BIGINT END AS longest_repeat
+        FROM told
+    """,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -54,31 +54,48 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
 
 def powers(n: int) -> np.ndarray:
     out = np.full(max(n, 1), BASE)
-    out[0] = 1
+    out[0] = U64(1)
     return np.multiply.accumulate(out)
 
 
+def _words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    inside = letters[data]
+    edge = np.empty(len(data), bool)
+    edge[0] = inside[0]
+    edge[1:] = inside[1:] & ~inside[:-1]
+    border = offsets[offsets < len(data)]
+    edge[border] = inside[border]
+    start = np.flatnonzero(edge)
+    kept = np.flatnonzero(inside)
+    runs = np.searchsorted(kept, start)
+    length = np.diff(np.append(runs, len(kept)))
+    place = np.arange(len(kept)) - np.repeat(runs, length)
+    value = (data[kept].astype(U64) + U64(1)) * powers(int(length.max(initial=1)))[place]
+    total = np.add.reduceat(value, runs) if len(runs) else np.zeros(0, U64)
+    return mix(total + length.astype(U64) * BASE), start, start + length
+
+
 class Words:
-    """The words of some texts: ``hash``, byte ``start`` and ``end``, and ``first``, where each text's words begin."""
+    """The words of some texts: ``hash``, byte ``start`` and ``end``, and ``first``, where each text's words begin.
+
+    The bytes are read in chunks that end between words, so that memory follows the number of words.
+    """
+
+    CHUNK = 1 << 20
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, letters: np.ndarray):
-        inside = letters[data]
-        edge = np.empty(len(data), bool)
-        if len(data):
-            edge[0] = inside[0]
-            edge[1:] = inside[1:] & ~inside[:-1]
-            starts_here = offsets[:-1][offsets[:-1] < offsets[-1]]
-            edge[starts_here] = inside[starts_here]
-        self.start = np.flatnonzero(edge)
-        kept = np.flatnonzero(inside)
-        runs = np.searchsorted(kept, self.start)
-        length = np.diff(np.append(runs, len(kept)))
-        self.end = self.start + length
-        place = np.arange(len(kept)) - np.repeat(runs, length)
-        weight = powers(int(length.max()) if len(length) else 1)
-        value = (data[kept].astype(U64) + U64(1)) * weight[place]
-        total = np.add.reduceat(value, runs) if len(runs) else np.zeros(0, U64)
-        self.hash = mix(total + length.astype(U64) * BASE)
+        parts, at = [], 0
+        while at < len(data):
+            upto = min(len(data), at + self.CHUNK)
+            while upto < len(data) and letters[data[upto - 1]]:
+                gap = np.flatnonzero(~letters[data[upto : upto + self.CHUNK]])
+                upto = min(len(data), upto + (int(gap[0]) + 1 if len(gap) else self.CHUNK))
+            inner = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, upto)]
+            hashes, start, end = _words(data[at:upto], inner - at, letters)
+            parts.append((hashes, start + at, end + at))
+            at = upto
+        none = (np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.hash, self.start, self.end = (np.concatenate(x) for x in zip(*(parts or [none]), strict=True))
         self.first = np.searchsorted(self.start, offsets)
 
     def __len__(self) -> int:
@@ -90,12 +107,30 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
     if len(hashes) < n:
         return np.zeros(0, U64)
     total = np.zeros(len(hashes) - n + 1, U64)
-    for k in range(n):
-        total *= BASE
-        total += hashes[k : k + len(total)]
+    if n <= 16:
+        for k in range(n):
+            total *= BASE
+            total += hashes[k : k + len(total)]
+    else:  # running sums of numbers times powers, and the inverse powers
+        inverse = np.full(len(total), U64(pow(int(BASE), -1, 1 << 64)))
+        inverse[0] = U64(1)
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(hashes.astype(U64) * powers(len(hashes)))])
+        total = (sums[n:] - sums[:-n]) * np.multiply.accumulate(inverse)
     return mix(total + U64(n))
 
 
+def least_of(keys: np.ndarray, n: int) -> np.ndarray:
+    """The least of each run of ``n`` consecutive keys."""
+    if len(keys) < n:
+        return keys[:0]
+    size = 1
+    while 2 * size <= n:
+        keys = np.minimum(keys[: len(keys) - size], keys[size:])
+        size *= 2
+    rest = n - size
+    return np.minimum(keys[: len(keys) - rest], keys[rest:]) if rest else keys
+
+
 def inside_text(first: np.ndarray, n: int) -> np.ndarray:
     """For every start of ``windows(..., n)``: whether the window stays in one text."""
     size = int(first[-1])
