@@ -28,6 +28,9 @@ from rejoinder.llm.packs import (
 
 DEFAULT_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
+#: Distinct words of all packs that meet in one task.
+BUCKET_BYTES = 6 << 20
+
 #: White space and the word pattern of byte-level tokenizers.
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = (
@@ -109,13 +112,18 @@ def _packed(batches: Iterator[pa.RecordBatch], key: str, words: str) -> Iterator
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         numbers = rank[encoded.indices.to_numpy(zero_copy_only=False)]
+        # positions hold places by frequency, which compress well; the counts give them back
+        times = np.bincount(numbers, minlength=len(order)).astype(np.int32)
+        by_frequency = np.empty(len(order), np.int32)
+        by_frequency[np.argsort(-times, kind="stable")] = np.arange(len(order), dtype=np.int32)
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         yield pa.RecordBatch.from_pydict(
             {
                 "pack_id": [new_pack_id()],
                 "n_bytes": pa.array([pc.sum(pc.binary_length(encoded.dictionary)).as_py() or 0], pa.int64()),
                 "rows": [to_ipc(pa.table({"key": table.column(key), "n_words": counts}))],
-                "numbers": [squeeze(numbers)],
+                "numbers": [squeeze(by_frequency[numbers])],
+                "times": [squeeze(times)],
                 "words": [to_ipc(pa.table({"word": encoded.dictionary.take(pa.array(order))}))],
             }
         )
@@ -144,7 +152,8 @@ def _encoded(blocks: list[bytes], tokenizer: str) -> list[bytes]:
     answers, at = [], 0
     for block in asked:
         mine = table.take(joined.indices.slice(at, len(block)))
-        answers.append(to_ipc(pa.table({"ids": mine})))
+        sizes = pc.list_value_length(mine).to_numpy(zero_copy_only=False)
+        answers.append(to_ipc(pa.table({"size": [squeeze(sizes.astype(np.int32))], "ids": [squeeze(mine.flatten().to_numpy().astype(np.int32))]})))
         at += len(block)
     return answers
 
@@ -170,25 +179,27 @@ def _finished(docs: DataFrame, key: str, text_col: str, tokenizer: str | None, d
     key_type = docs.schema[key].dataType
     split = docs.select(F.col(key).alias("key"), words_of(F.coalesce(F.col(text_col), F.lit("")), specials).alias("words"))
     packs, _ = written_packs(
-        split.mapInArrow(lambda batches: _packed(batches, "key", "words"), "pack_id string, n_bytes bigint, rows binary, numbers binary, words binary"),
+        split.mapInArrow(lambda batches: _packed(batches, "key", "words"), "pack_id string, n_bytes bigint, rows binary, numbers binary, times binary, words binary"),
         "bpe-packs",
     )
-    buckets = bucket_count(packs, "n_bytes")
+    buckets = bucket_count(packs, "n_bytes", BUCKET_BYTES)
     questions = packs.select("pack_id", "words").mapInArrow(partial(_asked, buckets=buckets), BLOCK_SCHEMA)
     answers = answered(questions, lambda blocks: _encoded(blocks, vocabulary.value))
 
     def assembled(pack: pa.Table, replies: pa.Table) -> pa.Table:
-        row = {name: pack.column(name)[0].as_py() for name in ("rows", "numbers")}
+        row = {name: pack.column(name)[0].as_py() for name in ("rows", "numbers", "times")}
         rows = from_ipc(row["rows"])
-        numbers = expand(row["numbers"], np.int32)
-        blocks = [from_ipc(b).column("ids").combine_chunks() for b in in_order(replies)]
-        ids = pa.concat_arrays(blocks) if blocks else pa.array([], pa.list_(pa.int32()))
+        numbers = np.argsort(-expand(row["times"], np.int32), kind="stable")[expand(row["numbers"], np.int32)]
+        blocks = [from_ipc(b).to_pylist()[0] for b in in_order(replies)]
+        none = np.zeros(0, np.int32)
+        sizes, values = (np.concatenate([none, *(expand(b[name], np.int32) for b in blocks)]) for name in ("size", "ids"))
+        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values))
         return _documents(rows, numbers, ids, vocabulary.value, digest)
 
     out_type = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded binary"
     schema = f"`{key}` {key_type.simpleString()}, {out_type}"
     return (
-        packs.select("pack_id", "rows", "numbers").groupBy("pack_id")
+        packs.select("pack_id", "rows", "numbers", "times").groupBy("pack_id")
         .cogroup(answers.groupBy("pack_id"))
         .applyInArrow(lambda p, r: assembled(p, r).rename_columns([key, *[c.split()[0] for c in out_type.split(", ")]]), schema)
     )

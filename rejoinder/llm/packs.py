@@ -28,7 +28,7 @@ def squeeze(array: np.ndarray) -> bytes:
     """The bytes of an array, byte planes apart, compressed."""
     planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), array.itemsize).T if len(array) else np.zeros((0, 0), np.uint8)
     raw = np.ascontiguousarray(planes).tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(raw, asbytes=True)
 
 
 def expand(block: bytes, dtype) -> np.ndarray:
@@ -40,7 +40,7 @@ def expand(block: bytes, dtype) -> np.ndarray:
 
 def to_ipc(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 
