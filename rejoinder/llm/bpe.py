@@ -96,6 +96,18 @@ def _word_hashes(words: pa.Array) -> np.ndarray:
     return mix(total + length.astype(np.uint64))
 
 
+def _coded(places: np.ndarray) -> bytes:
+    """Places below 255 as one byte each, the others after them."""
+    return to_ipc(pa.table({"near": [squeeze(np.minimum(places, 255).astype(np.uint8))], "far": [squeeze(places[places >= 255])]}))
+
+
+def _decoded(block: bytes) -> np.ndarray:
+    (row,) = from_ipc(block).to_pylist()
+    places = expand(row["near"], np.uint8).astype(np.int32)
+    places[places == 255] = expand(row["far"], np.int32)
+    return places
+
+
 def _packed(batches: Iterator[pa.RecordBatch], key: str, words: str) -> Iterator[pa.RecordBatch]:
     """One row for each pack: keys and word counts of its rows, distinct words, a word number for each position."""
 
@@ -122,7 +134,7 @@ def _packed(batches: Iterator[pa.RecordBatch], key: str, words: str) -> Iterator
                 "pack_id": [new_pack_id()],
                 "n_bytes": pa.array([pc.sum(pc.binary_length(encoded.dictionary)).as_py() or 0], pa.int64()),
                 "rows": [to_ipc(pa.table({"key": table.column(key), "n_words": counts}))],
-                "numbers": [squeeze(by_frequency[numbers])],
+                "numbers": [_coded(by_frequency[numbers])],
                 "times": [squeeze(times)],
                 "words": [to_ipc(pa.table({"word": encoded.dictionary.take(pa.array(order))}))],
             }
@@ -189,7 +201,7 @@ def _finished(docs: DataFrame, key: str, text_col: str, tokenizer: str | None, d
     def assembled(pack: pa.Table, replies: pa.Table) -> pa.Table:
         row = {name: pack.column(name)[0].as_py() for name in ("rows", "numbers", "times")}
         rows = from_ipc(row["rows"])
-        numbers = np.argsort(-expand(row["times"], np.int32), kind="stable")[expand(row["numbers"], np.int32)]
+        numbers = np.argsort(-expand(row["times"], np.int32), kind="stable")[_decoded(row["numbers"])]
         blocks = [from_ipc(b).to_pylist()[0] for b in in_order(replies)]
         none = np.zeros(0, np.int32)
         sizes, values = (np.concatenate([none, *(expand(b[name], np.int32) for b in blocks)]) for name in ("size", "ids"))
