@@ -30,7 +30,7 @@ from rejoinder.llm.packs import (
 )
 from rejoinder.llm.substring_dedup import PACK_SCHEMA, packed
 from rejoinder.llm.suffix_array import repeated_starts
-from rejoinder.llm.text import BASE, U64, flat, least_of, mix, powers, windows
+from rejoinder.llm.text import U64, flat, inverse_powers, least_of, mix, powers, windows
 from rejoinder.session import scratch_path
 
 LEAST = 200
@@ -70,17 +70,22 @@ class Pack:
         least, half = self.least, self.half
         # look back and ahead, so that segments that touch the chunk are seen whole
         low, high = max(0, start - least), min(len(self.data), end + 2 * least)
-        data = self.data[low:high].astype(U64) + U64(1)
-        halves = windows(data, half)
-        if len(halves) < least - half + 1:
+        size = high - low
+        if size < least:
             return None
+        # running sums of bytes times powers; a range times its inverse power depends on its content alone
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum((self.data[low:high].astype(U64) + U64(1)) * powers(size))])
+        inverse = inverse_powers(size)
+        halves = mix((sums[half:] - sums[:-half]) * inverse[: size - half + 1])
         place = np.arange(len(halves), dtype=U64)
         bits = U64(20)
         key = ((halves >> bits) << bits) | place
         at = (least_of(key, least - half + 1) & U64((1 << 20) - 1)).astype(np.int64)
-        window = np.arange(len(at)) + low
-        owner = np.searchsorted(self.offsets, window, "right")
-        good = window + least <= self.offsets[owner]
+        texts = slice(np.searchsorted(self.offsets, low, "right") - 1, np.searchsorted(self.offsets, low + len(at), "left"))
+        edges = np.clip(np.append(self.offsets[texts], low + len(at)), low, low + len(at))
+        owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+        text_end = self.offsets[texts.start + 1 : texts.stop + 1]
+        good = np.arange(low + least, low + least + len(at)) <= text_end[owner]
         # a new segment where the speaker or the text changes
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] != at[:-1]) | ~good[:-1] | (owner[1:] != owner[:-1])
@@ -95,8 +100,8 @@ class Pack:
         if not len(first):
             return None
         speaker = halves[at[first]]
-        sums = windows_between(data, first, first + count + least - 1)
-        content = mix(sums + count.astype(U64) + mix((at[first] - first).astype(U64)))
+        whole = (sums[first + count + least - 1] - sums[first]) * inverse[first]
+        content = mix(mix(whole) + count.astype(U64) + mix((at[first] - first).astype(U64)))
         return speaker, content, first + low, count
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,16 +115,6 @@ class Pack:
         return order[new], place, np.bincount(place, minlength=int(new.sum()))
 
 
-def windows_between(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A number for each range of ``data`` that depends on its content alone."""
-    weight = powers(len(data))
-    sums = np.concatenate([np.zeros(1, U64), np.cumsum(data * weight)])
-    inverse = np.full(len(data) + 1, U64(pow(int(BASE), -1, 1 << 64)))
-    inverse[0] = U64(1)
-    inverse = np.multiply.accumulate(inverse)
-    return mix((sums[end] - sums[start]) * inverse[start])
-
-
 def _first_level(buckets: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,13 +249,15 @@ def _repeated(pack: Pack, replies: pa.Table, buckets: int) -> np.ndarray:
         answer = _joined(in_order(by_window), bool)
         for i, where in zip(many, places, strict=True):
             told[i] = answer[where]
-    out = np.zeros(len(pack.data) + 1, bool)
-    for first, n, i in zip(pack.first, pack.count, place, strict=True):
-        if code[i] == ALL or code[i] >= 4:
-            out[first : first + n] = True
-        elif code[i] != ONCE:
-            out[first : first + n] = told[i]
-    return out[:-1]
+    kind = code[place]
+    whole = (kind == ALL) | (kind >= 4)
+    edge = np.zeros(len(pack.data) + 1, np.int32)
+    edge[pack.first[whole]] += 1  # segments do not share their first windows
+    np.add.at(edge, pack.first[whole] + pack.count[whole], -1)
+    out = np.cumsum(edge)[:-1] > 0
+    for i in np.flatnonzero(~whole & (kind != ONCE)):
+        out[pack.first[i] : pack.first[i] + pack.count[i]] = told[place[i]]
+    return out
 
 
 def _spans(docs: DataFrame, least: int, pack_bytes: int, finish, schema: str) -> DataFrame:
@@ -288,11 +285,8 @@ def _spans(docs: DataFrame, least: int, pack_bytes: int, finish, schema: str) ->
     def run(pack: pa.Table, replies: pa.Table) -> pa.Table:
         (rows,) = pack.column("rows").to_pylist()
         own = Pack(rows, least)
-        start = np.flatnonzero(_repeated(own, replies, buckets))
-        covered = np.zeros(len(own.data) + 1, np.int32)
-        np.add.at(covered, start, 1)
-        np.add.at(covered, start + least, -1)
-        return finish(own, np.cumsum(covered)[:-1] > 0)
+        sums = np.concatenate([np.zeros(least, np.int32), np.cumsum(_repeated(own, replies, buckets), dtype=np.int32)])
+        return finish(own, sums[least:] > sums[:-least])
 
     return whole.groupBy("pack_id").cogroup(answers.groupBy("pack_id")).applyInArrow(run, schema)
 
@@ -308,7 +302,9 @@ def byte_report(docs: DataFrame, least: int = LEAST, pack_bytes: int = PACK_BYTE
     def finish(own: Pack, removed: np.ndarray) -> pa.Table:
         sums = np.concatenate([[0], np.cumsum(removed)])
         begins = removed.copy()
-        begins[1:] &= ~removed[:-1] | np.isin(np.arange(1, len(removed)), own.offsets)
+        begins[1:] &= ~removed[:-1]
+        border = own.offsets[:-1][own.offsets[:-1] < len(removed)]
+        begins[border] = removed[border]
         runs = np.concatenate([[0], np.cumsum(begins)])
         digests = [hashlib.sha256(own.data[a:b][~removed[a:b]].tobytes()).hexdigest() for a, b in zip(own.offsets, own.offsets[1:], strict=False)]
         per = [np.diff(x[own.offsets]).astype(np.int64) for x in (sums, runs)]

@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
+MOST_POWERS = 1 << 20
+_powers: dict[int, np.ndarray] = {}
 BASE = U64(0x9E3779B97F4A7C15)
 
 #: Bytes of words that white space alone separates, ``[^\x20\x09-\x0D]+``.
@@ -52,10 +54,21 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
             yield batch.slice(start, end - start)
 
 
-def powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), BASE)
-    out[0] = U64(1)
-    return np.multiply.accumulate(out)
+def powers(n: int, base: int = int(BASE)) -> np.ndarray:
+    """The first ``n`` powers; the longest table asked for is kept, up to a bound."""
+    n = max(n, 1)
+    known = _powers.get(base)
+    if known is None or len(known) < n:
+        out = np.full(n, U64(base))
+        out[0] = U64(1)
+        known = np.multiply.accumulate(out)
+        if n <= MOST_POWERS:
+            _powers[base] = known
+    return known[:n]
+
+
+def inverse_powers(n: int) -> np.ndarray:
+    return powers(n, pow(int(BASE), -1, 1 << 64))
 
 
 def _words(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,10 +125,8 @@ def windows(hashes: np.ndarray, n: int) -> np.ndarray:
             total *= BASE
             total += hashes[k : k + len(total)]
     else:  # running sums of numbers times powers, and the inverse powers
-        inverse = np.full(len(total), U64(pow(int(BASE), -1, 1 << 64)))
-        inverse[0] = U64(1)
         sums = np.concatenate([np.zeros(1, U64), np.cumsum(hashes.astype(U64) * powers(len(hashes)))])
-        total = (sums[n:] - sums[:-n]) * np.multiply.accumulate(inverse)
+        total = (sums[n:] - sums[:-n]) * inverse_powers(len(total))
     return mix(total + U64(n))
 
 
