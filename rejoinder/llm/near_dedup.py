@@ -31,10 +31,10 @@ from rejoinder.session import written
 
 SHINGLE = 5
 SIMILARITY = 0.8
-DARTS = 64
-ROWS = 4
-BANDS = DARTS // ROWS
-SLICE_BYTES = 1 << 20
+DARTS = 224
+ROWS = 7
+BANDS = DARTS // ROWS  # a pair at the limit shares no band with probability (1 - 0.8 ** 7) ** 32 = 0.0005
+SLICE_BYTES = 2 << 20
 #: Rounds of comparing a bucket with its smallest remaining text before all remaining pairs are compared.
 HUB_ROUNDS = 2
 
