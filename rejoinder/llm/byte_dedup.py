@@ -131,7 +131,7 @@ def _first_level(buckets: int, least: int):
     return run
 
 
-def _first_answer(blocks: list[bytes]) -> list[bytes]:
+def _first_answer(blocks: list[bytes], most_segments: int) -> list[bytes]:
     asked = [from_ipc(b).to_pylist()[0] for b in blocks]
     sizes = [len(expand(a["several"], bool)) for a in asked]
     speaker, content, several = (np.concatenate([expand(a[k], t) for a in asked]) for k, t in (("speaker", U64), ("content", U64), ("several", bool)))
@@ -146,7 +146,7 @@ def _first_answer(blocks: list[bytes]) -> list[bytes]:
     code = np.where(times[of_segment] > 1, ALL, np.where(kinds == 1, ONCE, SOME))
     # a repeated segment of a speaker with others still has to be shown to the others
     code = np.where((code == ALL) & (kinds > 1), SOME + 4, code)
-    code = np.where((kinds > MOST_SEGMENTS) & ((code & 3) == SOME), code + (MANY - SOME), code)
+    code = np.where((kinds > most_segments) & ((code & 3) == SOME), code + (MANY - SOME), code)
     back = np.empty(len(order), np.uint8)
     back[order] = code
     return [squeeze(x) for x in np.split(back, np.cumsum(sizes)[:-1])]
@@ -260,14 +260,14 @@ def _repeated(pack: Pack, replies: pa.Table, buckets: int) -> np.ndarray:
     return out
 
 
-def _spans(docs: DataFrame, least: int, pack_bytes: int, finish, schema: str) -> DataFrame:
+def _spans(docs: DataFrame, least: int, pack_bytes: int, most_segments: int, finish, schema: str) -> DataFrame:
     spark = docs.sparkSession
     narrow = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     packs, _ = written_packs(narrow.mapInArrow(partial(packed, pack_bytes=pack_bytes), PACK_SCHEMA), "byte-packs")
     buckets = bucket_count(packs, "n_bytes", 8 << 20)
     whole, path = packs.select("pack_id", "rows"), scratch_path(spark, "segments")
     answer_schema = BLOCK_SCHEMA + ", level int"
-    first = answered(whole.mapInArrow(_first_level(buckets, least), BLOCK_SCHEMA), _first_answer)
+    first = answered(whole.mapInArrow(_first_level(buckets, least), BLOCK_SCHEMA), partial(_first_answer, most_segments=most_segments))
     first.withColumn("level", F.lit(0)).write.parquet(path)
     known = spark.read.schema(answer_schema).parquet(path)
     arrow = pa.schema([("pack_id", pa.string()), ("bucket", pa.int32()), ("block", pa.binary())])
@@ -291,7 +291,7 @@ def _spans(docs: DataFrame, least: int, pack_bytes: int, finish, schema: str) ->
     return whole.groupBy("pack_id").cogroup(answers.groupBy("pack_id")).applyInArrow(run, schema)
 
 
-def byte_report(docs: DataFrame, least: int = LEAST, pack_bytes: int = PACK_BYTES) -> DataFrame:
+def byte_report(docs: DataFrame, least: int = LEAST, pack_bytes: int = PACK_BYTES, most_segments: int = MOST_SEGMENTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs``.
 
     A byte is removed if a string of ``least`` bytes over it starts anywhere else too, in the same text or
@@ -313,10 +313,10 @@ def byte_report(docs: DataFrame, least: int = LEAST, pack_bytes: int = PACK_BYTE
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return _spans(docs, least, pack_bytes, finish, schema)
+    return _spans(docs, least, pack_bytes, most_segments, finish, schema)
 
 
-def without_repeats(docs: DataFrame, least: int = LEAST, pack_bytes: int = PACK_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, least: int = LEAST, pack_bytes: int = PACK_BYTES, most_segments: int = MOST_SEGMENTS) -> DataFrame:
     """(doc_id, bytes that are left, as binary: a cut may split a character, removed spans as (start, end) in bytes)."""
 
     def finish(own: Pack, removed: np.ndarray) -> pa.Table:
@@ -330,4 +330,4 @@ def without_repeats(docs: DataFrame, least: int = LEAST, pack_bytes: int = PACK_
         return pa.table([own.key, pa.array(kept, pa.binary()), pa.array(spans, span)], names=["doc_id", "kept", "removed"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return _spans(docs, least, pack_bytes, finish, f"doc_id {id_type}, kept binary, removed array<struct<start:bigint,end:bigint>>")
+    return _spans(docs, least, pack_bytes, most_segments, finish, f"doc_id {id_type}, kept binary, removed array<struct<start:bigint,end:bigint>>")
