@@ -384,8 +384,8 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "judge_means": (["judged"], "SELECT system, " + ", ".join(
         f"avg(coalesce({m}, 0e0)) AS avg_{m}" for m in METRICS) + " FROM judged GROUP BY system"),
     "toxicity_means": (["toxicity"], """
-        SELECT system, side, attribute, sum(CASE WHEN valid THEN score ELSE 0e0 END) / count(*) AS avg_all,
-               avg(score) FILTER (valid) AS avg_valid
+        SELECT system, side, attribute, CAST(sum(CAST(CASE WHEN valid THEN score ELSE 0e0 END AS DECIMAL(28,12))) AS DOUBLE) / count(*) AS avg_all,
+               CAST(sum(CAST(score AS DECIMAL(28,12))) FILTER (valid) AS DOUBLE) / count(score) FILTER (valid) AS avg_valid
         FROM (SELECT system, attribute, valid, 'hate' AS side, hate AS score FROM toxicity
               UNION ALL SELECT system, attribute, valid, 'counter', counter FROM toxicity)
         GROUP BY ALL"""),

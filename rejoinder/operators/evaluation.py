@@ -12,6 +12,10 @@ from rejoinder.operators.ordinals import with_ordinal
 JUDGE_METRICS = [*fixed.JUDGE_CRITERIA, "overall_score"]
 
 
+#: Scores are added as decimals, so that a sum does not depend on the order of the rows.
+EXACT = "decimal(28,12)"
+
+
 def _mean_or_zero(value: Column) -> Column:
     """Mean with missing as 0, and 0 for an empty table."""
     return F.coalesce(F.avg(F.coalesce(value, F.lit(0.0))), F.lit(0.0))
@@ -45,7 +49,7 @@ def toxicity_averages(toxicity: DataFrame, by: list[str] | None = None) -> DataF
     scored = F.coalesce(F.map_entries("scores"), F.array().cast("array<struct<key:string,value:double>>"))
     entries = _sides(toxicity, by or []).select(*keys, F.explode(F.concat(counting, scored)).alias("_e"))
     totals = entries.groupBy(*keys, F.col("_e.key").alias("attribute")).agg(
-        F.sum("_e.value").alias("_sum"), F.count("_e.value").alias("_n"), F.count("*").alias("_rows")
+        F.sum(F.col("_e.value").cast(EXACT)).alias("_sum"), F.count("_e.value").alias("_n"), F.count("*").alias("_rows")
     )
     # A few rows: one per side and attribute.
     texts = F.max(F.when(F.col("attribute").isNull(), F.col("_rows"))).over(Window.partitionBy(*keys))
@@ -54,8 +58,8 @@ def toxicity_averages(toxicity: DataFrame, by: list[str] | None = None) -> DataF
         .filter(F.col("attribute").isNotNull())
         .select(
             *keys, "attribute",
-            (F.col("_sum") / F.col("_texts")).alias("avg_all"),
-            (F.col("_sum") / F.col("_n")).alias("avg_valid"),
+            (F.col("_sum").cast("double") / F.col("_texts")).alias("avg_all"),
+            (F.col("_sum").cast("double") / F.col("_n")).alias("avg_valid"),
         )
     )
 

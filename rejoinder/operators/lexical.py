@@ -168,8 +168,8 @@ def match_terms(
     but matches leaves the task; with ``keep`` only those leave it that can be among the
     ``keep`` best of a query and layer. ``chars`` is an upper bound of the terms' length; where
     it does not settle the matter the terms are counted. Up to ``block_chars`` they are one
-    broadcast; beyond it they are cut by hash into blocks of that size, each matched in its
-    own pass, and the partial scores are added up.
+    broadcast; beyond it the queries are cut by hash into blocks of that size, each matched in
+    its own pass. A block holds whole queries, so scores are final and ``keep`` holds for any size.
     """
     spark = texts.sparkSession
     blocks = 1
@@ -178,8 +178,7 @@ def match_terms(
         blocks = max(1, math.ceil(size / block_chars))
     if blocks > 1:
         blocks = 2 * blocks  # hashed blocks differ in size; halve the mean to stay below the bound
-        terms = terms.withColumn("_block", F.pmod(F.xxhash64("query_id", "term"), F.lit(blocks)))
-        keep = None  # a block knows a part of each score only
+        terms = terms.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
     narrow = texts.select("id", "layer", "text")
     passes = []
     for block in range(blocks):
@@ -194,10 +193,6 @@ def match_terms(
     matched = passes[0]
     for more in passes[1:]:
         matched = matched.unionAll(more)
-    if blocks > 1:
-        matched = matched.groupBy("query_id", "id", "layer").agg(
-            F.sum("score").alias("score"), F.bool_or("qualifies").alias("qualifies")
-        )
     return matched.filter("qualifies").drop("qualifies")
 
 
