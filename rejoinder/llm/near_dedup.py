@@ -34,6 +34,11 @@ SIMILARITY = 0.8
 DARTS = 224
 ROWS = 7
 BANDS = DARTS // ROWS  # a pair at the limit shares no band with probability (1 - 0.8 ** 7) ** 32 = 0.0005
+#: Numbers that hold one bit of each coordinate.
+SKETCH = -(-DARTS // 64)
+#: One bit of each coordinate goes with a candidate. Texts at the limit differ in 22 of 224 bits; more than
+#: this many differ with a probability below one in a million, and the pair is not compared.
+MOST_BITS = 47
 SLICE_BYTES = 2 << 20
 #: Rounds of comparing a bucket with its smallest remaining text before all remaining pairs are compared.
 HUB_ROUNDS = 2
@@ -111,10 +116,15 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             region, owner, digest = regions(part.column("text"))
             n = part.num_rows
             size = np.bincount(owner, minlength=n)
-            keys = bands(dart_minhash(region, owner, n)).view(np.int64)
+            darts = dart_minhash(region, owner, n)
+            keys = bands(darts).view(np.int64)
+            bits = np.packbits((darts & U64(1)).astype(bool), axis=1)
+            sketch = np.zeros((n, SKETCH * 8), np.uint8)
+            sketch[:, : bits.shape[1]] = bits
+            sketches = pa.FixedSizeListArray.from_arrays(pa.array(sketch.view(np.int64).reshape(-1)), SKETCH).cast(pa.list_(pa.int64()))
             lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": part.column("doc_id"), "digest": pa.array(digest.view(np.int64)), "size": pa.array(size.astype(np.int64)), "keys": lists}
+                {"doc_id": part.column("doc_id"), "digest": pa.array(digest.view(np.int64)), "size": pa.array(size.astype(np.int64)), "sketch": sketches, "keys": lists}
             )
 
 
@@ -153,19 +163,20 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    signed = written(texts.mapInArrow(_signed, f"doc_id {id_type}, digest bigint, size bigint, keys array<bigint>"), "darts")
+    signed = written(texts.mapInArrow(_signed, f"doc_id {id_type}, digest bigint, size bigint, sketch array<bigint>, keys array<bigint>"), "darts")
     filled = signed.where("size > 0 AND doc_id IS NOT NULL")
     heads = filled.groupBy("digest", "size").agg(F.min("doc_id").alias("head"))
     own = filled.join(heads, ["digest", "size"])
-    members = own.where("doc_id = head").dropDuplicates(["head"]).select("head", "size", F.explode("keys").alias("key"))
+    members = own.where("doc_id = head").dropDuplicates(["head"]).select("head", "size", "sketch", F.explode("keys").alias("key"))
     crowded = members.groupBy("key").agg(F.count("*").alias("n"), F.min("head").alias("hub")).where("n > 1")
     buckets = written(members.join(crowded.select("key", "hub"), "key"), "buckets")
-    fits = "least(size, other) >= 0.8 * greatest(size, other) - 1e-6"
+    unlike = " + ".join(f"bit_count(sketch[{k}] ^ other_sketch[{k}])" for k in range(SKETCH))
+    fits = f"least(size, other) >= {SIMILARITY} * greatest(size, other) - 1e-6 AND {unlike} <= {MOST_BITS}"
 
     links, tested, inside = None, None, buckets
     roots = None
     for _ in range(HUB_ROUNDS):
-        hubs = inside.where("head = hub").select("key", F.col("size").alias("other"))
+        hubs = inside.where("head = hub").select("key", F.col("size").alias("other"), F.col("sketch").alias("other_sketch"))
         pairs = written(
             inside.join(hubs, "key").where(f"head <> hub AND {fits}").select(F.col("head").alias("u"), F.col("hub").alias("v")).distinct(), "pairs"
         )
@@ -177,7 +188,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
         head_root, hub_root = _root_of(roots, "head", "head_root"), _root_of(roots, "hub", "hub_root")
         strays = (
             inside.join(head_root, "head", "left").join(hub_root, "hub", "left")
-            .where("coalesce(head_root, head) <> coalesce(hub_root, hub)").select("key", "head", "size")
+            .where("coalesce(head_root, head) <> coalesce(hub_root, hub)").select("key", "head", "size", "sketch")
         )
         next_hub = strays.groupBy("key").agg(F.min("head").alias("hub"))
         inside = written(strays.join(next_hub, "key"), "strays")
@@ -185,8 +196,8 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     # all pairs of one bucket that are still in different components and were not compared
     rooted = buckets.drop("hub").join(_root_of(roots, "head", "root"), "head", "left").withColumn("root", F.coalesce("root", "head"))
     rest = inside.select("key", F.col("head").alias("v")).distinct()
-    left = rooted.select("key", F.col("head").alias("u"), "size", "root")
-    right = rooted.select("key", F.col("head").alias("v"), F.col("size").alias("other"), F.col("root").alias("other_root")).join(rest, ["key", "v"], "left_semi")
+    left = rooted.select("key", F.col("head").alias("u"), "size", "sketch", "root")
+    right = rooted.select("key", F.col("head").alias("v"), F.col("size").alias("other"), F.col("sketch").alias("other_sketch"), F.col("root").alias("other_root")).join(rest, ["key", "v"], "left_semi")
     across = left.join(right, "key").where(f"root <> other_root AND {fits}").select("u", "v").distinct()
     across = written(across.join(tested, ["u", "v"], "left_anti"), "pairs")
     roots = components(links.unionByName(written(_verified(across, texts), "links")))
