@@ -10,8 +10,8 @@ fills all coordinates, about k ln k + 2k of them whatever its length.
 Coordinates are banded; texts that share a band are candidates; candidates are compared
 exactly. Links are found between different texts only, copies are collapsed before. Within a
 bucket, texts are compared with its smallest id first; only where that leaves a bucket in
-several components are the remaining pairs across components compared too, so no link within a
-bucket can change the classes.
+several components are the remaining pairs across components compared too, inside the join of the
+bucket, which gives out links and not pairs. So no link within a bucket can change the classes.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.llm.columns import fresh
@@ -34,11 +34,17 @@ SIMILARITY = 0.8
 DARTS = 224
 ROWS = 7
 BANDS = DARTS // ROWS  # a pair at the limit shares no band with probability (1 - 0.8 ** 7) ** 32 = 0.0005
-#: Numbers that hold one bit of each coordinate.
-SKETCH = -(-DARTS // 64)
-#: One bit of each coordinate goes with a candidate. Texts at the limit differ in 22 of 224 bits; more than
-#: this many differ with a probability below one in a million, and the pair is not compared.
-MOST_BITS = 47
+#: Four bits of each coordinate go with a candidate, as this many bit planes of ``PLANE`` numbers each.
+PLANES = 4
+PLANE = -(-DARTS // 64)
+#: Texts at the limit differ in 42 of 224 such values; more than this many differ with a probability of
+#: about one in ten thousand, less than banding loses, and the pair is not compared.
+MOST_UNLIKE = 64
+#: Bytes kept of a region's number where sets of regions are compared.
+REGION_BYTES = 6
+#: Common share of two texts' regions at the limit, s / (1 + s), less a five-hundredth because a shape keeps
+#: 32 bits of a number and its rare collisions may hide a region.
+LEAST_COMMON = 0.998 * SIMILARITY / (1 + SIMILARITY)
 SLICE_BYTES = 2 << 20
 #: Rounds of comparing a bucket with its smallest remaining text before all remaining pairs are compared.
 HUB_ROUNDS = 2
@@ -118,38 +124,68 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.bincount(owner, minlength=n)
             darts = dart_minhash(region, owner, n)
             keys = bands(darts).view(np.int64)
-            bits = np.packbits((darts & U64(1)).astype(bool), axis=1)
-            sketch = np.zeros((n, SKETCH * 8), np.uint8)
-            sketch[:, : bits.shape[1]] = bits
-            sketches = pa.FixedSizeListArray.from_arrays(pa.array(sketch.view(np.int64).reshape(-1)), SKETCH).cast(pa.list_(pa.int64()))
+            sketch = np.zeros((n, PLANES, PLANE * 8), np.uint8)
+            for plane in range(PLANES):
+                bits = np.packbits(((darts >> U64(plane)) & U64(1)).astype(bool), axis=1)
+                sketch[:, plane, : bits.shape[1]] = bits
+            sketches = pa.FixedSizeListArray.from_arrays(pa.array(sketch.reshape(-1).view(np.int64)), PLANES * PLANE).cast(pa.list_(pa.int64()))
             lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": part.column("doc_id"), "digest": pa.array(digest.view(np.int64)), "size": pa.array(size.astype(np.int64)), "sketch": sketches, "keys": lists}
             )
 
 
+#: A sketch has a column for each number, which keeps the code of the join's condition small enough to be compiled.
+SKETCH = [f"sketch_{p}_{k}" for p in range(PLANES) for k in range(PLANE)]
+UNLIKE = " + ".join("bit_count(" + " | ".join(f"(sketch_{p}_{k} ^ other_sketch_{p}_{k})" for p in range(PLANES)) + ")" for k in range(PLANE))
+FITS = f"least(size, other) >= {SIMILARITY} * greatest(size, other) - 1e-6 AND {UNLIKE} <= {MOST_UNLIKE}"
+
+
+def _other(columns: list[str]) -> list[Column]:
+    return [F.col(c).alias(f"other_{c}") for c in columns]
+
+
+def _region_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The regions of each text, ``REGION_BYTES`` bytes each, and its shape, 32 bits of each."""
+    for batch in batches:
+        for part in slices(batch, "text", SLICE_BYTES):
+            region, owner, _ = regions(part.column("text"))
+            places = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.bincount(owner, minlength=part.num_rows))])
+            data = np.ascontiguousarray(region.view(np.uint8).reshape(-1, 8)[:, :REGION_BYTES])
+            offsets = (places * REGION_BYTES).astype(np.int32)
+            sets = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            shape = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array((region >> U64(32)).astype(np.uint32).view(np.int32)))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), sets, shape], ["doc_id", "regions", "shape"])
+
+
+def _numbered(sets: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The regions of some sets, each below the number of its set in the upper bits, and their count by set."""
+    data, offsets = flat(sets)
+    wide = np.zeros((len(data) // REGION_BYTES, 8), np.uint8)
+    wide[:, :REGION_BYTES] = data.reshape(-1, REGION_BYTES)
+    size = np.diff(offsets) // REGION_BYTES
+    owner = np.repeat(np.arange(len(size), dtype=U64), size)
+    return wide.reshape(-1).view(U64) | (owner << U64(8 * REGION_BYTES)), size
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose weighted Jaccard similarity reaches the limit."""
     for batch in batches:
-        for part in slices(batch, "left_text", SLICE_BYTES):
-            n = part.num_rows
-            a, of_a, _ = regions(part.column("left_text"))
-            b, of_b, _ = regions(part.column("right_text"))
-            value, owner = np.concatenate([a, b]), np.concatenate([of_a, of_b])
-            order = np.lexsort((value, owner))
-            value, owner = value[order], owner[order]
-            both = (value[1:] == value[:-1]) & (owner[1:] == owner[:-1])
-            shared = np.bincount(owner[1:][both], minlength=n)
-            union = np.bincount(owner, minlength=n) - shared
-            near = pa.array(shared >= SIMILARITY * union - 1e-9)
+        for part in slices(batch, "left_set", SLICE_BYTES):  # far fewer rows than the upper bits can number
+            a, of_a = _numbered(part.column("left_set"))
+            b, of_b = _numbered(part.column("right_set"))
+            value = np.sort(np.concatenate([a, b]))
+            twice = value[1:][value[1:] == value[:-1]] >> U64(8 * REGION_BYTES)
+            shared = np.bincount(twice.astype(np.int64), minlength=part.num_rows)
+            near = pa.array(shared >= SIMILARITY * (of_a + of_b - shared) - 1e-9)
             yield pa.RecordBatch.from_arrays([part.column("u"), part.column("v")], ["u", "v"]).filter(near)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    left = docs.select(F.col("doc_id").alias("u"), F.col("text").alias("left_text"))
-    right = docs.select(F.col("doc_id").alias("v"), F.col("text").alias("right_text"))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    joined = pairs.join(left, "u").join(right, "v").select("u", "v", "left_text", "right_text")
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    left = sets.select(F.col("doc_id").alias("u"), F.col("regions").alias("left_set"))
+    right = sets.select(F.col("doc_id").alias("v"), F.col("regions").alias("right_set"))
+    id_type = sets.schema["doc_id"].dataType.simpleString()
+    joined = pairs.join(left, "u").join(right, "v").select("u", "v", "left_set", "right_set")
     return joined.mapInArrow(_compared, f"u {id_type}, v {id_type}")
 
 
@@ -166,41 +202,49 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     signed = written(texts.mapInArrow(_signed, f"doc_id {id_type}, digest bigint, size bigint, sketch array<bigint>, keys array<bigint>"), "darts")
     filled = signed.where("size > 0 AND doc_id IS NOT NULL")
     heads = filled.groupBy("digest", "size").agg(F.min("doc_id").alias("head"))
-    own = filled.join(heads, ["digest", "size"])
-    members = own.where("doc_id = head").dropDuplicates(["head"]).select("head", "size", "sketch", F.explode("keys").alias("key"))
+    own = filled.join(heads, ["digest", "size"]).where("doc_id = head").dropDuplicates(["head"])
+    own = written(own.select("head", "size", "sketch", "keys"), "heads")
+    members = own.select("head", F.explode("keys").alias("key"))  # narrow: most buckets hold one text and end here
     crowded = members.groupBy("key").agg(F.count("*").alias("n"), F.min("head").alias("hub")).where("n > 1")
-    buckets = written(members.join(crowded.select("key", "hub"), "key"), "buckets")
-    unlike = " + ".join(f"bit_count(sketch[{k}] ^ other_sketch[{k}])" for k in range(SKETCH))
-    fits = f"least(size, other) >= {SIMILARITY} * greatest(size, other) - 1e-6 AND {unlike} <= {MOST_BITS}"
+    crowd = members.join(crowded.select("key", "hub"), "key")
+    buckets = written(crowd.join(own.select("head", "size", *[F.col("sketch")[n].alias(c) for n, c in enumerate(SKETCH)]), "head"), "buckets")
+    wanted = buckets.select(F.col("head").alias("doc_id")).distinct()
+    sets = written(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_region_sets, f"doc_id {id_type}, regions binary, shape array<int>"), "regions")
 
-    links, tested, inside = None, None, buckets
+    links, inside = None, buckets
     roots = None
     for _ in range(HUB_ROUNDS):
-        hubs = inside.where("head = hub").select("key", F.col("size").alias("other"), F.col("sketch").alias("other_sketch"))
+        hubs = inside.where("head = hub").select("key", F.col("size").alias("other"), *_other(SKETCH))
         pairs = written(
-            inside.join(hubs, "key").where(f"head <> hub AND {fits}").select(F.col("head").alias("u"), F.col("hub").alias("v")).distinct(), "pairs"
+            inside.join(hubs, "key").where(f"head <> hub AND {FITS}").select(F.col("head").alias("u"), F.col("hub").alias("v")).distinct(), "pairs"
         )
-        found = written(_verified(pairs, texts), "links")
+        found = written(_verified(pairs, sets), "links")
         links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
         roots = components(links)
         # texts that are not in the component of their bucket's hub go on to the next round
         head_root, hub_root = _root_of(roots, "head", "head_root"), _root_of(roots, "hub", "hub_root")
         strays = (
             inside.join(head_root, "head", "left").join(hub_root, "hub", "left")
-            .where("coalesce(head_root, head) <> coalesce(hub_root, hub)").select("key", "head", "size", "sketch")
+            .where("coalesce(head_root, head) <> coalesce(hub_root, hub)").select("key", "head", "size", *SKETCH)
         )
         next_hub = strays.groupBy("key").agg(F.min("head").alias("hub"))
         inside = written(strays.join(next_hub, "key"), "strays")
 
-    # all pairs of one bucket that are still in different components and were not compared
-    rooted = buckets.drop("hub").join(_root_of(roots, "head", "root"), "head", "left").withColumn("root", F.coalesce("root", "head"))
-    rest = inside.select("key", F.col("head").alias("v")).distinct()
-    left = rooted.select("key", F.col("head").alias("u"), "size", "sketch", "root")
-    right = rooted.select("key", F.col("head").alias("v"), F.col("size").alias("other"), F.col("sketch").alias("other_sketch"), F.col("root").alias("other_root")).join(rest, ["key", "v"], "left_semi")
-    across = left.join(right, "key").where(f"root <> other_root AND {fits}").select("u", "v").distinct()
-    across = written(across.join(tested, ["u", "v"], "left_anti"), "pairs")
-    roots = components(links.unionByName(written(_verified(across, texts), "links")))
+    # All pairs of a bucket that are still in different components: at least one of the two is not in the component
+    # of the bucket's hub. They are compared where they meet, so that only links leave the join.
+    rooted = (
+        buckets.join(_root_of(roots, "head", "root"), "head", "left").join(_root_of(roots, "hub", "hub_root"), "hub", "left")
+        .select("key", "head", "size", *SKETCH, F.coalesce("root", "head").alias("root"), F.expr("coalesce(root, head) <> coalesce(hub_root, hub)").alias("stray"))
+    )
+    mixed = rooted.groupBy("key").agg(F.max("stray").alias("mixed")).where("mixed").select("key")
+    shapes = own.select("head", "keys").join(sets.select(F.col("doc_id").alias("head"), "shape"), "head")
+    left = rooted.join(mixed, "key", "left_semi").join(shapes, "head").withColumn("earlier", F.expr("slice(keys, 1, cast(array_position(keys, key) - 1 AS int))"))
+    left = written(left, "mixed")
+    right = left.where("stray").select("key", *_other(["head", "root", "keys", "shape", *SKETCH]), F.col("size").alias("other"))
+    alike = f"size(array_intersect(shape, other_shape)) >= {LEAST_COMMON} * (size + other)"
+    across = left.join(right, "key").where(f"root <> other_root AND (NOT stray OR head > other_head) AND {FITS} AND NOT arrays_overlap(earlier, other_keys) AND {alike}")
+    across = written(across.select(F.greatest("head", "other_head").alias("u"), F.least("head", "other_head").alias("v")).distinct(), "pairs")
+    roots = components(links.unionByName(written(_verified(across, sets), "links")))
 
     classes = heads.join(_root_of(roots, "head", "root"), "head", "left").select("digest", "size", F.coalesce("root", "head").alias("class_id"))
     return signed.join(classes, ["digest", "size"], "left").select(
