@@ -42,6 +42,9 @@ PLANE = -(-DARTS // 64)
 MOST_UNLIKE = 64
 #: Bytes kept of a region's number where sets of regions are compared.
 REGION_BYTES = 6
+#: Bits of the map of texts that share a bucket: 8 MB. One row of it, as Spark's bitmap functions cut it, holds 32,768.
+SLOTS = 1 << 26
+SLOTS_OF_ROW = 1 << 15
 #: Common share of two texts' regions at the limit, s / (1 + s), less a five-hundredth because a shape keeps
 #: 32 bits of a number and its rare collisions may hide a region.
 LEAST_COMMON = 0.998 * SIMILARITY / (1 + SIMILARITY)
@@ -145,9 +148,35 @@ def _other(columns: list[str]) -> list[Column]:
     return [F.col(c).alias(f"other_{c}") for c in columns]
 
 
-def _region_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets_of(texts: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(doc_id, regions, shape) of at least all texts in ``buckets``.
+
+    A bitmap of ``SLOTS`` bits, whatever the input, tells which texts may be in a bucket, so that texts are read where
+    they are and not shuffled. A text that only shares a slot with another does no harm.
+    """
+    slot = lambda column: F.pmod(F.xxhash64(column), F.lit(SLOTS))
+    used = buckets.select(slot("head").alias("slot"))
+    rows = used.groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    bitmap = np.zeros((SLOTS // SLOTS_OF_ROW + 1, SLOTS_OF_ROW // 8), np.uint8)
+    for row in rows:  # at most SLOTS / SLOTS_OF_ROW + 1
+        bitmap[row.part] = np.frombuffer(row.bits, np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            bit = (shared.value[batch.column("part").to_numpy(), place // 8] >> (place % 8).astype(np.uint8)) & 1
+            yield from _region_sets(batch.filter(pa.array(bit.astype(bool))))
+
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    placed = texts.where("doc_id IS NOT NULL").withColumn("slot", slot("doc_id"))
+    placed = placed.select("doc_id", "text", F.bitmap_bucket_number("slot").alias("part"), F.bitmap_bit_position("slot").alias("place"))
+    return placed.mapInArrow(sets, f"doc_id {id_type}, regions binary, shape array<int>")
+
+
+def _region_sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The regions of each text, ``REGION_BYTES`` bytes each, and its shape, 32 bits of each."""
-    for batch in batches:
+    if batch.num_rows:
         for part in slices(batch, "text", SLICE_BYTES):
             region, owner, _ = regions(part.column("text"))
             places = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.bincount(owner, minlength=part.num_rows))])
@@ -202,14 +231,13 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     signed = written(texts.mapInArrow(_signed, f"doc_id {id_type}, digest bigint, size bigint, sketch array<bigint>, keys array<bigint>"), "darts")
     filled = signed.where("size > 0 AND doc_id IS NOT NULL")
     heads = filled.groupBy("digest", "size").agg(F.min("doc_id").alias("head"))
-    own = filled.join(heads, ["digest", "size"]).where("doc_id = head").dropDuplicates(["head"])
+    own = filled.join(heads, ["digest", "size"]).where("doc_id = head").dropDuplicates(["digest", "size"])
     own = written(own.select("head", "size", "sketch", "keys"), "heads")
     members = own.select("head", F.explode("keys").alias("key"))  # narrow: most buckets hold one text and end here
     crowded = members.groupBy("key").agg(F.count("*").alias("n"), F.min("head").alias("hub")).where("n > 1")
     crowd = members.join(crowded.select("key", "hub"), "key")
     buckets = written(crowd.join(own.select("head", "size", *[F.col("sketch")[n].alias(c) for n, c in enumerate(SKETCH)]), "head"), "buckets")
-    wanted = buckets.select(F.col("head").alias("doc_id")).distinct()
-    sets = written(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_region_sets, f"doc_id {id_type}, regions binary, shape array<int>"), "regions")
+    sets = written(_sets_of(texts, buckets), "regions")
 
     links, inside = None, buckets
     roots = None
@@ -238,7 +266,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     )
     mixed = rooted.groupBy("key").agg(F.max("stray").alias("mixed")).where("mixed").select("key")
     shapes = own.select("head", "keys").join(sets.select(F.col("doc_id").alias("head"), "shape"), "head")
-    left = rooted.join(mixed, "key", "left_semi").join(shapes, "head").withColumn("earlier", F.expr("slice(keys, 1, cast(array_position(keys, key) - 1 AS int))"))
+    left = rooted.join(mixed, "key", "left_semi").join(shapes, "head").withColumn("earlier", F.expr("slice(keys, 1, cast(greatest(array_position(keys, key) - 1, 0) AS int))"))
     left = written(left, "mixed")
     right = left.where("stray").select("key", *_other(["head", "root", "keys", "shape", *SKETCH]), F.col("size").alias("other"))
     alike = f"size(array_intersect(shape, other_shape)) >= {LEAST_COMMON} * (size + other)"
