@@ -179,6 +179,25 @@ def test_near_dedup(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, c in got.items() if i == c}
 
 
+def test_near_dedup_of_hard_rows(spark, docs, rows):
+    got = near_dedup.near_duplicate_classes(docs).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r.class_id for r in got}
+    assert by_id[None] is None and all(r.kept for r in got if r.doc_id is None)
+    same = defaultdict(set)
+    for i, t in rows:
+        if i is not None and t and t.strip():
+            same[t.lower()].add(by_id[i])
+    assert all(len(classes) == 1 for classes in same.values())
+    # one id with two texts, each with a near copy under another id
+    chance = random.Random(8)
+    a, b = ([f"{x}{chance.randrange(10**6)}" for _ in range(150)] for x in "ab")
+    twice = [(5, " ".join(a)), (5, " ".join(b)), (6, " ".join(a[:-1])), (7, " ".join(b[:-1])), (8, "alone")]
+    found = near_dedup.near_duplicate_classes(frame(spark, twice)).collect()
+    assert len(found) == 5 and {r.doc_id: r.class_id for r in found} == {5: 5, 6: 5, 7: 5, 8: 8}
+    assert near_dedup.near_duplicate_classes(frame(spark, [])).collect() == []
+
+
 def test_dart_minhash_estimates_similarity():
     a, b = np.arange(0, 900, dtype=np.uint64), np.arange(100, 1000, dtype=np.uint64)
     region = near_dedup.mix(np.concatenate([a, b]))
