@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
@@ -42,36 +42,57 @@ def _keep_best(query, sentence, similarity, k: int):
 def _local_nearest(shared, k: int):
     """Nearest sentences of one partition for every query of the block.
 
-    Sentences come in tiles; only entries that reach the k-th best value known for their
-    query survive a tile, so memory stays at k entries per query plus one tile.
+    Sentences come in tiles of several times ``k``; only entries that reach the k-th best value
+    known for their query survive a tile, so memory stays at k entries per query plus one tile.
+    Vectors with a null, infinite or undefined number have no similarity and are left out.
     """
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, matrix = shared.value
         floor = np.full(len(ids), -np.inf)
         best = (np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.array([], dtype=np.float64))
-        rows = max(1, TILE_VALUES // max(1, len(ids)))
+        rows = max(4 * k, TILE_VALUES // max(1, len(ids)))
         for batch in batches:
             for start in range(0, len(batch), rows):
                 tile = batch.iloc[start : start + rows]
-                vectors = _unit_rows(np.stack(tile["embedding"].to_numpy()).astype(np.float64))
-                values = np.round(matrix @ vectors.T, SIMILARITY_DIGITS)
+                vectors = np.stack(tile["embedding"].to_numpy()).astype(np.float64)
+                finite = np.isfinite(vectors).all(axis=1)
+                values = np.round(matrix @ _unit_rows(vectors[finite]).T, SIMILARITY_DIGITS)
                 if values.shape[1] > k:
                     reach = np.partition(values, values.shape[1] - k, axis=1)[:, values.shape[1] - k]
                     floor = np.maximum(floor, reach)
                 query, column = np.nonzero(values >= floor[:, None])
-                sentence = tile["id"].to_numpy()[column]
+                sentence = tile["id"].to_numpy()[finite][column]
                 best = _keep_best(
                     np.r_[best[0], query], np.r_[best[1], sentence], np.r_[best[2], values[query, column]], k
                 )
+                many = np.bincount(best[0], minlength=len(ids))
+                full = many == k
+                floor[full] = best[2][np.cumsum(many)[full] - 1]
         if len(best[0]):
             yield pd.DataFrame({"query_id": ids[best[0]], "sentence_id": best[1], "similarity": best[2]})
 
     return search
 
 
+def vector_fault(dimension: int) -> Column:
+    """Why a vector cannot be searched: ``missing``, ``dimension`` or ``not finite``; null for a good one."""
+    finite = F.coalesce(F.forall("embedding", lambda x: F.abs(x) < F.lit(float("inf"))), F.lit(False))
+    return (
+        F.when(F.col("embedding").isNull(), "missing")
+        .when(F.size("embedding") != dimension, "dimension")
+        .when(~finite, "not finite")
+    )
+
+
+def rejected_vectors(vectors: DataFrame, key: str, dimension: int) -> DataFrame:
+    """(key, fault) of the queries or sentences that ``nearest_sentences`` leaves out."""
+    return vectors.select(key, vector_fault(dimension).alias("fault")).filter(F.col("fault").isNotNull())
+
+
 def nearest_sentences(
-    queries: DataFrame, sentences: DataFrame, k: int, block_values: int = QUERY_BLOCK_VALUES
+    queries: DataFrame, sentences: DataFrame, k: int, block_values: int = QUERY_BLOCK_VALUES,
+    dimension: int | None = None,
 ) -> DataFrame:
     """The ``k`` sentences with the highest cosine per query, over the whole sentence table.
 
@@ -80,10 +101,16 @@ def nearest_sentences(
     sentence partition returns its own k best per query, found by matrix products; more
     queries are cut by hash into such blocks. Similarities are rounded to nine digits so
     that equal vectors tie whatever the order of addition, and ties go to the lowest id.
+
+    Vectors have ``dimension`` numbers; if it is not given, as many as most queries have (the
+    fewest on a tie). ``rejected_vectors`` lists the others, which get no hits and are none.
     """
     spark = sentences.sparkSession
     asked = queries.filter(F.col("embedding").isNotNull()).select("query_id", "embedding")
-    count, dimension = asked.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    if dimension is None:
+        dimension = asked.agg(F.mode(F.size("embedding"), True)).first()[0]
+    asked = asked.filter(vector_fault(dimension or 0).isNull())
+    count = asked.count() if dimension else 0
     if not count:
         return spark.createDataFrame([], HIT_SCHEMA + ", place int")
     per_block = max(1, block_values // dimension)
@@ -95,7 +122,7 @@ def nearest_sentences(
     passes = []
     for block in range(blocks):
         part = asked.filter(F.col("_block") == block) if blocks > 1 else asked
-        rows = part.filter(F.size("embedding") == dimension).select("query_id", "embedding").toPandas()
+        rows = part.select("query_id", "embedding").toPandas()
         if not len(rows):
             continue
         matrix = _unit_rows(np.stack(rows["embedding"].to_numpy()).astype(np.float64))

@@ -106,6 +106,25 @@ def test_nearest_equals_brute_force(spark, vectors, block_values, tile, monkeypa
     assert found[0] == [7, 100, 101, 102, 103, 104]
 
 
+def test_bad_vectors_spoil_nothing(spark, vectors):
+    queries, sentences = vectors
+    schema = "query_id bigint, embedding array<float>"
+    good = [(n, v.tolist()) for n, v in enumerate(queries)]
+    bad = [(50, [1.0] * 9), (51, [1.0] * 7 + [None]), (52, [1.0] * 7 + [float("nan")]), (53, None)]
+    rows = [(n, v.tolist()) for n, v in enumerate(sentences)]
+    holes = [(300 + n, [None] + [1.0] * 7) for n in range(20)] + [(400, [float("inf")] * 8), (401, [1.0] * 9)]
+
+    def nearest(asked, known, **options):
+        s = spark.createDataFrame(known, "id bigint, embedding array<float>").coalesce(1)
+        found = semantic.nearest_sentences(spark.createDataFrame(asked, schema), s, 6, **options)
+        return sorted((r.query_id, r.place, r.sentence_id) for r in found.collect())
+
+    assert nearest(good + bad, holes + rows) == nearest(good, rows)
+    assert nearest(good + bad, holes + rows, dimension=9) == [(50, 1, 401)]
+    told = semantic.rejected_vectors(spark.createDataFrame(good + bad, schema), "query_id", 8).collect()
+    assert {r.query_id: r.fault for r in told} == {50: "dimension", 51: "not finite", 52: "not finite", 53: "missing"}
+
+
 def test_no_queries(spark):
     q = spark.createDataFrame([], "query_id bigint, embedding array<float>")
     s = spark.createDataFrame([(1, [1.0])], "id bigint, embedding array<float>")
