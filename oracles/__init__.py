@@ -448,11 +448,13 @@ ORACLES: dict[str, str] = {
         f"""SELECT query_id, place, hate_paragraph_id AS id, counter_id, round(similarity_score, 2) AS similarity,
                    round(quality_score, 2) AS harmfulness, round(raw, 6) AS raw_weighted_score,
                    round({calibrated('raw')}, 6) AS calibrated_score, {fixed.OBSERVED_RANGE[0]}e0 AS observed_min,
-                   {fixed.OBSERVED_RANGE[1]}e0 AS observed_max, {fixed.SIMILARITY_WEIGHT}e0 AS similarity_weight,
-                   {fixed.HARMFULNESS_WEIGHT}e0 AS harmfulness_weight
+                   {fixed.OBSERVED_RANGE[1]}e0 AS observed_max, 5.5e0 AS theoretical_min, 10e0 AS theoretical_max,
+                   hits AS items, round(raw_score, 6) AS query_raw_score, round(severity, 6) AS query_calibrated_score,
+                   {fixed.SIMILARITY_WEIGHT}e0 AS similarity_weight, {fixed.HARMFULNESS_WEIGHT}e0 AS harmfulness_weight
             FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY raw DESC, rank) AS place
-                  FROM (SELECT *, {raw()} AS raw FROM semantic_context)) WHERE place <= 3""",
-        "semantic_context"),
+                  FROM (SELECT *, {raw()} AS raw FROM semantic_context))
+            JOIN semantic_assessed USING (query_id) WHERE place <= 3""",
+        "semantic_context", "semantic_assessed"),
     "mitigation_level": with_views("SELECT query_id, mitigation_level FROM hybrid_assessed", "hybrid_assessed"),
     "mitigation_summary": with_views(
         f"""SELECT (SELECT count(*) FROM semantic_assessed) AS total_queries, level AS mitigation_level,
@@ -525,8 +527,11 @@ ORACLES: dict[str, str] = {
     "filter_high_quality": with_views(
         f"SELECT pair_id, round(quality, 6) AS quality FROM scored WHERE quality >= {fixed.QUALITY_THRESHOLD}", "scored"),
     "quality_summary": with_views(
-        """SELECT count(*) AS total_pairs, round(avg(harmful_subtotal), 6) AS average_harmful_content_score,
-                  round(avg(counter_subtotal), 6) AS average_counterspeech_score,
+        """SELECT count(*) AS total_pairs,
+                  round(CAST(sum(CAST(harmful_subtotal AS DECIMAL(28,12))) AS DOUBLE) / count(harmful_subtotal), 6)
+                      AS average_harmful_content_score,
+                  round(CAST(sum(CAST(counter_subtotal AS DECIMAL(28,12))) AS DOUBLE) / count(counter_subtotal), 6)
+                      AS average_counterspeech_score,
                   count(*) FILTER (counter_subtotal >= 8) AS excellent,
                   count(*) FILTER (counter_subtotal >= 7 AND counter_subtotal < 8) AS good,
                   count(*) FILTER (counter_subtotal >= 5 AND counter_subtotal < 7) AS average,

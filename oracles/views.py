@@ -382,7 +382,8 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "gold_judged": (["judged"], "SELECT * EXCLUDE (system) FROM judged WHERE system = 'gold'"),
     "toxicity": (["pairs"], _toxicity()),
     "judge_means": (["judged"], "SELECT system, " + ", ".join(
-        f"avg(coalesce({m}, 0e0)) AS avg_{m}" for m in METRICS) + " FROM judged GROUP BY system"),
+        f"CAST(sum(CAST(coalesce({m}, 0e0) AS DECIMAL(28,12))) AS DOUBLE) / count(*) AS avg_{m}" for m in METRICS)
+        + " FROM judged GROUP BY system"),
     "toxicity_means": (["toxicity"], """
         SELECT system, side, attribute, CAST(sum(CAST(CASE WHEN valid THEN score ELSE 0e0 END AS DECIMAL(28,12))) AS DOUBLE) / count(*) AS avg_all,
                CAST(sum(CAST(score AS DECIMAL(28,12))) FILTER (valid) AS DOUBLE) / count(score) FILTER (valid) AS avg_valid
@@ -390,9 +391,10 @@ VIEWS: dict[str, tuple[list[str], str]] = {
               UNION ALL SELECT system, attribute, valid, 'counter', counter FROM toxicity)
         GROUP BY ALL"""),
     "toxicity_drops": (["toxicity"], """
-        SELECT system, attribute, avg(hate - counter) AS avg_reduction,
-               avg(CASE WHEN hate > 0 THEN (hate - counter) / hate * 100e0 WHEN counter = 0 THEN 0e0 ELSE -100e0 END)
-                   AS avg_reduction_percent,
+        SELECT system, attribute,
+               CAST(sum(CAST(hate - counter AS DECIMAL(28,12))) AS DOUBLE) / count(hate - counter) AS avg_reduction,
+               CAST(sum(CAST(CASE WHEN hate > 0 THEN (hate - counter) / hate * 100e0 WHEN counter = 0 THEN 0e0 ELSE -100e0 END
+                             AS DECIMAL(28,12))) AS DOUBLE) / count(*) AS avg_reduction_percent,
                avg(CASE WHEN hate - counter > 0 THEN 1e0 ELSE 0e0 END) AS samples_with_reduction
         FROM toxicity WHERE valid GROUP BY ALL"""),
     "evaluated": (["scored"], """

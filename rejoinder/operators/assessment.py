@@ -51,9 +51,12 @@ def assess(queries: DataFrame, context: DataFrame) -> DataFrame:
 
 
 def assessment_details(context: DataFrame) -> DataFrame:
-    """The counted hits with rounded inputs, raw score and own calibrated score (no minimum)."""
+    """The counted hits with rounded inputs, raw score and own calibrated score (no minimum), and
+    beside them the number of hits of the query, its mean raw score and its severity."""
     low, high = fixed.OBSERVED_RANGE
-    return top_hits(context).select(
+    least, most = fixed.THEORETICAL_RANGE
+    whole = top_mean(context).select("query_id", F.col("hits").alias("items"), F.col("raw_score").alias("query_raw_score"))
+    return top_hits(context).join(whole, "query_id").select(
         "query_id",
         F.col("place").cast("bigint").alias("place"),
         F.col("hate_paragraph_id").alias("id"),
@@ -64,6 +67,11 @@ def assessment_details(context: DataFrame) -> DataFrame:
         calibrated(F.col("raw_score")).alias("calibrated_score"),
         F.lit(low).alias("observed_min"),
         F.lit(high).alias("observed_max"),
+        F.lit(least).alias("theoretical_min"),
+        F.lit(most).alias("theoretical_max"),
+        "items",
+        "query_raw_score",
+        severity(F.col("query_raw_score")).alias("query_calibrated_score"),
         F.lit(fixed.SIMILARITY_WEIGHT).alias("similarity_weight"),
         F.lit(fixed.HARMFULNESS_WEIGHT).alias("harmfulness_weight"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
-from rejoinder.operators.joins import top_per
+from rejoinder.operators.joins import top_per_merged
 from rejoinder.operators.ordinals import with_ordinal
 
 JUDGE_METRICS = [*fixed.JUDGE_CRITERIA, "overall_score"]
@@ -16,9 +16,14 @@ JUDGE_METRICS = [*fixed.JUDGE_CRITERIA, "overall_score"]
 EXACT = "decimal(28,12)"
 
 
+def _mean(value: Column) -> Column:
+    """Mean of the values that are not null, divided once; null without any."""
+    return F.sum(value.cast(EXACT)).cast("double") / F.nullif(F.count(value), F.lit(0))
+
+
 def _mean_or_zero(value: Column) -> Column:
     """Mean with missing as 0, and 0 for an empty table."""
-    return F.coalesce(F.avg(F.coalesce(value, F.lit(0.0))), F.lit(0.0))
+    return F.coalesce(_mean(F.coalesce(value, F.lit(0.0))), F.lit(0.0))
 
 
 def judge_averages(judged: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -82,8 +87,8 @@ def toxicity_reduction(toxicity: DataFrame, by: list[str] | None = None) -> Data
         entries.filter(F.col("_hate").isNotNull() & F.col("_counter").isNotNull())
         .groupBy(*keys, "attribute")
         .agg(
-            F.avg(drop).alias("avg_reduction"),
-            F.avg(percent).alias("avg_reduction_percent"),
+            _mean(drop).alias("avg_reduction"),
+            _mean(percent).alias("avg_reduction_percent"),
             F.avg(F.when(drop > 0, 1.0).otherwise(0.0)).alias("samples_with_reduction"),
         )
     )
@@ -179,12 +184,12 @@ def stratified_sample(
     """``floor(n * stratum / total)`` rows of each stratum, no repeats.
 
     A stratum never gives more than ``n`` rows, so Spark cuts each partition to ``n`` rows per
-    stratum before the shuffle; the exact quota is applied afterwards.
+    stratum before the shuffle and merges these in two steps; the exact quota is applied afterwards.
     """
     sizes = df.groupBy(stratum).agg(F.count("*").alias("_size"))
     total = df.agg(F.count("*").alias("_total"))
     quota = F.least(F.call_function("div", F.lit(n) * F.col("_size"), total.scalar()), F.col("_size"))
-    picked = top_per(
+    picked = top_per_merged(
         df.withColumn("_draw", _draw(key, seed)), [stratum], [F.asc("_draw"), F.asc(key)], n, "_place"
     )
     return (
@@ -234,8 +239,8 @@ def quality_summary(scored: DataFrame) -> DataFrame:
     s = F.col("counter_subtotal")
     return scored.agg(
         F.count("*").alias("total_pairs"),
-        F.coalesce(F.avg("harmful_subtotal"), F.lit(0.0)).alias("average_harmful_content_score"),
-        F.coalesce(F.avg(s), F.lit(0.0)).alias("average_counterspeech_score"),
+        F.coalesce(_mean(F.col("harmful_subtotal")), F.lit(0.0)).alias("average_harmful_content_score"),
+        F.coalesce(_mean(s), F.lit(0.0)).alias("average_counterspeech_score"),
         F.count_if(s >= 8.0).alias("excellent"),
         F.count_if((s >= 7.0) & (s < 8.0)).alias("good"),
         F.count_if((s >= 5.0) & (s < 7.0)).alias("average"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
 from rejoinder.functions.text import contains_any, strip, whole_parts
+from rejoinder.operators.joins import top_per_merged
 from rejoinder.operators.ordinals import with_ordinal
 
 TURN_BLOCK = 65_536
@@ -199,7 +200,7 @@ def split_marked_records(
 
     Text before the first marker is no record. Each topic gives its first ``per_topic``
     records of at most ``max_chars`` characters, in (gen_id, position) order. The row limit
-    is applied inside each input partition before the shuffle.
+    is applied inside each input partition before the shuffle, and merged in two steps.
     """
     pieces = F.split("text", f"\\Q{marker}\\E")
     records = (
@@ -208,9 +209,5 @@ def split_marked_records(
         .withColumn("record", strip(F.col("_piece")))
         .filter((F.col("record") != "") & (F.length("record") <= max_chars))
     )
-    first = Window.partitionBy("topic").orderBy("gen_id", "position")
-    return (
-        records.withColumn("record_no", F.row_number().over(first))
-        .filter(F.col("record_no") <= per_topic)
-        .select("topic", "gen_id", F.col("record_no").cast("bigint").alias("record_no"), "record")
-    )
+    first = top_per_merged(records, ["topic"], [F.asc("gen_id"), F.asc("position")], per_topic, "record_no")
+    return first.select("topic", "gen_id", F.col("record_no").cast("bigint").alias("record_no"), "record")

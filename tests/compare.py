@@ -30,17 +30,6 @@ def rows(columns: list[str], table) -> list[tuple]:
     return sorted((tuple(plain(r[n]) for n in order) for r in table), key=repr)
 
 
-def same(a: tuple, b: tuple) -> bool:
-    """Equal values, floats within what rounding to six digits can differ by."""
-    for x, y in zip(a, b):
-        if isinstance(x, (float, int)) and isinstance(y, (float, int)) and not isinstance(x, bool):
-            if abs(x - y) > 1.5e-6:
-                return False
-        elif x != y:
-            return False
-    return len(a) == len(b)
-
-
 def differences(spark_df, con, sql: str) -> list[str]:
     found = con.execute(sql)
     names = [d[0] for d in found.description]
@@ -51,7 +40,7 @@ def differences(spark_df, con, sql: str) -> list[str]:
     if len(ours) != len(theirs):
         problems.append(f"{len(ours)} rows and {len(theirs)}")
     for a, b in zip(ours, theirs):
-        if not same(a, b):
+        if a != b:
             problems.append(f"{str(a)[:400]}\n      {str(b)[:400]}")
             break
     return problems

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin on the small tables."""
+"""Every registered query against its SQL twin at sf0.01, with no tolerance beyond six digits."""
 
 import os
 
@@ -9,7 +9,7 @@ from compare import connect, differences
 from oracles import ORACLES as LIBRARY_ORACLES
 from rejoinder.plans.catalog import CATALOG
 
-PATH = os.environ.get("ORACLE_DIR", entry_points.SMOKE_DIR)
+PATH = os.environ.get("ORACLE_DIR", "/root/testdata/sf0.01")
 ORACLES = entry_points.oracle_sql()
 
 
