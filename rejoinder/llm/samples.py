@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rejoinder.llm.columns import held_out
+from rejoinder.operators.joins import top_per_merged
 
 
 def first_by_hash(rows: DataFrame, group: str, most: int, salt: int = 0) -> DataFrame:
-    """At most ``most`` ids of every value of ``group``, the smallest by a hash of the id."""
+    """At most ``most`` ids of every value of ``group``, the smallest by a hash of the id; merged in two steps, as there are few values."""
     order = F.xxhash64(F.col("doc_id"), F.lit(salt))
-    ranked = rows.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(order, "doc_id")))
-    return ranked.where(F.col("place") <= most).drop("place")
+    return top_per_merged(rows, [group], [order, F.asc("doc_id")], most, "place").drop("place")
 
 
 def with_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
