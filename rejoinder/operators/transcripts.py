@@ -67,8 +67,8 @@ def debate_messages(debates: DataFrame, key: str = "debate_id") -> DataFrame:
     ).select(key, "source", "turn", F.col("_message.role").alias("role"), F.col("_message.content").alias("content"))
 
 
-def debate_pairs(debates: DataFrame, key: str = "debate_id") -> DataFrame:
-    """Pairs of nested debates: ready-made ``content`` first, else the message arrays."""
+def _ready_pairs(debates: DataFrame, key: str) -> tuple[DataFrame, Column]:
+    """Pairs of debates with ready-made ``content``, and the condition that tells these debates."""
     ready = F.coalesce(
         F.col("content.proponent").isNotNull() & F.col("content.opponent").isNotNull(), F.lit(False)
     )
@@ -79,12 +79,39 @@ def debate_pairs(debates: DataFrame, key: str = "debate_id") -> DataFrame:
         F.col("content.proponent").alias("proponent"),
         F.col("content.opponent").alias("opponent"),
     )
+    return given, ready
+
+
+def debate_pairs(debates: DataFrame, key: str = "debate_id") -> DataFrame:
+    """Pairs of nested debates: ready-made ``content`` first, else the message arrays."""
+    given, ready = _ready_pairs(debates, key)
     messages = debate_messages(debates.filter(~ready), key)
     # Messages of one debate come from one row, so they fit a task.
+    return given.unionByName(_walked_sources(messages, key, turn_block=None))
+
+
+def flat_debate_pairs(
+    contents: DataFrame, messages: DataFrame, key: str = "debate_id", turn_block: int = TURN_BLOCK
+) -> DataFrame:
+    """Pairs of debates of any length: ready-made content first, else the message rows.
+
+    ``contents`` has ``key, content``; ``messages`` has ``key, source, turn, role, content``,
+    where the source ``full_debate`` goes before ``history``. No debate is cut.
+    """
+    given, _ = _ready_pairs(contents, key)
+    walked = _walked_sources(messages, key, turn_block)
+    has_full = messages.filter(F.col("source") == "full_debate").select(key).distinct()
+    passed_over = given.select(key, F.explode(F.array(F.lit("full_debate"), F.lit("history"))).alias("source")).unionByName(
+        has_full.withColumn("source", F.lit("history"))
+    )
+    return given.unionByName(walked.join(passed_over, [key, "source"], "left_anti"))
+
+
+def _walked_sources(messages: DataFrame, key: str, turn_block: int | None) -> DataFrame:
+    """Pairs inside each message source of each debate."""
     named = messages.select(F.struct(key, "source").alias("_id"), "turn", "role", "content")
-    paired = extract_pairs(named, "_id", turn_block=None)
-    walked = paired.select(f"_id.{key}", "_id.source", "turn", "proponent", "opponent")
-    return given.unionByName(walked)
+    paired = extract_pairs(named, "_id", turn_block=turn_block)
+    return paired.select(f"_id.{key}", "_id.source", "turn", "proponent", "opponent")
 
 
 def next_turn_state(messages: DataFrame, debates: DataFrame, key: str = "conv_id", max_turns: int = fixed.MAX_TURNS) -> DataFrame:

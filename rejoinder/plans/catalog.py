@@ -198,7 +198,7 @@ def _(i):
 
 @query("pair_source_precedence")
 def _(i):
-    return transcripts.debate_pairs(i.debates()).drop("turn")
+    return transcripts.flat_debate_pairs(i.debate_contents(), i.debate_messages()).drop("turn")
 
 
 @query("next_turn_state")

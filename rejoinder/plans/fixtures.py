@@ -18,7 +18,8 @@ from rejoinder.plans.evaluate_pairs import evaluate_pairs
 from rejoinder.session import written
 from rejoinder.sources.files import EVALUATION, MESSAGES
 
-DEBATE_TURNS = 1000  # turns per nested debate row, so that a row stays small
+DEBATE_IDS = 1_000_000
+DEBATE_TURNS = 1000  # turns per nested debate row, so that a row stays small; pairs are walked on message rows
 PARAGRAPH_STEP = 7
 
 
@@ -79,24 +80,38 @@ class Inputs:
             lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")),
         )
 
-        def first(role: str) -> Column:
-            return F.min_by(F.when(F.col("role") == role, F.col("content")), F.when(F.col("role") == role, F.col("turn")))
-
         grouped = (
             self.messages()
             .groupBy("conv_id", whole_parts(F.col("turn"), DEBATE_TURNS).alias("_part"))
-            .agg(arrays.alias("_all"), first("proponent").alias("_p"), first("opponent").alias("_o"))
+            .agg(arrays.alias("_all"), _first("proponent").alias("_p"), _first("opponent").alias("_o"))
             .join(self.topics_of_documents(), F.col("conv_id") == F.col("doc_id"), "left")
         )
         content = F.when(kind == 0, F.struct(F.col("_p").alias("proponent"), F.col("_o").alias("opponent")))
         return grouped.select(
-            (F.col("conv_id") * 1_000_000 + F.col("_part")).alias("debate_id"),
+            (F.col("conv_id") * DEBATE_IDS + F.col("_part")).alias("debate_id"),
             "topic", "position",
             content.alias("content"),
             F.when(kind == 1, F.col("_all")).otherwise(F.array().cast(MESSAGES)).alias("full_debate"),
             F.when(kind == 2, F.col("_all")).alias("history"),
         )
 
+    def debate_contents(self) -> DataFrame:
+        """Ready content of the debates that have it; a debate is a whole conversation."""
+        firsts = F.struct(_first("proponent").alias("proponent"), _first("opponent").alias("opponent"))
+        ready = self.messages().filter(F.col("conv_id") % 3 == 0)
+        return ready.groupBy("conv_id").agg(firsts.alias("content")).select(
+            (F.col("conv_id") * DEBATE_IDS).alias("debate_id"), "content"
+        )
+
+    def debate_messages(self) -> DataFrame:
+        """Messages of the other debates, one row each, so that a long one is spread over tasks."""
+        kind = F.col("conv_id") % 3
+        return self.messages().filter(kind != 0).select(
+            (F.col("conv_id") * DEBATE_IDS).alias("debate_id"),
+            F.when(kind == 1, "full_debate").otherwise("history").alias("source"),
+            "turn", "role", "content",
+        )
+
     # judge
 
     def rubric_responses(self) -> DataFrame:
@@ -336,6 +351,11 @@ class Inputs:
         )
 
 
+def _first(role: str) -> Column:
+    """The first message of a role in a group."""
+    return F.min_by(F.when(F.col("role") == role, F.col("content")), F.when(F.col("role") == role, F.col("turn")))
+
+
 def _topic() -> Column:
     return F.when(F.col("doc_id") % 17 == 0, "").otherwise(F.col("source"))
 
