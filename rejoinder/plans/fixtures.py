@@ -20,6 +20,9 @@ from rejoinder.sources.files import EVALUATION, MESSAGES
 
 DEBATE_IDS = 1_000_000
 DEBATE_TURNS = 1000  # turns per nested debate row, so that a row stays small; pairs are walked on message rows
+PAIR_TURNS = 100  # turns that lie side by side in pair ids; later turns of a conversation go to the next range
+PAIR_RANGE = 10**13  # pair ids of one such range, for conversations up to PAIR_RANGE / 200 on both sides of 0
+PAIR_RANGES = (2**63 - 1) // PAIR_RANGE
 PARAGRAPH_STEP = 7
 
 
@@ -60,7 +63,7 @@ class Inputs:
     def pairs(self) -> DataFrame:
         walked = extract_pairs(self.messages())
         return walked.join(self.topics_of_documents(), F.col("conv_id") == F.col("doc_id"), "left").select(
-            (F.col("conv_id") * 100 + F.col("turn")).alias("pair_id"),
+            _pair_id().alias("pair_id"),
             "conv_id", "topic", "position", "proponent", "opponent",
         )
 
@@ -185,8 +188,9 @@ class Inputs:
             return F.create_map(*[x for entry in entries for x in entry])
 
         valid = F.col("conv_id") % 10 != 9
-        hate = scores(lambda i: (F.col("pair_id") * (7 + i)) % 101 / F.lit(100.0))
-        counter = scores(lambda i: (F.col("pair_id") * (3 + i) + 1 + shift) % 101 / F.lit(200.0))
+        rest = F.col("pair_id") % 101  # products of whole ids could leave the range of bigint
+        hate = scores(lambda i: (rest * (7 + i)) % 101 / F.lit(100.0))
+        counter = scores(lambda i: (rest * (3 + i) + 1 + shift) % 101 / F.lit(200.0))
         systems = F.explode(F.array(*[
             F.struct(F.lit(name).alias("system"), F.lit(n).alias("shift")) for name, n in (("gold", 0), ("generated", 17))
         ]))
@@ -356,6 +360,17 @@ def _first(role: str) -> Column:
     return F.min_by(F.when(F.col("role") == role, F.col("content")), F.when(F.col("role") == role, F.col("turn")))
 
 
+def _pair_id() -> Column:
+    """One number per (conv_id, turn): conv_id * 100 + turn below turn 100, and the same in a
+    further range of ids for every 100 turns more. A pair that has no number of its own is an error."""
+    conv, turn = F.col("conv_id"), F.col("turn")
+    last = PAIR_RANGE // (2 * PAIR_TURNS)
+    fits = conv.between(-last, last - 1) & turn.between(0, PAIR_TURNS * PAIR_RANGES - 1)
+    number = whole_parts(turn, PAIR_TURNS) * PAIR_RANGE + conv * PAIR_TURNS + turn % PAIR_TURNS
+    beyond = F.raise_error(F.concat_ws(" ", F.lit("no pair id for conversation and turn"), conv, turn))
+    return F.when(fits, number).when(conv.isNotNull() & turn.isNotNull(), beyond.cast("bigint"))
+
+
 def _topic() -> Column:
     return F.when(F.col("doc_id") % 17 == 0, "").otherwise(F.col("source"))
 

@@ -4,6 +4,8 @@ import pytest
 
 from rejoinder.operators import transcripts
 from rejoinder.plans.catalog import CATALOG
+from rejoinder.plans.evaluate_pairs import evaluate_pairs
+from rejoinder.plans.fixtures import PAIR_RANGE, PAIR_RANGES, Inputs
 
 TABLE = "conv_id bigint, turn bigint, role string, text string"
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -53,3 +55,43 @@ def test_flat_debates_follow_the_same_precedence(spark, block):
     assert sorted((r.debate_id, r.source, r.proponent, r.opponent) for r in found) == [
         (1, "content", "p", "o"), (2, "full_debate", "a1", "a2"), (3, "history", "a1", "a2"), (4, "history", "a1", "a2"),
     ]
+
+
+def test_pairs_of_long_conversations_keep_to_themselves(spark, tmp_path):
+    path = tables(spark, tmp_path, [(1, talk(150)), (2, talk(150)), (3, talk(4)), (12, talk(150))])
+    inputs = Inputs(spark, path)
+    pairs = {r.pair_id: r for r in inputs.pairs().collect()}
+    assert len(pairs) == 75 + 75 + 2 + 75
+    short = {(r.conv_id, r.opponent): n for n, r in pairs.items()}
+    assert short[(1, "m1.1")] == 101 and short[(2, "m2.99")] == 299  # as before below turn 100
+    for name in ("default_scores_corrupted", "compile_evaluated_pairs", "evaluate_pairs"):
+        assert sorted(r.pair_id for r in CATALOG[name](spark, path).collect()) == sorted(pairs)
+    compiled = CATALOG["compile_evaluated_pairs"](spark, path).collect()
+    for r in compiled:
+        assert pairs[r.pair_id].proponent == r.proponent
+        named = f"Reply {r.pair_id} holds up." in (r.raw_response or "")
+        assert named == (pairs[r.pair_id].conv_id == 12)  # the full layout, not marked as corrupted
+    assert CATALOG["toxicity_averages"](spark, path).count() > 0
+    # A second run keeps the earlier rows that are not done again, and no others go.
+    first = inputs.scored_pairs()
+    again = evaluate_pairs(inputs.marked_pairs(), inputs.rubric_responses(), done=first)
+    assert sorted(r.pair_id for r in again.collect()) == sorted(pairs)
+
+
+def test_pair_ids_at_the_edges(spark, tmp_path):
+    last = PAIR_RANGE // 200 - 1
+    turns = [0, 1, 98, 99, 100, 101, 100 * PAIR_RANGES - 2, 100 * PAIR_RANGES - 1]
+    rows = [(c, t, ["user", "assistant"][t % 2], "m") for c in (-last - 1, -1, 0, 1, last) for t in turns]
+    spark.createDataFrame(rows, TABLE).write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([], DOCUMENT).write.parquet(f"{tmp_path}/documents.parquet")
+    inputs = Inputs(spark, str(tmp_path))
+    assert len({r.pair_id for r in inputs.pairs().collect()}) == 5 * 4
+    assert inputs.toxicity().select("pair_id", "hate_scores", "counter_scores").collect()
+
+
+def test_a_turn_without_a_pair_id_is_an_error(spark, tmp_path):
+    rows = [(1, 100 * PAIR_RANGES, "user", "m"), (1, 100 * PAIR_RANGES + 1, "assistant", "m")]
+    spark.createDataFrame(rows, TABLE).write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.createDataFrame([], DOCUMENT).write.parquet(f"{tmp_path}/documents.parquet")
+    with pytest.raises(Exception, match="no pair id"):
+        Inputs(spark, str(tmp_path)).pairs().collect()
