@@ -72,12 +72,8 @@ def _(i):
 @query("scan_debates")
 def _(i):
     path = _place(i, "debates")
-    debates = i.debates()
-    # Arrays of bounded size, one per line.
-    arrays = debates.groupBy(text_fn.whole_parts(F.col("debate_id"), 100_000_000)).agg(
-        F.to_json(F.collect_list(F.struct(*debates.columns))).alias("value")
-    )
-    arrays.select("value").write.text(path)
+    # One object per line, so that no line grows with the length or number of debates.
+    files.write_json(i.debates(), path)
     return files.scan_debates(i.spark, path).select(
         "debate_id", "topic", "position",
         F.col("content.proponent").alias("proponent"),

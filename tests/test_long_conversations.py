@@ -1,8 +1,10 @@
 """Conversations far longer than those of the given tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from rejoinder.operators import transcripts
+from rejoinder.plans import catalog
 from rejoinder.plans.catalog import CATALOG
 from rejoinder.plans.evaluate_pairs import evaluate_pairs
 from rejoinder.plans.fixtures import PAIR_RANGE, PAIR_RANGES, Inputs
@@ -95,3 +97,25 @@ def test_a_turn_without_a_pair_id_is_an_error(spark, tmp_path):
     spark.createDataFrame([], DOCUMENT).write.parquet(f"{tmp_path}/documents.parquet")
     with pytest.raises(Exception, match="no pair id"):
         Inputs(spark, str(tmp_path)).pairs().collect()
+
+
+def test_written_debates_stay_small_and_whole(spark, tmp_path, monkeypatch):
+    path = tables(spark, tmp_path, [(1, talk(5000)), (2, talk(2500)), (3, talk(4)), (4, talk(1, True))])
+    places = []
+
+    def place(i, name):
+        places.append(str(tmp_path / name))
+        return places[-1]
+
+    monkeypatch.setattr(catalog, "_place", place)
+    rows = CATALOG["scan_debates"](spark, path).collect()
+    lines = spark.read.text(places[0])
+    assert lines.count() == len(rows) == 5 + 3 + 1 + 1
+    # At most 1,000 messages of some 50 characters on a line.
+    assert lines.agg(F.max(F.length("value"))).first()[0] < 60_000
+    said = {}
+    for r in rows:
+        conv = r.debate_id // 1_000_000
+        said[conv] = said.get(conv, 0) + r.full_debate_messages + r.history_messages
+    assert said == {1: 5000, 2: 2500, 3: 0, 4: 1}
+    assert [r.proponent for r in rows if r.debate_id == 3_000_000] == ["m3.0"]
