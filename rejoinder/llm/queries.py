@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from rejoinder.llm import (
-    bpe, byte_dedup, decontamination, exact_dedup, language, near_dedup, quality, secret_ledger, substring_dedup, toxicity,
+    bpe, byte_dedup, collocations, decontamination, exact_dedup, language, near_dedup, quality, secret_ledger, spelling, substring_dedup,
+    toxicity, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(_table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -66,7 +79,7 @@ LLM_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_substring_dedup, op3_toxicity, op4_quality, op5_language, op6_secrets, op7_suffix_array,
-        op8_exact_dedup, op9_bpe, op10_near_dedup, pipeline,
+        op8_exact_dedup, op9_bpe, op10_near_dedup, op11_collocations, op12_spelling, op13_warc, pipeline,
     )
 }
 
@@ -97,4 +110,49 @@ LLM_ORACLES: dict[str, str] = {
         FROM documents
         WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        split AS (
+            SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS words FROM pieces),
+        totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM split GROUP BY lang),
+        runs AS (
+            SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS place
+            FROM split, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE len(words) >= size),
+        counted AS (
+            SELECT lang, size, array_to_string(words[place:place + size - 1], ' ') AS phrase, count(*) AS a
+            FROM runs GROUP BY ALL HAVING count(*) >= 100),
+        cuts AS (
+            SELECT lang, size, phrase, a, k, string_split(phrase, ' ') AS words
+            FROM counted, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE k < size),
+        scored AS (
+            SELECT c.lang, c.size, c.phrase, c.a, c.k, f.a AS l, b.a AS r, n, (1000::HUGEINT * c.a * n) // (f.a::HUGEINT * b.a) AS score
+            FROM cuts c
+            JOIN counted f ON f.lang = c.lang AND f.phrase = array_to_string(c.words[1:c.k], ' ')
+            JOIN counted b ON b.lang = c.lang AND b.phrase = array_to_string(c.words[c.k + 1:], ' ')
+            JOIN totals t ON t.lang = c.lang),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        kept AS (
+            SELECT * FROM lowest s WHERE NOT EXISTS (
+                SELECT 1 FROM counted o
+                WHERE o.lang = s.lang AND o.size > s.size AND 100 * o.a >= 100 * s.a
+                  AND contains(' ' || o.phrase || ' ', ' ' || s.phrase || ' ')))
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score::BIGINT AS score
+        FROM kept QUALIFY rank <= 2000
+    """,
+    "op13_warc": """
+        WITH told AS (
+            SELECT page_id, coalesce(html, '') AS html, upper(sha1(coalesce(html, ''))) AS hex,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+            FROM pages)
+        SELECT page_id, strlen(html) AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   (1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::BIGINT, 1) FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id < last THEN last END AS refers_to
+        FROM told
+    """,
 }
