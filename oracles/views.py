@@ -167,6 +167,37 @@ def _flagged() -> str:
     )
 
 
+def _word_list() -> str:
+    """Word tokens of ``text_queries`` as a list ``ws``: chunks between blanks, from each of which the ends are peeled."""
+    marks = "".join(f"\\{c}" if c.isascii() else c for c in fixed.SEPARATE_MARKS)
+    # commas and colons before a digit are hidden from the spacing by control characters
+    hidden = r"regexp_replace(regexp_replace(lower(query), ',([0-9])', chr(2) || '\1', 'g'), ':([0-9])', chr(3) || '\1', 'g')"
+    spaced = rf"regexp_replace({hidden}, '([.][.]+|--+|[{marks}]|[,:])', ' \1 ', 'g')"
+    shown = f"replace(replace({spaced}, chr(2), ','), chr(3), ':')"
+    size = "CASE " + " ".join(f"WHEN ends_with(replace(r, '’', chr(39)), {text(e)}) THEN {len(e)}" for e in fixed.SHORT_ENDINGS) + " ELSE 0 END"
+    steps = [
+        rf"SELECT query_id, query, string_split_regex({shown}, '\s+') AS c FROM text_queries",
+        "SELECT query_id, query, unnest(c) AS w, generate_subscripts(c, 1) AS place FROM ({})",
+        "SELECT *, CASE WHEN left(w, 1) IN (chr(39), '‘', '’') THEN left(w, 1) ELSE '' END AS lead FROM ({})",
+        r"SELECT *, substr(w, len(lead) + 1) AS r, regexp_full_match(w, '(\p{{L}}[.])(\p{{L}}[.])+|[.]+') AS whole FROM ({})",
+        "SELECT *, CASE WHEN right(r, 1) IN (chr(39), '’') THEN right(r, 1) ELSE '' END AS tail FROM ({})",
+        "SELECT * REPLACE (left(r, len(r) - len(tail)) AS r) FROM ({})",
+        "SELECT *, CASE WHEN ends_with(r, '.') THEN '.' ELSE '' END AS dot FROM ({})",
+        "SELECT * REPLACE (left(r, len(r) - len(dot)) AS r) FROM ({})",
+        f"SELECT *, {size} AS size FROM ({{}})",
+        "SELECT *, right(r, size) AS ending, left(r, len(r) - size) AS stem FROM ({})",
+        f"""SELECT query_id, query, place, unnest([1, 2, 3, 4, 5, 6]) AS side,
+                   unnest(CASE WHEN whole THEN [w, '', '', '', '', '']
+                          WHEN stem IN ({words(fixed.JOINED_WORDS)}) THEN [lead, left(stem, 3), substr(stem, 4), ending, dot, tail]
+                          ELSE [lead, stem, '', ending, dot, tail] END) AS part FROM ({{}})""",
+        "SELECT query_id, any_value(query) AS query, coalesce(list(part ORDER BY place, side) FILTER (part <> ''), []) AS ws FROM ({}) GROUP BY query_id",
+    ]
+    sql = steps[0]
+    for step in steps[1:]:
+        sql = step.format(sql)
+    return sql
+
+
 def _terms(whole: int, version: int) -> str:
     stop = f"AND NOT list_contains([{STOPS}], w)" if version == 2 else ""
 
@@ -179,13 +210,13 @@ def _terms(whole: int, version: int) -> str:
         )
 
     phrases = f"list_concat({grams(2, 5)}, {grams(3, 8)})" if version == 2 else "CAST([] AS VARCHAR[])"
+    listed = _word_list() if version == 2 else r"""
+        SELECT query_id, query, list_filter(string_split_regex(lower(query), '\s+'), lambda w: w <> '') AS ws FROM text_queries"""
     return f"""
     SELECT query_id, ws, keywords, phrases, lower(query) AS whole, {whole} AS whole_weight
     FROM (SELECT query_id, query, ws, list_filter(ws, lambda w: length(w) > 3 {stop}) AS keywords,
                  {phrases} AS phrases
-          FROM (SELECT query_id, query,
-                       list_filter(string_split_regex(lower(query), '\\s+'), lambda w: w <> '') AS ws
-                FROM text_queries))"""
+          FROM ({listed}))"""
 
 
 def _weighted(source: str) -> str:

@@ -5,6 +5,10 @@ STOP_WORDS = [
     "a", "an", "the", "and", "or", "but", "is", "are", "was", "were",
     "to", "of", "in", "for", "with", "on", "at", "by", "this", "that",
 ]
+# Words that are read as two, cut after the third letter, and the endings that are words of their own.
+JOINED_WORDS = ["cannot", "gimme", "gonna", "gotta", "lemme", "wanna"]
+SHORT_ENDINGS = ["n't", "'ll", "'re", "'ve", "'s", "'m", "'d"]
+SEPARATE_MARKS = ';@#$%&?!()[]{}<>"“”„«»…¿¡'
 RESULTS_PER_LAYER = 5
 VECTOR_OVERFETCH = 3
 SIMILARITY_THRESHOLD = 0.1

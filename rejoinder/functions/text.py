@@ -29,9 +29,38 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"\s+"), lambda word: word != "")
 
 
+def _character_class(characters: str) -> str:
+    return "[" + "".join(f"\\{c}" if c.isascii() else c for c in characters) + "]"
+
+
+def word_tokens(text: Column) -> Column:
+    """Lower-case words with punctuation marks, quotes and short endings as tokens of their own.
+
+    Marks and runs of dots or dashes stand alone, a comma or colon does unless a digit follows. A
+    quote at either end of a word, a dot at its end and an ending like ``n't`` or ``'s`` are cut off; letters that
+    each have a dot (``u.s.``) stay together. A null text gives null.
+    """
+    spaced = F.regexp_replace(F.lower(text), rf"(\.{{2,}}|-{{2,}}|{_character_class(fixed.SEPARATE_MARKS)})", " $1 ")
+    spaced = F.regexp_replace(spaced, r"([,:])(?![0-9])", " $1 ")
+    endings = "|".join(e.replace("'", "['’]") for e in fixed.SHORT_ENDINGS)
+    layout = rf"(?s)^(['‘’]?)(.*?)({endings})?(\.?)(['’]?)$"
+
+    def cut(word: Column) -> Column:
+        lead, stem, ending, dot, tail = (F.regexp_extract(word, layout, n) for n in range(1, 6))
+        joined = stem.isin(fixed.JOINED_WORDS)
+        first = F.when(joined, F.substring(stem, 1, 3)).otherwise(stem)
+        second = F.when(joined, F.substring(stem, 4, 3)).otherwise("")
+        parts = F.filter(F.array(lead, first, second, ending, dot, tail), lambda part: part != "")
+        return F.when(F.regexp_like(word, F.lit(r"^((\p{L}\.){2,}|\.+)$")), F.array(word)).otherwise(parts)
+
+    return F.flatten(F.transform(F.filter(F.split(spaced, r"\s+"), lambda word: word != ""), cut))
+
+
 def keywords(text: Column, stop_words: list[str] | None = None) -> Column:
-    """Words longer than three characters that are no stop words, repeats kept."""
-    found = F.filter(tokens(text), lambda word: F.length(word) > 3)
+    """Words longer than three characters, repeats kept: parted by white space; with ``stop_words``
+    word tokens that are no stop words."""
+    words = tokens(text) if stop_words is None else word_tokens(text)
+    found = F.filter(words, lambda word: F.length(word) > 3)
     return F.filter(found, lambda word: ~word.isin(stop_words)) if stop_words else found
 
 
@@ -51,10 +80,10 @@ def _ngrams(words: Column, size: int, longer_than: int, stop_words: list[str]) -
 
 
 def phrases(text: Column, stop_words: list[str] = fixed.STOP_WORDS) -> Column:
-    """Two-word phrases longer than 5 characters, then three-word ones longer than 8,
-    each with at least one word that is no stop word."""
+    """Phrases of two word tokens longer than 5 characters, then of three longer than 8,
+    each with at least one that is no stop word."""
     return let(
-        tokens(text),
+        word_tokens(text),
         lambda words: F.concat(_ngrams(words, 2, 5, stop_words), _ngrams(words, 3, 8, stop_words)),
     )
 

@@ -197,9 +197,9 @@ def match_terms(
 
 
 def _most_chars(queries: DataFrame) -> int:
-    """Upper bound of the length of all terms: a word is in one keyword, two two-word and
-    three three-word phrases and the whole query; lower case may lengthen a letter."""
-    return 14 * queries.agg(F.coalesce(F.sum(F.length("query")), F.lit(0))).first()[0]
+    """Upper bound of the length of all terms: a token is in one keyword, two two-token and
+    three three-token phrases with three blanks in all, and the whole query; lower case may lengthen a letter."""
+    return 20 * queries.agg(F.coalesce(F.sum(F.length("query")), F.lit(0))).first()[0]
 
 
 def lowered(paragraphs: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 import math
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from oracles import views
 from rejoinder.functions import fixed_values as fixed
 from rejoinder.functions import scores, text
 from rejoinder.operators import assessment, knowledge_base, nodes
@@ -51,6 +53,31 @@ def test_phrases(spark, query):
     assert value(spark, text.phrases(F.col("t")), t=query) == phrases_of(query.lower().split())
 
 
+@pytest.mark.parametrize(
+    "query, expected",
+    [
+        ("Dangerous? Yes.", ["dangerous", "?", "yes", "."]),
+        ("I don't, we'll; it's the boys' U.S. day...", ["i", "do", "n't", ",", "we", "'ll", ";", "it", "'s", "the", "boys", "'", "u.s.", "day", "..."]),
+        ("'quoted' word", ["'", "quoted", "'", "word"]),
+        ("1,000 at 10:30, or 2.5--more", ["1,000", "at", "10:30", ",", "or", "2.5", "--", "more"]),
+        ("cannot (gonna) $5", ["can", "not", "(", "gon", "na", ")", "$", "5"]),
+        ("isn’t 's ' x\'\'", ["is", "n’t", "'", "s", "'", "x'", "'"]),
+        ("end of it.'", ["end", "of", "it", ".", "'"]),
+        ("", []),
+        ("  ", []),
+    ],
+)
+def test_word_tokens(spark, query, expected):
+    assert value(spark, text.word_tokens(F.col("t")), t=query) == expected
+    con = duckdb.connect()
+    con.execute("CREATE TABLE text_queries AS SELECT 1 AS query_id, ? AS query", [query])
+    assert con.execute(views._word_list()).fetchone()[2] == expected
+
+
+def test_a_mark_does_not_hide_a_keyword(spark):
+    assert "dangerous" in value(spark, text.keywords(F.col("t"), stop_words=fixed.STOP_WORDS), t="Is it dangerous?")
+
+
 def test_keywords(spark):
     query = "That THAT with four five be"
     assert value(spark, text.keywords(F.col("t")), t=query) == ["that", "that", "with", "four", "five"]
