@@ -6,7 +6,7 @@ from oracles.views import (
     METRICS, PAIR_SCORES, calibrated, raw, sentence_list, severity, text, with_views, words,
 )
 from rejoinder.functions import fixed_values as fixed
-from rejoinder.operators import assessment, transcripts
+from rejoinder.operators import assessment, requests, transcripts
 
 K = fixed.RESULTS_PER_LAYER
 
@@ -230,6 +230,27 @@ ORACLES: dict[str, str] = {
                    'Position: ' || position || chr(10) || 'proponent: ' || proponent || chr(10) || 'opponent: ' ||
                    opponent || {text(transcripts.PAIR_REQUEST_TAIL)} AS prompt FROM pairs""",
         "pairs"),
+    "criteria_request_table": with_views(
+        f"""SELECT pair_id, {text(requests.CRITERIA_HEAD)} || chr(10) || 'message: ' || proponent || chr(10) || 'reply: ' ||
+                   opponent || {text(requests.CRITERIA_TAIL)} AS prompt FROM pairs""",
+        "pairs"),
+    "request_ledger": with_views(
+        f"""SELECT * FROM (WITH wanted AS (
+                SELECT 'pair' AS kind, {text(transcripts.PAIR_REQUEST_HEAD)} || chr(10) || 'Topic: ' || topic || chr(10) ||
+                       'Position: ' || position || chr(10) || 'proponent: ' || proponent || chr(10) || 'opponent: ' ||
+                       opponent || {text(transcripts.PAIR_REQUEST_TAIL)} AS payload FROM pairs
+                UNION ALL SELECT 'criteria', {text(requests.CRITERIA_HEAD)} || chr(10) || 'message: ' || proponent || chr(10) ||
+                       'reply: ' || opponent || {text(requests.CRITERIA_TAIL)} FROM pairs
+                UNION ALL SELECT 'toxicity', proponent FROM pairs UNION ALL SELECT 'toxicity', opponent FROM pairs
+                UNION ALL SELECT 'embedding', text FROM documents),
+            keyed AS (
+                SELECT kind, count(*) AS owners, sha256(kind || chr(10) || payload)[1] AS lead
+                FROM wanted WHERE payload <> '' GROUP BY kind, payload)
+            SELECT run, kind, count(*) AS asked, sum(owners)::BIGINT AS owners
+            FROM keyed JOIN (SELECT unnest([1, 2, 3, 4]) AS run) ON
+                 run = 1 OR run = 2 AND lead IN ('0', '1', '2', '3', '4') OR run = 3 AND lead = '0'
+            GROUP BY run, kind)""",
+        "pairs"),
     "split_marked_records": with_views("SELECT * FROM records", "records"),
     "compile_evaluated_pairs": with_views(
         f"""SELECT pair_id, topic, position, proponent, opponent, {r6(['harmful_subtotal', 'counter_subtotal'])},
@@ -329,9 +350,9 @@ ORACLES: dict[str, str] = {
             WHERE content IS NOT NULL""",
         "paragraphs", "examples"),
     "merge_topics": with_views(
-        """SELECT DISTINCT source AS name, false AS created FROM documents WHERE lang = 'es'
-           UNION SELECT topic, true FROM examples
-                 WHERE topic NOT IN (SELECT source FROM documents WHERE lang = 'es')""",
+        """SELECT DISTINCT source AS name, false AS created FROM documents
+           UNION SELECT topic, true FROM (SELECT CASE WHEN line % 3 = 0 THEN topic || ' anew' ELSE topic END AS topic FROM examples)
+                 WHERE topic NOT IN (SELECT source FROM documents)""",
         "examples"),
     "import_stats": with_views(
         """SELECT count(DISTINCT topic) AS topics_processed, count(content) AS examples_imported,
@@ -344,9 +365,11 @@ ORACLES: dict[str, str] = {
         "paragraphs", "sentences"),
     **{
         f"decode_embedding_{form}": with_views(
-            f"""SELECT id, format, CASE WHEN format = '{form}' THEN len(embedding) END AS dimension,
-                       CASE WHEN format = '{form}' THEN round(list_sum(embedding::DOUBLE[]), 6) END AS total
-                FROM stored WHERE format IN ('{form}', 'unknown')""",
+            f"""SELECT id, format, CASE WHEN format IN ('array', '{form}') THEN len(embedding) END AS dimension,
+                       CASE WHEN format IN ('array', '{form}') THEN round(list_sum(embedding::DOUBLE[]), 6) END AS total,
+                       CASE WHEN format = '{form}' THEN NULL WHEN format = 'unknown' THEN 1
+                            WHEN format IN ('json', 'csv') THEN len(embedding) END AS untouched_parts
+                FROM stored""",
             "stored")
         for form in ("json", "csv")
     },
@@ -429,6 +452,19 @@ ORACLES: dict[str, str] = {
         "topic_hits", "paragraphs", "first_counter"),
     "search_hybrid": with_views(
         _results("hybrid_hits", "round(similarity_score, 6) AS similarity_score"), *_details("hybrid_hits")),
+    "search_with_fallback": with_views(
+        f"""SELECT * FROM ({_results('semantic_hits', 'round(similarity_score, 6) AS similarity_score')}) WHERE query_id % 4 >= 2
+            UNION ALL
+            SELECT * FROM ({_results('topic_hits', '1e0 AS similarity_score')}) WHERE rank <= {2 * K} AND query_id % 4 < 2""",
+        "semantic_hits", "topic_hits", "paragraphs", "first_counter"),
+    "rejected_vectors": with_views(
+        """SELECT id, CASE WHEN format IN ('unknown', 'missing') THEN 'missing' ELSE 'dimension' END AS fault
+           FROM stored WHERE format IN ('unknown', 'missing') OR id % 10 = 1""",
+        "stored"),
+    "index_recall": with_views(
+        """SELECT (SELECT count(DISTINCT query_id) FROM nearest) AS queries, (SELECT count(*) FROM nearest) AS wanted,
+                  (SELECT count(*) FROM sentences) AS indexed, 0 AS rejected, true AS recall_reached""",
+        "nearest", "sentences"),
     "fill_counter_by_topic": with_views(
         """SELECT query_id, rank, layer, id, topic, counter_id, counter_content, directness, evidence_quality, persuasiveness
            FROM hybrid_filled""",

@@ -42,21 +42,42 @@ def hybrid_hits(
     queries: DataFrame, kb: KnowledgeBase, k: int = fixed.RESULTS_PER_LAYER, order_by: str = "similarity",
     asked: int | None = None,
 ) -> DataFrame:
-    near = semantic.semantic_hits(queries, kb.sentences, kb.paragraphs, k, order_by=order_by, asked=asked)
+    near = vector_or_topic_hits(queries, kb, k, order_by, asked)
     worded = lexical.phrase_hits(queries, kb.paragraphs, k).withColumnRenamed("score", "relevance_score")
-    return merge_hits(near.drop("quality_score"), worded, k)
+    return merge_hits(near, worded, k)
+
+
+def vector_or_topic_hits(
+    queries: DataFrame, kb: KnowledgeBase, k: int = fixed.RESULTS_PER_LAYER, order_by: str = "similarity",
+    asked: int | None = None,
+) -> DataFrame:
+    """Hits by vector; a query whose vector cannot be searched gets the paragraphs of topics that its text names.
+
+    A vector can be searched if it is there, has as many numbers as most queries' (the fewest on a
+    tie) and all of them are finite.
+    """
+    dimension = queries.filter(F.col("embedding").isNotNull()).agg(F.mode(F.size("embedding"), True)).first()[0]
+    fault = semantic.vector_fault(dimension or 0)
+    near = semantic.semantic_hits(queries, kb.sentences, kb.paragraphs, k, order_by=order_by, asked=asked, dimension=dimension)
+    lacking = queries.filter(fault.isNotNull())
+    if lacking.isEmpty():
+        return near.drop("quality_score")
+    named = semantic.topic_name_hits(lacking, kb.topics, kb.paragraphs, k)
+    return near.unionByName(named.select(near.columns)).drop("quality_score")
 
 
 def search(
     queries: DataFrame, kb: KnowledgeBase, method: str = "semantic",
     k: int = fixed.RESULTS_PER_LAYER, order_by: str = "similarity", asked: int | None = None,
 ) -> DataFrame:
-    """Ranked hits ``query_id, id, layer, rank`` with a similarity or relevance score."""
+    """Ranked hits ``query_id, id, layer, rank`` with a similarity or relevance score.
+
+    By vector, alone or with keywords, queries without a usable vector fall back to topic names.
+    """
     if method == "syntax":
         return lexical.phrase_hits(queries, kb.paragraphs, k).withColumnRenamed("score", "relevance_score")
     if method == "semantic":
-        found = semantic.semantic_hits(queries, kb.sentences, kb.paragraphs, k, order_by=order_by, asked=asked)
-        return found.drop("quality_score")
+        return vector_or_topic_hits(queries, kb, k, order_by, asked)
     if method == "hybrid":
         return hybrid_hits(queries, kb, k, order_by, asked)
     raise ValueError(f"method must be one of {METHODS}")

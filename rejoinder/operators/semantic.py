@@ -161,16 +161,16 @@ def rollup_to_paragraphs(
 def semantic_hits(
     queries: DataFrame, sentences: DataFrame, paragraphs: DataFrame,
     k: int = fixed.RESULTS_PER_LAYER, threshold: float = fixed.SIMILARITY_THRESHOLD,
-    order_by: str = "similarity", asked: int | None = None,
+    order_by: str = "similarity", asked: int | None = None, dimension: int | None = None,
 ) -> DataFrame:
     """Top ``k`` paragraphs per layer among the ``3k`` nearest sentences, then one list per query.
 
-    ``asked`` is the number of queries if the caller knows it."""
+    ``asked`` is the number of queries and ``dimension`` that of their vectors, if the caller knows them."""
     if order_by not in ("similarity", "quality_score"):
         raise ValueError("order_by must be 'similarity' or 'quality_score'")
     key = "similarity_score" if order_by == "similarity" else "quality_score"
     fetch = fixed.VECTOR_OVERFETCH * k
-    nearest = above_threshold(nearest_sentences(queries, sentences, fetch), threshold)
+    nearest = above_threshold(nearest_sentences(queries, sentences, fetch, dimension=dimension), threshold)
     found = rollup_to_paragraphs(nearest, sentences, paragraphs, (queries.count() if asked is None else asked) * fetch)
     order = [F.desc_nulls_last(key), F.asc("id")]
     top = top_per(found, ["query_id", "layer"], order, k, "_place").drop("_place")

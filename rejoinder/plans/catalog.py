@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rejoinder.functions import fixed_values as fixed
 from rejoinder.functions import scores as score_fn
 from rejoinder.functions import text as text_fn
-from rejoinder.operators import assessment, evaluation, judge, lexical, nodes, retrieval, semantic, transcripts
+from rejoinder.operators import assessment, evaluation, judge, lexical, nodes, requests, retrieval, semantic, transcripts, vector_index
 from rejoinder.operators import knowledge_base as kb_ops
 from rejoinder.plans import build_knowledge_base as kb_build
 from rejoinder.plans.assess_queries import assess_and_request, assess_queries
@@ -240,6 +240,40 @@ def _(i):
     return transcripts.judge_requests(i.pairs())
 
 
+@query("criteria_request_table")
+def _(i):
+    return requests.criteria_requests(i.pairs())
+
+
+def _all_requests(i: Inputs) -> DataFrame:
+    """What the judges, the embedding model and the toxicity service are to be asked about all pairs and documents."""
+    pairs = i.pairs()
+    sides = pairs.select("pair_id", F.explode(F.array("proponent", "opponent")).alias("text"))
+    documents = i.table("documents")
+    asked = [
+        requests.as_requests(transcripts.judge_requests(pairs), "pair", F.col("prompt"), F.col("pair_id")),
+        requests.as_requests(requests.criteria_requests(pairs), "criteria", F.col("prompt"), F.col("pair_id")),
+        requests.as_requests(sides, "toxicity", F.col("text"), F.col("pair_id")),
+        requests.as_requests(documents, "embedding", F.col("text"), F.col("doc_id")),
+    ]
+    return kb_ops.union_all(asked)
+
+
+@query("request_ledger")
+def _(i):
+    """Three runs over one ledger: a third of the requests fail in the first, a few always; the rest is asked once."""
+    asked, path = written(_all_requests(i), "requests"), _place(i, "ledger")
+    ledger = i.spark.createDataFrame([], requests.LEDGER_SCHEMA)
+    first = F.substring("request_key", 1, 1)
+    told = []
+    for run, fails in enumerate((first.isin("0", "1", "2", "3", "4"), first == "0", first == "0", first == "0"), 1):
+        now = written(requests.open_requests(asked, ledger), "open-requests")
+        requests.append_ledger(requests.asked(now, F.when(fails, "failed").otherwise("done")), path)
+        ledger = i.spark.read.schema(requests.LEDGER_SCHEMA).parquet(path)
+        told.append(now.groupBy("kind").agg(F.count("*").alias("asked"), F.sum("owners").alias("owners")).withColumn("run", F.lit(run)))
+    return kb_ops.union_all(told)
+
+
 @query("split_marked_records")
 def _(i):
     return transcripts.split_marked_records(i.generated_texts())
@@ -496,8 +530,10 @@ def _(i):
 
 @query("merge_topics")
 def _(i):
-    known = i.table("documents").select(F.col("source").alias("name"), "lang").filter(F.col("lang") == "es")
-    return kb_ops.merge_topics(known.select("name").distinct(), _examples(i))
+    """Known topics of all documents; a third of the examples are of topics that are new."""
+    known = i.table("documents").select(F.col("source").alias("name")).distinct()
+    topic = F.when(F.col("line") % 3 == 0, F.concat("topic", F.lit(" anew"))).otherwise(F.col("topic"))
+    return kb_ops.merge_topics(known, _examples(i).withColumn("topic", topic))
 
 
 @query("import_stats")
@@ -523,10 +559,15 @@ def _embedding_sum(embedding: Column) -> Column:
 
 
 def _decoded(i: Inputs, form: str) -> DataFrame:
-    found = kb_ops.decode_embeddings(i.stored_embeddings()).filter(F.col("format").isin(form, "unknown"))
-    return found.select(
+    """All stored embeddings: decoded if they are in this form, arrays as they are, others untouched."""
+    stored = i.stored_embeddings()
+    found = kb_ops.decode_embeddings(stored).select("id", "format", F.col("embedding").alias("_decoded"))
+    own = F.when(F.col("format") == form, F.col("_decoded")).otherwise(F.col("embedding"))
+    both = stored.join(found, "id").withColumn("embedding", own)
+    return both.select(
         "id", "format", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dimension"),
         _embedding_sum(F.col("embedding")).alias("total"),
+        F.when(F.col("format") != form, F.size(F.split("embedding_text", ","))).alias("untouched_parts"),
     )
 
 
@@ -705,6 +746,44 @@ def _(i):
     return found
 
 
+def _mixed_queries(i: Inputs) -> DataFrame:
+    """All benchmark rows: half with their text and vector, a quarter without vector, a quarter with a cut one; these
+    have a short text that is part of topic names."""
+    kind, short = F.col("query_id") % 4, i.topic_queries().withColumnRenamed("query", "short")
+    vector = F.when(kind >= 2, F.col("embedding")).when(kind == 1, F.slice("embedding", 1, 8))
+    mixed = i.queries().join(short, "query_id")
+    return written(mixed.select("query_id", F.when(kind >= 2, F.col("query")).otherwise(F.col("short")).alias("query"), vector.alias("embedding")), "queries")
+
+
+@query("search_with_fallback")
+def _(i):
+    return _results(i, retrieval.search(_mixed_queries(i), i.kb(), "semantic"), "similarity_score")
+
+
+@query("rejected_vectors")
+def _(i):
+    decoded = kb_ops.decode_embeddings(i.stored_embeddings())
+    cut = F.when(F.col("id") % 10 == 1, F.slice("embedding", 1, 8)).otherwise(F.col("embedding"))
+    return semantic.rejected_vectors(decoded.withColumn("embedding", cut), "id", _dimension(i))
+
+
+def _dimension(i: Inputs) -> int:
+    return i.table("embeddings").agg(F.mode(F.size("embedding"), True)).first()[0] or 0
+
+
+@query("index_recall")
+def _(i):
+    """The indexed search of all queries against the exact one; every vector is in one list."""
+    index, rejected = vector_index.build_index(i.sentences(), _dimension(i), _place(i, "vector-index"), k=FETCH)
+    queries = i.queries()
+    found = vector_index.indexed_nearest(index, queries, FETCH)
+    told = vector_index.recall_of(found, semantic.nearest_sentences(queries, i.sentences(), FETCH))
+    listed = i.spark.read.schema(vector_index.LIST_SCHEMA).parquet(index.path).agg(F.count_distinct("id").alias("indexed"))
+    return told.crossJoin(listed).crossJoin(rejected.agg(F.count("*").alias("rejected"))).select(
+        "queries", "wanted", "indexed", "rejected", (F.col("recall") >= 0.95).alias("recall_reached")
+    )
+
+
 @query("fill_counter_by_topic")
 def _(i):
     hits = written(retrieval.search(i.queries(), i.kb(spread=True), "hybrid"), "hits")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
 from rejoinder.functions.text import strip
+from rejoinder.sources import split
 
 MESSAGES = "array<struct<role: string, content: string>>"
 DEBATE_SCHEMA = (
@@ -47,10 +48,11 @@ CSV_OPTIONS = {
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All columns as strings. Text with line breaks needs ``multi_line``; such files cannot be
-    split, so a large table should come as many files."""
+    """All columns as strings. Text may hold line breaks, and a file is still read by many tasks;
+    ``multi_line=False`` saves the second pass that takes where there are none."""
     # An empty field is null, a quoted empty one is an empty text.
-    return spark.read.options(**CSV_OPTIONS, nullValue="\\N", multiLine=multi_line).csv(path)
+    options = {**CSV_OPTIONS, "nullValue": "\\N"}
+    return split.read_csv(spark, path, options) if multi_line else spark.read.options(**options).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -71,10 +73,12 @@ def distinct_topics(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_json(spark: SparkSession, path: str, schema: str, pretty: bool = False) -> DataFrame:
     """JSON objects, or arrays of them, one per line; ``pretty`` reads a file that is one array
-    over many lines. A path that cannot be read gives no rows."""
+    over any lines, by many tasks. A path that is not there gives no rows."""
     try:
-        return spark.read.schema(schema).option("multiLine", pretty).json(path)
-    except AnalysisException:
+        return split.read_json_array(spark, path, schema) if pretty else spark.read.schema(schema).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
