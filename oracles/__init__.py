@@ -208,6 +208,14 @@ ORACLES: dict[str, str] = {
                   FROM documents LEFT JOIN (SELECT conv_id, count(*) AS n, arg_max(role, turn) AS last_role
                                             FROM messages GROUP BY conv_id) ON conv_id = doc_id)""",
         "messages"),
+    "live_transcripts": with_views(
+        f"""SELECT 'pair' AS kind, conv_id, turn, proponent, opponent, NULL::BIGINT AS messages, NULL AS next_speaker,
+                   NULL::BIGINT AS turn_number FROM walked
+            UNION ALL
+            SELECT 'state', conv_id, NULL, NULL, NULL, count(*),
+                   CASE WHEN arg_max(role, turn) = 'proponent' THEN 'opponent' ELSE 'proponent' END,
+                   least(count(*) // 2 + 1, {fixed.MAX_TURNS}) FROM messages GROUP BY conv_id""",
+        "walked", "messages"),
     "render_transcript": with_views(
         f"""SELECT conv_id, turn // {transcripts.TRANSCRIPT_PART} AS part,
                    string_agg(role || ': ' || content, chr(10) ORDER BY turn) AS transcript
@@ -326,6 +334,29 @@ ORACLES: dict[str, str] = {
     **EDGE_QUERIES,
     "kb_stats": KB_STATS,
     "rebuild_kb": KB_STATS,
+    "grow_kb": with_views(
+        """SELECT version, name, rows FROM (
+               SELECT 1 AS version, 'topics' AS name, (SELECT count(*) FROM topics) AS rows
+               UNION ALL SELECT 1, 'paragraphs', (SELECT count(*) FROM paragraphs)
+               UNION ALL SELECT 1, 'paragraph_topic', (SELECT count(*) FROM paragraphs WHERE topic <> '')
+               UNION ALL SELECT 1, 'contains', (SELECT count(*) FROM sentences s JOIN paragraphs p ON p.id = paragraph_id)
+               UNION ALL SELECT 1, 'countered_with', (SELECT count(*) FROM counters c JOIN paragraphs p ON p.id = counters_id)
+               UNION ALL SELECT v, 'sentences', (SELECT count(*) FROM sentences) FROM (SELECT unnest([1, 2, 3]) AS v)
+               UNION ALL SELECT v, 'counters', (SELECT count(*) FROM counters) FROM (SELECT unnest([1, 2, 3]) AS v)
+               UNION ALL SELECT 1, 'counter_topic', (SELECT count(*) FROM counters WHERE topic IN (SELECT name FROM topics))
+               UNION ALL SELECT v, 'counter_topic', (SELECT count(*) FROM counters WHERE topic IN
+                         (SELECT name FROM topics UNION SELECT topic FROM examples)) FROM (SELECT unnest([2, 3]) AS v)
+               UNION ALL SELECT v, 'topics', (SELECT count(*) FROM (SELECT name FROM topics UNION SELECT topic FROM examples))
+                         FROM (SELECT unnest([2, 3]) AS v)
+               UNION ALL SELECT 2, 'paragraphs', (SELECT count(*) FROM paragraphs) + (SELECT count(content) FROM examples)
+               UNION ALL SELECT 2, 'paragraph_topic', (SELECT count(*) FROM paragraphs WHERE topic <> '') + (SELECT count(content) FROM examples)
+               UNION ALL SELECT 2, 'contains', (SELECT count(*) FROM sentences s JOIN paragraphs p ON p.id = paragraph_id)
+               UNION ALL SELECT 2, 'countered_with', (SELECT count(*) FROM counters c JOIN paragraphs p ON p.id = counters_id)
+               UNION ALL SELECT 3, 'paragraphs', (SELECT count(*) FROM paragraphs WHERE layer = 1)
+               UNION ALL SELECT 3, 'paragraph_topic', (SELECT count(*) FROM paragraphs WHERE layer = 1 AND topic <> '')
+               UNION ALL SELECT 3, 'contains', (SELECT count(*) FROM sentences s JOIN paragraphs p ON p.id = paragraph_id WHERE layer = 1)
+               UNION ALL SELECT 3, 'countered_with', (SELECT count(*) FROM counters c JOIN paragraphs p ON p.id = counters_id WHERE layer = 1))""",
+        "topics", "paragraphs", "sentences", "counters", "examples"),
     "constraint_violations": """
         SELECT 'HateParagraph' AS label, key::VARCHAR AS key,
                CASE WHEN key IS NULL THEN 'exists' ELSE 'unique' END AS violation, count(*) AS rows
@@ -503,6 +534,12 @@ ORACLES: dict[str, str] = {
         """SELECT mitigation_level, count(*) AS queries FROM events JOIN semantic_assessed ON query_id = user_id
            GROUP BY mitigation_level""",
         "semantic_assessed"),
+    "closed_daily_counts": with_views(
+        """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, mitigation_level, count(*) AS queries
+           FROM events JOIN semantic_assessed ON query_id = user_id
+           WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+           GROUP BY ALL""",
+        "semantic_assessed"),
     "assess_queries": _assessed_rows("semantic"),
     "assess_queries_syntax": _assessed_rows("syntax"),
     "assess_queries_hybrid": _assessed_rows("hybrid"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +14,13 @@ from rejoinder.functions import text as text_fn
 from rejoinder.operators import assessment, evaluation, judge, lexical, nodes, requests, retrieval, semantic, transcripts, vector_index
 from rejoinder.operators import knowledge_base as kb_ops
 from rejoinder.plans import build_knowledge_base as kb_build
+from rejoinder.plans import grow_knowledge_base as kb_grow
 from rejoinder.plans.assess_queries import assess_and_request, assess_queries
 from rejoinder.plans.fixtures import Inputs
 from rejoinder.session import scratch_path, written
 from rejoinder.sources import files
 from rejoinder.streaming import mitigation
+from rejoinder.streaming import transcripts as live
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -202,6 +205,29 @@ def _(i):
     return transcripts.next_turn_state(i.messages(), i.table("documents").select(F.col("doc_id").alias("conv_id")))
 
 
+@query("live_transcripts")
+def _(i):
+    """All messages as a stream in three runs over one checkpoint: odd turns with repeats, then the earlier ones, then a
+    heartbeat that lets the watermark pass."""
+    turns = i.messages().agg(F.coalesce(F.max("turn"), F.lit(0)).alias("last"), F.coalesce(F.max("conv_id"), F.lit(0)).alias("debates")).first()
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("turn") * 60)
+    messages = i.messages().select("conv_id", "turn", "role", "content", at.alias("ts"))
+    folder, place = _place(i, "messages"), _place(i, "live")
+    odd = F.col("turn") % 2 == 1
+    heartbeat = i.spark.range(1).select(
+        F.lit(turns.debates + 1).alias("conv_id"), F.lit(0).cast("bigint").alias("turn"), F.lit("heartbeat").alias("role"),
+        F.lit(None).cast("string").alias("content"), F.timestamp_seconds(F.lit(1_700_000_000 + (4 * turns.last + 10) * 60)).alias("ts"),
+    )
+    runs = [messages.filter(odd).unionByName(messages.filter(odd & (F.col("conv_id") % 3 == 0))), messages.filter(~odd), heartbeat]
+    for arrived in runs:
+        arrived.write.mode("append").parquet(folder)
+        told = live.live_transcripts(live.read_messages(i.spark, folder), f"{turns.last + 2} minutes")
+        rows = live.advance(told, place)
+    pairs = live.pairs_told(rows).select(F.lit("pair").alias("kind"), "*")
+    states = live.states_told(rows).filter(F.col("conv_id") <= turns.debates)  # the heartbeat's own waits for ever
+    return pairs.unionByName(states.select(F.lit("state").alias("kind"), "*"), allowMissingColumns=True)
+
+
 @query("render_transcript")
 def _(i):
     return transcripts.render_transcript(i.messages())
@@ -494,6 +520,17 @@ def _(i):
     return kb_ops.kb_stats(*_rebuilt(i))
 
 
+@query("grow_kb")
+def _(i):
+    """Import, growth by all example lines and removal of synthetic paragraphs, each a version; old versions stay readable."""
+    root, spark = _place(i, "versions"), i.spark
+    nodes = {"paragraphs": i.paragraphs(), "sentences": i.sentences(), "counters": i.counters()}
+    first = kb_grow.import_nodes(spark, nodes, root)
+    second, _, _ = kb_grow.grow(spark, root, i.example_lines())
+    third = kb_grow.remove_synthetic(spark, root)
+    return kb_ops.union_all([kb_grow.counts(spark, v) for v in (first, second, third)])
+
+
 @query("constraint_violations")
 def _(i):
     key = F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 50 == 1, F.col("id") + 1).otherwise(F.col("id"))
@@ -847,6 +884,24 @@ def _(i):
     return mitigation.run_to_end(mitigation.level_counts(events, levels), "running_counts")
 
 
+@query("closed_daily_counts")
+def _(i):
+    """The events in two runs over one checkpoint, each with repeats; the second also brings events that are too late."""
+    levels = written(assess_queries(i.queries(), i.stored_kb()).select("query_id", "mitigation_level"), "levels")
+    events = i.table("events")
+    ends = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    middle = ends.first + (ends.last - ends.first) / 2
+    early, again = F.col("ts") < F.lit(middle), F.col("event_id") % 10 == 0
+    stale = events.filter(F.col("ts") < F.lit(middle - timedelta(days=1))).withColumn("event_id", -1 - F.col("event_id"))
+    runs = [events.filter(early), events.filter(~early)]
+    folder, place = _place(i, "events"), _place(i, "daily")
+    for arrived, more in zip(runs, (stale.limit(0), stale), strict=True):
+        arrived.unionByName(arrived.filter(again)).unionByName(more).write.mode("append").parquet(folder)
+        stream = mitigation.read_events(i.spark, folder, "*.parquet")
+        told = mitigation.advance(mitigation.closed_daily_counts(stream, levels), place)
+    return told.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "mitigation_level", "queries")
+
+
 @query("assess_queries")
 def _(i):
     return assess_queries(i.queries(), i.stored_kb())

@@ -22,10 +22,10 @@ def level_counts(events: DataFrame, levels: DataFrame) -> DataFrame:
     return events.join(levels, "query_id").groupBy("mitigation_level").agg(F.count("*").alias("queries"))
 
 
-def daily_level_counts(events: DataFrame, levels: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Count per level and day; a day closes when the watermark passes its end."""
+def daily_level_counts(events: DataFrame, levels: DataFrame, late: str | None = "1 hour") -> DataFrame:
+    """Count per level and day; a day closes when the watermark passes its end. ``late`` is None if the events have a watermark."""
     return (
-        events.withWatermark("ts", late)
+        (events.withWatermark("ts", late) if late else events)
         .join(levels, "query_id")
         .groupBy(F.window("ts", "1 day").alias("day"), "mitigation_level")
         .agg(F.count("*").alias("queries"))
@@ -33,6 +33,22 @@ def daily_level_counts(events: DataFrame, levels: DataFrame, late: str = "1 hour
     )
 
 
+def closed_daily_counts(events: DataFrame, levels: DataFrame, late: str = "1 hour") -> DataFrame:
+    """As ``daily_level_counts``, with each ``event_id`` counted once.
+
+    An event that is repeated counts once as long as its repeats arrive before the watermark passes it; later ones, like
+    all events behind the watermark, are dropped. Days that are not closed yet are not told.
+    """
+    return daily_level_counts(events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"]), levels, None)
+
+
+def advance(counts: DataFrame, place: str) -> DataFrame:
+    """Take in all events there are by now and return all rows told so far; ``place`` keeps rows and progress."""
+    writer = counts.writeStream.outputMode("append").trigger(availableNow=True).option("checkpointLocation", f"{place}/progress")
+    writer.format("parquet").option("path", f"{place}/rows").start().awaitTermination()
+    return counts.sparkSession.read.schema(counts.schema).parquet(f"{place}/rows")
+
+
 def run_to_end(counts: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     """Process all input there is and return the result table.
 
