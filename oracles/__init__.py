@@ -192,10 +192,10 @@ ORACLES: dict[str, str] = {
     # transcripts
     "extract_pairs": with_views("SELECT conv_id, turn, proponent, opponent FROM walked", "walked"),
     "pair_source_precedence": with_views(
-        """SELECT conv_id * 1000000 + turn // 1000 AS debate_id, CASE conv_id % 3 WHEN 1 THEN 'full_debate' ELSE 'history' END AS source,
+        """SELECT conv_id * 1000000 AS debate_id, CASE conv_id % 3 WHEN 1 THEN 'full_debate' ELSE 'history' END AS source,
                   proponent, opponent FROM walked WHERE conv_id % 3 <> 0
            UNION ALL
-           SELECT * FROM (SELECT conv_id * 1000000 + turn // 1000 AS debate_id, 'content' AS source,
+           SELECT * FROM (SELECT conv_id * 1000000 AS debate_id, 'content' AS source,
                   arg_min(content, turn) FILTER (role = 'proponent') AS proponent,
                   arg_min(content, turn) FILTER (role = 'opponent') AS opponent
            FROM messages WHERE conv_id % 3 = 0 GROUP BY ALL) WHERE proponent IS NOT NULL AND opponent IS NOT NULL""",
@@ -431,7 +431,7 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT 'HateParagraph', id::VARCHAR, content[1:50]
                       FROM (SELECT id, content FROM paragraphs ORDER BY id LIMIT 2)
             UNION ALL SELECT 'HateContent', id::VARCHAR, content[1:50]
-                      FROM (SELECT doc_id * 100000 + generate_subscripts(s, 1) - 1 AS id, unnest(s) AS content
+                      FROM (SELECT doc_id * 1000000000 + generate_subscripts(s, 1) - 1 AS id, unnest(s) AS content
                             FROM (SELECT doc_id, {sentence_list('text')} AS s FROM documents) ORDER BY 1 LIMIT 2)
             UNION ALL SELECT 'CounterParagraph', id::VARCHAR, content[1:50]
                       FROM (SELECT id, content FROM counters ORDER BY id LIMIT 2)""",

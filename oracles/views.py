@@ -79,8 +79,8 @@ def _toxicity() -> str:
     attributes = words(fixed.TOXICITY_ATTRIBUTES)
     return f"""
     SELECT pair_id, system, attribute, conv_id % 10 <> 9 AS valid,
-           ((pair_id * (7 + i)) % 101) / 100e0 AS hate,
-           ((pair_id * (3 + i) + 1 + shift) % 101) / 200e0 AS counter
+           (pair_id % 101 * (7 + i) % 101) / 100e0 AS hate,
+           ((pair_id % 101 * (3 + i) + 1 + shift) % 101) / 200e0 AS counter
     FROM pairs, (VALUES ('gold', 0), ('generated', 17)) AS s(system, shift),
          (SELECT i, ([{attributes}])[i + 1] AS attribute FROM range(8) r(i))"""
 
@@ -397,7 +397,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
               WHERE role IN ('proponent', 'opponent') WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
         WHERE role = 'opponent' AND before_role = 'proponent' AND before_text <> ''"""),
     "pairs": (["walked", "doc_topics"], """
-        SELECT conv_id * 100 + turn AS pair_id, conv_id, topic, position, proponent, opponent
+        SELECT conv_id * 1000000 + turn AS pair_id, conv_id, topic, position, proponent, opponent
         FROM walked LEFT JOIN doc_topics ON conv_id = doc_id"""),
     "marked_pairs": (["pairs"], f"""
         SELECT * REPLACE (opponent || coalesce(' ' || ({MARKERS})[conv_id % 20 + 1], '') AS opponent) FROM pairs"""),

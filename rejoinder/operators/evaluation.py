@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rejoinder.functions import fixed_values as fixed
-from rejoinder.operators.joins import top_per_merged
 from rejoinder.operators.ordinals import with_ordinal
+from rejoinder.session import written
 
 JUDGE_METRICS = [*fixed.JUDGE_CRITERIA, "overall_score"]
 
@@ -178,25 +178,34 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = fixed.SAMPLE_SEED) ->
     return df.orderBy(_draw(key, seed), key).limit(n)
 
 
+# Bits of the draw that rows are counted by; the rest decides among the rows of one bin.
+DRAW_DIGITS = 4
+
+
 def stratified_sample(
     df: DataFrame, stratum: str, key: str, n: int = fixed.STRATIFIED_SIZE, seed: int = fixed.SAMPLE_SEED
 ) -> DataFrame:
-    """``floor(n * stratum / total)`` rows of each stratum, no repeats.
+    """``floor(n * stratum / total)`` rows of each stratum, no repeats: those with the lowest draw.
 
-    A stratum never gives more than ``n`` rows, so Spark cuts each partition to ``n`` rows per
-    stratum before the shuffle and merges these in two steps; the exact quota is applied afterwards.
+    Rows are counted by stratum and bin of the draw, which tells the bin that holds the last row of the quota. All rows
+    of lower bins are taken where they lie; only those of the border bin, some 65,536th of a stratum, are sorted.
+    Strata that share the quota of one row or more are at most ``n``, so their borders are broadcast.
     """
-    sizes = df.groupBy(stratum).agg(F.count("*").alias("_size"))
-    total = df.agg(F.count("*").alias("_total"))
-    quota = F.least(F.call_function("div", F.lit(n) * F.col("_size"), total.scalar()), F.col("_size"))
-    picked = top_per_merged(
-        df.withColumn("_draw", _draw(key, seed)), [stratum], [F.asc("_draw"), F.asc(key)], n, "_place"
-    )
-    return (
-        picked.join(sizes, picked[stratum].eqNullSafe(sizes[stratum]))
-        .filter(F.col("_place") <= quota)
-        .select(*[picked[c] for c in df.columns])
+    drawn = df.withColumn("_draw", _draw(key, seed)).withColumn("_bin", F.conv(F.substring("_draw", 1, DRAW_DIGITS), 16, 10).cast("int"))
+    bins = written(drawn.groupBy(F.col(stratum).alias("_stratum"), "_bin").agg(F.count("*").alias("_rows")), "bins")
+    total = bins.agg(F.sum("_rows").alias("_total"))
+    upto = Window.partitionBy("_stratum").orderBy("_bin")
+    size = F.sum("_rows").over(Window.partitionBy("_stratum"))
+    counted = bins.withColumn("_upto", F.sum("_rows").over(upto)).withColumn("_size", size)
+    counted = counted.withColumn("_quota", F.least(F.call_function("div", F.lit(n) * F.col("_size"), total.scalar()), F.col("_size")))
+    border = counted.filter((F.col("_quota") > F.col("_upto") - F.col("_rows")) & (F.col("_quota") <= F.col("_upto"))).select(
+        "_stratum", F.col("_bin").alias("_border"), (F.col("_quota") - F.col("_upto") + F.col("_rows")).alias("_open")
     )
+    near = drawn.join(F.broadcast(border), drawn[stratum].eqNullSafe(border["_stratum"]) & (F.col("_bin") <= F.col("_border")))
+    at_border = Window.partitionBy("_stratum").orderBy("_draw", key)
+    last = near.filter("_bin = _border").withColumn("_place", F.row_number().over(at_border)).filter("_place <= _open")
+    return near.filter("_bin < _border").select(*df.columns).unionByName(last.select(*df.columns))
+
 
 
 def sample_examples(

@@ -180,7 +180,7 @@ def resume_pending(pairs: DataFrame, done: DataFrame, always: Column | None = No
     """
     keys = ["topic", "position", "proponent"]
     left = pairs.withColumn("_key", F.xxhash64(*keys))
-    right = done.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    right = done.select(*[F.col(k).alias(f"_{k}") for k in keys])
     right = right.withColumn("_done_key", F.xxhash64(*[f"_{k}" for k in keys]))
     same = F.col("_key") == F.col("_done_key")
     for k in keys:

@@ -652,7 +652,7 @@ def _(i):
 def _(i):
     kb = i.kb()
     texts = nodes.split_sentences(kb.paragraphs).select(
-        (F.col("id") * 100_000 + F.col("position")).alias("id"), F.col("sentence").alias("content")
+        (F.col("id") * 1_000_000_000 + F.col("position")).alias("id"), F.col("sentence").alias("content")
     )
     return kb_ops.sample_nodes(kb.topics, kb.paragraphs, texts, kb.counters)
 

@@ -20,9 +20,7 @@ from rejoinder.sources.files import EVALUATION, MESSAGES
 
 DEBATE_IDS = 1_000_000
 DEBATE_TURNS = 1000  # turns per nested debate row, so that a row stays small; pairs are walked on message rows
-PAIR_TURNS = 100  # turns that lie side by side in pair ids; later turns of a conversation go to the next range
-PAIR_RANGE = 10**13  # pair ids of one such range, for conversations up to PAIR_RANGE / 200 on both sides of 0
-PAIR_RANGES = (2**63 - 1) // PAIR_RANGE
+PAIR_TURNS = 1_000_000  # turns of a conversation that have a pair id in (conv_id, turn) order
 PARAGRAPH_STEP = 7
 
 
@@ -361,14 +359,12 @@ def _first(role: str) -> Column:
 
 
 def _pair_id() -> Column:
-    """One number per (conv_id, turn): conv_id * 100 + turn below turn 100, and the same in a
-    further range of ids for every 100 turns more. A pair that has no number of its own is an error."""
+    """One number per (conv_id, turn), in that order: conv_id * 1,000,000 + turn. Where that is no bigint or the turn is
+    beyond, a 64-bit hash of both, which two pairs of a corpus share with a probability of pairs^2 / 2^65."""
     conv, turn = F.col("conv_id"), F.col("turn")
-    last = PAIR_RANGE // (2 * PAIR_TURNS)
-    fits = conv.between(-last, last - 1) & turn.between(0, PAIR_TURNS * PAIR_RANGES - 1)
-    number = whole_parts(turn, PAIR_TURNS) * PAIR_RANGE + conv * PAIR_TURNS + turn % PAIR_TURNS
-    beyond = F.raise_error(F.concat_ws(" ", F.lit("no pair id for conversation and turn"), conv, turn))
-    return F.when(fits, number).when(conv.isNotNull() & turn.isNotNull(), beyond.cast("bigint"))
+    last = (2**63 - 1) // PAIR_TURNS - 1
+    fits = conv.between(-last, last) & turn.between(0, PAIR_TURNS - 1)
+    return F.when(fits, conv * PAIR_TURNS + turn).when(conv.isNotNull() & turn.isNotNull(), F.xxhash64(conv, turn))
 
 
 def _topic() -> Column:

@@ -1,13 +1,16 @@
 """Conversations far longer than those of the given tables."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from compare import differences
+from oracles import ORACLES
 from rejoinder.operators import transcripts
 from rejoinder.plans import catalog
 from rejoinder.plans.catalog import CATALOG
 from rejoinder.plans.evaluate_pairs import evaluate_pairs
-from rejoinder.plans.fixtures import PAIR_RANGE, PAIR_RANGES, Inputs
+from rejoinder.plans.fixtures import PAIR_TURNS, Inputs
 
 TABLE = "conv_id bigint, turn bigint, role string, text string"
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -65,7 +68,8 @@ def test_pairs_of_long_conversations_keep_to_themselves(spark, tmp_path):
     pairs = {r.pair_id: r for r in inputs.pairs().collect()}
     assert len(pairs) == 75 + 75 + 2 + 75
     short = {(r.conv_id, r.opponent): n for n, r in pairs.items()}
-    assert short[(1, "m1.1")] == 101 and short[(2, "m2.99")] == 299  # as before below turn 100
+    assert short[(1, "m1.1")] == 1_000_001 and short[(2, "m2.149")] == 2_000_149
+    assert [n for n, _ in sorted(pairs.items())] == sorted(pairs, key=lambda n: (pairs[n].conv_id, int(pairs[n].opponent.split(".")[1])))
     for name in ("default_scores_corrupted", "compile_evaluated_pairs", "evaluate_pairs"):
         assert sorted(r.pair_id for r in CATALOG[name](spark, path).collect()) == sorted(pairs)
     compiled = CATALOG["compile_evaluated_pairs"](spark, path).collect()
@@ -81,22 +85,30 @@ def test_pairs_of_long_conversations_keep_to_themselves(spark, tmp_path):
 
 
 def test_pair_ids_at_the_edges(spark, tmp_path):
-    last = PAIR_RANGE // 200 - 1
-    turns = [0, 1, 98, 99, 100, 101, 100 * PAIR_RANGES - 2, 100 * PAIR_RANGES - 1]
-    rows = [(c, t, ["user", "assistant"][t % 2], "m") for c in (-last - 1, -1, 0, 1, last) for t in turns]
+    last = 2**63 - 1
+    turns = [0, 1, 98, 99, 100, 101, PAIR_TURNS - 2, PAIR_TURNS - 1, PAIR_TURNS, PAIR_TURNS + 1]
+    rows = [(c, t, ["user", "assistant"][t % 2], "m") for c in (-last - 1, -1, 0, 1, last // PAIR_TURNS, last) for t in turns]
     spark.createDataFrame(rows, TABLE).write.parquet(f"{tmp_path}/conversations.parquet")
     spark.createDataFrame([], DOCUMENT).write.parquet(f"{tmp_path}/documents.parquet")
     inputs = Inputs(spark, str(tmp_path))
-    assert len({r.pair_id for r in inputs.pairs().collect()}) == 5 * 4
+    assert len({r.pair_id for r in inputs.pairs().collect()}) == 6 * 5
     assert inputs.toxicity().select("pair_id", "hate_scores", "counter_scores").collect()
 
 
-def test_a_turn_without_a_pair_id_is_an_error(spark, tmp_path):
-    rows = [(1, 100 * PAIR_RANGES, "user", "m"), (1, 100 * PAIR_RANGES + 1, "assistant", "m")]
-    spark.createDataFrame(rows, TABLE).write.parquet(f"{tmp_path}/conversations.parquet")
-    spark.createDataFrame([], DOCUMENT).write.parquet(f"{tmp_path}/documents.parquet")
-    with pytest.raises(Exception, match="no pair id"):
-        Inputs(spark, str(tmp_path)).pairs().collect()
+LONG_QUERIES = [
+    "extract_pairs", "pair_source_precedence", "assign_ids", "assign_batches", "default_scores_corrupted", "compile_evaluated_pairs",
+    "evaluate_pairs", "rank_pairs", "build_paragraphs", "judge_request_table",
+]
+
+
+def test_long_conversations_equal_sql(spark, tmp_path):
+    """Pairs of conversations of 150 and 1,500 turns, some with a system message first, against the SQL twins."""
+    path = tables(spark, tmp_path, [(1, talk(150)), (2, talk(1500, True)), (3, talk(1500)), (4, talk(150, True)), (15, talk(3))])
+    con = duckdb.connect()
+    for name in ("conversations", "documents"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}/{name}.parquet/*.parquet'")
+    for name in LONG_QUERIES:
+        assert differences(CATALOG[name](spark, path), con, ORACLES[name]) == [], name
 
 
 def test_written_debates_stay_small_and_whole(spark, tmp_path, monkeypatch):
