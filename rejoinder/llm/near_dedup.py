@@ -149,7 +149,7 @@ def _other(columns: list[str]) -> list[Column]:
 
 
 def _sets_of(texts: DataFrame, buckets: DataFrame) -> DataFrame:
-    """(doc_id, regions, shape) of at least all texts in ``buckets``.
+    """(doc_id, regions, shape) of at least all texts in ``buckets``, written.
 
     A bitmap of ``SLOTS`` bits, whatever the input, tells which texts may be in a bucket, so that texts are read where
     they are and not shuffled. A text that only shares a slot with another does no harm.
@@ -171,7 +171,9 @@ def _sets_of(texts: DataFrame, buckets: DataFrame) -> DataFrame:
     id_type = texts.schema["doc_id"].dataType.simpleString()
     placed = texts.where("doc_id IS NOT NULL").withColumn("slot", slot("doc_id"))
     placed = placed.select("doc_id", "text", F.bitmap_bucket_number("slot").alias("part"), F.bitmap_bit_position("slot").alias("place"))
-    return placed.mapInArrow(sets, f"doc_id {id_type}, regions binary, shape array<int>")
+    found = written(placed.mapInArrow(sets, f"doc_id {id_type}, regions binary, shape array<int>"), "regions")
+    shared.destroy()  # the table is written, no task reads the bitmap again
+    return found
 
 
 def _region_sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -237,18 +239,15 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     crowded = members.groupBy("key").agg(F.count("*").alias("n"), F.min("head").alias("hub")).where("n > 1")
     crowd = members.join(crowded.select("key", "hub"), "key")
     buckets = written(crowd.join(own.select("head", "size", *[F.col("sketch")[n].alias(c) for n, c in enumerate(SKETCH)]), "head"), "buckets")
-    sets = written(_sets_of(texts, buckets), "regions")
+    sets = _sets_of(texts, buckets)
 
-    links, inside = None, buckets
-    roots = None
+    roots, inside = buckets.select(F.col("head").alias("u"), F.col("hub").alias("root")).limit(0), buckets
     for _ in range(HUB_ROUNDS):
         hubs = inside.where("head = hub").select("key", F.col("size").alias("other"), *_other(SKETCH))
         pairs = written(
             inside.join(hubs, "key").where(f"head <> hub AND {FITS}").select(F.col("head").alias("u"), F.col("hub").alias("v")).distinct(), "pairs"
         )
-        found = written(_verified(pairs, sets), "links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
+        roots = _joined_roots(roots, written(_verified(pairs, sets), "links"))
         # texts that are not in the component of their bucket's hub go on to the next round
         head_root, hub_root = _root_of(roots, "head", "head_root"), _root_of(roots, "hub", "hub_root")
         strays = (
@@ -272,7 +271,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     alike = f"size(array_intersect(shape, other_shape)) >= {LEAST_COMMON} * (size + other)"
     across = left.join(right, "key").where(f"root <> other_root AND (NOT stray OR head > other_head) AND {FITS} AND NOT arrays_overlap(earlier, other_keys) AND {alike}")
     across = written(across.select(F.greatest("head", "other_head").alias("u"), F.least("head", "other_head").alias("v")).distinct(), "pairs")
-    roots = components(links.unionByName(written(_verified(across, sets), "links")))
+    roots = _joined_roots(roots, written(_verified(across, sets), "links"))
 
     classes = heads.join(_root_of(roots, "head", "root"), "head", "left").select("digest", "size", F.coalesce("root", "head").alias("class_id"))
     return signed.join(classes, ["digest", "size"], "left").select(
@@ -281,6 +280,11 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
+def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The roots of known components and new links; a node and its root stand for all older links."""
+    return roots if links.isEmpty() else components(roots.select("u", F.col("root").alias("v")).unionByName(links))
+
+
 def _root_of(roots: DataFrame, node: str, name: str) -> DataFrame:
     return roots.select(F.col("u").alias(node), F.col("root").alias(name))
 

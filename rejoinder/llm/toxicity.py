@@ -76,6 +76,8 @@ def _collected(sample: DataFrame) -> list[np.ndarray]:
     """
     rows = sample.select("text").repartition(16).mapInArrow(_sets, "words binary").toArrow()
     sets = sorted((np.frombuffer(b, np.uint64) for b in rows.column("words").to_pylist()), key=lambda a: (len(a), a.tobytes()))
+    del rows
+    pa.default_memory_pool().release_unused()  # the driver goes on with other stages
     seen = {tuple(int(mix(own ^ np.uint64(k)).min()) for k in (1, 2, 3)) if len(own) else (): own for own in reversed(sets)}
     return list(seen.values())
 
