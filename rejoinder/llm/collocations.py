@@ -8,9 +8,10 @@ added up in a dense array, the others as sorted coordinates. The cells that reac
 numbered by frequency again and take the place of the words, so that two neighbours are now two
 overlapping phrases, which together are the phrase one word longer.
 
-A pack is a run of whole rows of one input partition, written once under an id of its own. Its blocks
-and the answers to them never hold more entries than the pack has words. A tile is added up by groups
-of ``FAN_IN`` packs, then by groups of such sums, so that no task reads more than that many blocks.
+A pack is a run of whole rows of one input partition, written once under an id of its own. It asks for the
+numbers of its distinct words in the same way: one block for each bucket of words. Its blocks and the answers to
+them never hold more entries than the pack has words. A tile or bucket is added up by groups of ``FAN_IN``
+packs, then by groups of such sums, so that no task reads more than that many blocks.
 
 Nulls: a null or empty text has no words, a null language is ``und``; other columns are not read. Repeated
 rows count each time, ties are broken by the phrase, an empty table gives an empty table. Counts are exact
@@ -20,7 +21,8 @@ and of all documents: words and cells are compared by their content, not by hash
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.llm.columns import drop_path
+from rejoinder.llm.packs import from_ipc, to_ipc
 from rejoinder.llm.text import flat, slices
 from rejoinder.operators.joins import top_per_merged
 from rejoinder.operators.ordinals import with_ordinal
@@ -40,8 +43,10 @@ KEPT = 2000
 
 PACK_BYTES = 16 << 20
 CHUNK_BYTES = 2 << 20
-#: Blocks of one tile that a task adds up.
+#: Blocks of one tile or bucket that a task adds up.
 FAN_IN = 64
+#: Words of all packs, counted once for each pack, that fall into one bucket.
+BUCKET_WORDS = 500_000
 
 #: Kinds of bytes: 0 belongs to a word, 1 separates words, 2 ends a piece.
 KINDS = np.zeros(256, np.uint8)
@@ -52,7 +57,7 @@ LOWER[65:91] += 32
 
 PACK_SCHEMA = "pack string, lang string, n_words bigint, words array<string>, counts array<bigint>, block binary"
 STEP_SCHEMA = "kind int, pack string, lang string, row_band int, col_band int, block binary"
-SUM_SCHEMA = "lang string, row_band int, col_band int, part bigint, block binary"
+WORD_SCHEMA = "pack string, lang string, bucket int, block binary"
 CELL_SCHEMA = "lang string, x bigint, y bigint, a bigint"
 ANSWER_SCHEMA = "pack string, lang string, block binary"
 
@@ -112,10 +117,14 @@ def numbered_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         return pa.array([], pa.large_binary()), np.zeros(0, np.int64)
     coded = pa.chunked_array(words).dictionary_encode().combine_chunks()
     codes, piece = coded.indices.to_numpy(zero_copy_only=False), np.concatenate(pieces)
+    order = np.argsort(-np.bincount(codes, minlength=len(coded.dictionary)), kind="stable")  # small numbers for frequent words
+    place_of = np.empty(len(order), np.int64)
+    place_of[order] = np.arange(len(order))
+    codes = place_of[codes]
     cut = np.diff(piece, prepend=piece[:1]) != 0
     places = np.full(len(codes) + int(cut.sum()), -1, np.int64)
     places[np.arange(len(codes)) + np.cumsum(cut)] = codes
-    return coded.dictionary, places
+    return coded.dictionary.take(pa.array(order)), places
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +228,9 @@ def _worded(pack: pa.Table, told: pa.Table) -> pa.Table:
         return _next_step("", "", np.zeros(0, np.int64))
     places = _unpressed(pack.column("block")[0].as_py())[0]
     number = np.full(int(places.max(initial=-1)) + 2, -1, np.int64)  # the last stays -1, for the gaps
-    number[told.column("place").to_numpy()] = told.column("id").to_numpy()
+    for block in told.column("block").to_pylist():
+        at, ids = _unpressed(block)
+        number[at] = ids
     return _next_step(pack.column("pack")[0].as_py(), pack.column("lang")[0].as_py(), number[places])
 
 
@@ -249,6 +260,91 @@ def _step(packs: DataFrame, told: DataFrame, move) -> tuple[DataFrame, DataFrame
     return table.where("kind = 0").drop("kind", "row_band", "col_band"), table.where("kind = 1").drop("kind"), path
 
 
+def _word_questions(packs: DataFrame, buckets: int) -> DataFrame:
+    """For every pack and bucket of words: the words with their places and counts."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack, lang, words, counts in zip(*(batch.column(c) for c in ("pack", "lang", "words", "counts")), strict=True):
+                words = words.values
+                if not words:
+                    continue
+                bucket = (np.array([zlib.crc32(w) for w in words.cast(pa.binary()).to_pylist()], np.int64) * buckets) >> 32
+                table = pa.table({"word": words, "n": counts.values, "place": pa.array(np.arange(len(words)), pa.int32())})
+                order = np.argsort(bucket, kind="stable")
+                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                found = [(b, order[lo:hi]) for b, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)) if hi > lo]
+                blocks = [to_ipc(table.take(pa.array(rows)).sort_by("word")) for _, rows in found]
+                yield pa.RecordBatch.from_pydict(
+                    {"pack": [pack.as_py()] * len(found), "lang": [lang.as_py()] * len(found), "bucket": pa.array([b for b, _ in found], pa.int32()), "block": pa.array(blocks, pa.binary())}
+                )
+
+    return packs.select("pack", "lang", "words", "counts").mapInArrow(ask, WORD_SCHEMA)
+
+
+def _word_sums(blocks: list[bytes]) -> pa.Table:
+    tables = [from_ipc(b).select(["word", "n"]) for b in blocks]
+    return pa.concat_tables(tables).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+
+def _by_rounds(asked: DataFrame, keys: list[str], add: Callable[[list[bytes], pa.Table], bytes], last: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """The blocks of each of ``keys`` put together by ``FAN_IN``, as often as it takes, and then by ``last``."""
+    salts = _salts(asked)
+    sums = asked.select(*keys, F.pmod(F.xxhash64("pack"), F.lit(salts)).alias("part"), "block")
+    inner = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sums.schema)
+
+    def partial(table: pa.Table) -> pa.Table:
+        return table.select([*keys, "part"]).slice(0, 1).append_column("block", pa.array([add(table.column("block").to_pylist(), table)], pa.binary()))
+
+    while salts > 1:
+        sums = sums.groupBy(*keys, "part").applyInArrow(partial, inner)
+        salts = -(-salts // FAN_IN)
+        sums = sums.withColumn("part", F.pmod("part", F.lit(salts)))
+    return sums.groupBy(*keys).applyInArrow(last, schema)
+
+
+def _salts(asked: DataFrame) -> int:
+    return max(1, -(-asked.select("pack").distinct().count() // FAN_IN))
+
+
+def _frequent_words(asked: DataFrame, least: int) -> DataFrame:
+    """(lang, word, a) of all words with a >= least."""
+
+    def last(table: pa.Table) -> pa.Table:
+        sums = _word_sums(table.column("block").to_pylist())
+        sums = sums.filter(pc.greater_equal(sums.column("n"), least))
+        lang = table.column("lang")[0].as_py()
+        return pa.table({"lang": pa.array([lang] * sums.num_rows, pa.string()), "word": sums.column("word"), "a": sums.column("n")})
+
+    return _by_rounds(asked, ["lang", "bucket"], lambda blocks, _: to_ipc(_word_sums(blocks)), last, "lang string, word string, a bigint")
+
+
+def _word_answers(asked: DataFrame, ranked: DataFrame, buckets: int) -> DataFrame:
+    """To every pack, of each bucket it asked, the places and numbers of its frequent words."""
+    salts = _salts(asked)
+    bucket = F.shiftright(F.crc32("word") * F.lit(buckets).cast("bigint"), 32).cast("int")
+    known = ranked.select("lang", bucket.alias("bucket"), "word", "id").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    keys = ["lang", "bucket", "part"]
+
+    def tell(asking: pa.Table, frequent: pa.Table) -> pa.Table:
+        out = {"pack": [], "lang": [], "block": []}
+        if asking.num_rows and frequent.num_rows:
+            words, number = frequent.column("word").combine_chunks(), frequent.column("id").to_numpy()
+            for pack, lang, block in zip(*(asking.column(c).to_pylist() for c in ("pack", "lang", "block")), strict=True):
+                own = from_ipc(block)
+                at = pc.index_in(own.column("word"), value_set=words)
+                hit = np.flatnonzero(pc.is_valid(at).to_numpy(zero_copy_only=False))
+                if len(hit):
+                    out["pack"].append(pack)
+                    out["lang"].append(lang)
+                    ids = number[pc.fill_null(at, 0).to_numpy(zero_copy_only=False)[hit]]
+                    out["block"].append(_pressed(own.column("place").to_numpy()[hit].astype(np.int64), ids))
+        return pa.table({"pack": pa.array(out["pack"], pa.string()), "lang": pa.array(out["lang"], pa.string()), "block": pa.array(out["block"], pa.binary())})
+
+    asking = asked.withColumn("part", F.pmod(F.xxhash64("pack"), F.lit(salts)))
+    return asking.groupBy(*keys).cogroup(known.groupBy(*keys)).applyInArrow(tell, ANSWER_SCHEMA)
+
+
 def _cells_of(row_band: int, col_band: int) -> int:
     return int(band_width(row_band)) * int(band_width(col_band))
 
@@ -259,15 +355,10 @@ def _tile(table: pa.Table) -> tuple[str, int, int]:
 
 def _frequent_cells(asked: DataFrame, least: int) -> DataFrame:
     """(lang, x, y, a) of all cells with a >= least, added up by groups of ``FAN_IN`` blocks, then of sums."""
-    salts = max(1, -(-asked.select("pack").distinct().count() // FAN_IN))
-    sums = asked.select("lang", "row_band", "col_band", F.pmod(F.xxhash64("pack"), F.lit(salts)).alias("part"), "block")
 
-    def partial(table: pa.Table) -> pa.Table:
-        lang, r, c = _tile(table)
-        cells, counts = added(table.column("block").to_pylist(), _cells_of(r, c))
-        return pa.table(
-            {"lang": [lang], "row_band": pa.array([r], pa.int32()), "col_band": pa.array([c], pa.int32()), "part": table.column("part")[:1], "block": pa.array([_block(cells, counts)], pa.binary())}
-        )
+    def add(blocks: list[bytes], table: pa.Table) -> bytes:
+        _, r, c = _tile(table)
+        return _block(*added(blocks, _cells_of(r, c)))
 
     def last(table: pa.Table) -> pa.Table:
         lang, r, c = _tile(table)
@@ -276,11 +367,7 @@ def _frequent_cells(asked: DataFrame, least: int) -> DataFrame:
         x, y = band_start(r) + cells // int(band_width(c)), band_start(c) + cells % int(band_width(c))
         return pa.table({"lang": pa.array([lang] * len(x), pa.string()), "x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64()), "a": pa.array(counts, pa.int64())})
 
-    while salts > 1:
-        sums = sums.groupBy("lang", "row_band", "col_band", "part").applyInArrow(partial, SUM_SCHEMA)
-        salts = -(-salts // FAN_IN)
-        sums = sums.withColumn("part", F.pmod("part", F.lit(salts)))
-    return sums.groupBy("lang", "row_band", "col_band").applyInArrow(last, CELL_SCHEMA)
+    return _by_rounds(asked, ["lang", "row_band", "col_band"], add, last, CELL_SCHEMA)
 
 
 def _ranked(counted: DataFrame, ties: list[str]) -> DataFrame:
@@ -292,7 +379,7 @@ def _ranked(counted: DataFrame, ties: list[str]) -> DataFrame:
 
 def _answers(asked: DataFrame, ranked: DataFrame) -> DataFrame:
     """To every pack, of each tile it asked, the cells it has that are frequent: (x, y, id) as one block."""
-    salts = max(1, -(-asked.select("pack").distinct().count() // FAN_IN))
+    salts = _salts(asked)
     band = lambda c: F.when(F.col(c) < 2048, F.shiftright(c, 10)).when(F.col(c) < 4096, 2).otherwise(2 + F.shiftright(c, 12)).cast("int")
     known = ranked.select("lang", band("x").alias("row_band"), band("y").alias("col_band"), "x", "y", "id")
     known = known.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
@@ -329,10 +416,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = M
     spark = docs.sparkSession
     packs = written(docs.select("lang", "text").mapInArrow(_packed, PACK_SCHEMA), "collocation-packs")
     totals = packs.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    words = packs.select("pack", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).select("pack", "lang", "place", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    ranked = written(_ranked(counted, ["word"]), "collocation-words")
-    told = words.drop("n").join(ranked.select("lang", "word", "id"), ["lang", "word"]).select("pack", "lang", "place", "id")
+    buckets = max(1, -(-(packs.agg(F.sum(F.size("words"))).first()[0] or 0) // BUCKET_WORDS))
+    asked = written(_word_questions(packs, buckets), "collocation-words")
+    ranked = written(_ranked(_frequent_words(asked, least), ["word"]), "collocation-words")
+    told = _word_answers(asked, ranked, buckets)
     levels = [
         ranked.select(
             "lang", "id", F.col("word").alias("phrase"), "a", F.array("a").alias("fronts"), F.array("a").alias("backs"),
