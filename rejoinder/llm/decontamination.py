@@ -1,9 +1,10 @@
 """Benchmark decontamination by CGK embedding and bit sampling (operator 1).
 
-The CGK embedding walks over a word sequence for three times its length; at each step it emits
-the word under the pointer and a random bit of (step, word) decides whether the pointer moves on.
-Sequences at a small edit distance become sequences at a small Hamming distance. Each of
-``REPEATS`` embeddings is sampled at ``SAMPLED`` steps; the sampled words are a key. Windows of a
+The CGK embedding walks over a word sequence; at each step it emits the word under the pointer and
+a random bit of (step, word) decides whether the pointer moves on. Sequences at a small edit
+distance become sequences at a small Hamming distance. Each of ``REPEATS`` embeddings is sampled
+at two different steps, both before ``REACH`` times the length, as the pointer passes the end
+at about twice the length; the sampled words are a key. A key that met the end is no key. Windows of a
 document as long as a benchmark item that share a key with the item are candidates, and
 the exact edit distance, in words, of the item to the text around the window decides.
 
@@ -28,8 +29,10 @@ from rejoinder.llm.text import ALPHANUMERIC, U64, Words, flat, inside_text, mix,
 
 #: Edits allowed for each word of an item.
 RATE = 0.2
-REPEATS = 32
+REPEATS = 64
 SAMPLED = 2
+#: Steps of a walk that are sampled, for each word of the sequence.
+REACH = 1.6
 PIECE = 4
 #: Text of the items that one pass over the documents holds.
 BLOCK_BYTES = 8 << 20
@@ -48,13 +51,20 @@ def _matches(sorted_keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np
 
 
 def cgk_keys(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The sampled keys (row x repeat) of word sequences, given one by row and zero past their ``size``."""
+    """The sampled keys (row x repeat) of word sequences, given one by row and zero past their ``size``.
+
+    Zero stands for a key that is none: one of its steps came after the last word. A sequence of
+    one word samples its one step twice.
+    """
     n, width = rows.shape
-    steps = 3 * width
+    reach = np.maximum((REACH * size).astype(np.int64), 1)
+    steps = int(reach.max(initial=1))
     # a step's hash may not depend on the width of this table
     step_hash = mix(np.arange(1, REPEATS + 1, dtype=U64)[:, None] * U64(1 << 32) + np.arange(steps, dtype=U64)) | U64(1)
     share = np.random.default_rng(12).random((REPEATS, SAMPLED))
-    wanted = (share[:, :, None] * (3 * size)).astype(np.int64)  # repeat x sample x row
+    first = (share[:, 0, None] * reach).astype(np.int64)
+    second = (first + 1 + (share[:, 1, None] * (reach - 1)).astype(np.int64)) % reach
+    wanted = np.stack([first, second], 1)  # repeat x sample x row
     padded = np.concatenate([rows, np.zeros((n, 1), U64)], 1)
     pointer = np.zeros((REPEATS, n), np.int64)
     keys = np.zeros((REPEATS, SAMPLED, n), U64)
@@ -68,7 +78,7 @@ def cgk_keys(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
     out = np.arange(1, REPEATS + 1, dtype=U64)[:, None] * U64(0x9E3779B97F4A7C15) + size.astype(U64)
     for k in range(SAMPLED):
         out = mix(out * U64(0xD1B54A32D192ED03) + keys[:, k])
-    return out.T
+    return np.where((keys == 0).any(1), U64(0), out | U64(1)).T
 
 
 def edit_distances(items: np.ndarray, size: np.ndarray, regions: np.ndarray) -> np.ndarray:
@@ -105,9 +115,11 @@ class Items:
             value = windows(words.hash, int(q))
             good = inside_text(words.first, int(q)) & (piece[owner[: len(value)]] == q)
             place = np.flatnonzero(good)
-            order = np.argsort(value[place], kind="stable")
-            place = place[order]
-            self.pieces[int(q)] = (value[place], owner[place], place - words.first[owner[place]])
+            # a window depends on the size of an item and the place of the piece in it, not on the item
+            told = np.stack([self.size[owner[place]].astype(U64), (place - words.first[owner[place]]).astype(U64), value[place]], 1)
+            told = np.unique(told, axis=0)
+            told = told[np.argsort(told[:, 2], kind="stable")]
+            self.pieces[int(q)] = (told[:, 2], told[:, 0].astype(np.int64), told[:, 1].astype(np.int64))
         keys, whose = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
         for some in self.runs(np.arange(len(ids)), REPEATS * SAMPLED):
             k = cgk_keys(self.rows(some), self.size[some])
@@ -115,6 +127,7 @@ class Items:
             whose.append(np.repeat(some, REPEATS))
         keys, whose = np.concatenate(keys), np.concatenate(whose)
         order = np.argsort(keys, kind="stable")
+        order = order[keys[order] > 0]
         self.keys, self.key_items = keys[order], whose[order]
 
     def runs(self, items: np.ndarray, factor: int) -> Iterator[np.ndarray]:
@@ -136,32 +149,32 @@ class Items:
         own = words.hash | U64(1)
         owner = np.repeat(np.arange(len(texts)), np.diff(words.first))
         seen = [np.zeros((0, 2), np.int64)]
-        for q, (value, item, offset) in self.pieces.items():
+        for q, (value, length, offset) in self.pieces.items():
             here = windows(own, q)
             here_at = np.flatnonzero(inside_text(words.first, q))
             hit, place = _matches(value, here[here_at])
             # a window that a border cuts off is taken as far as it goes
             start = here_at[hit] - offset[place]
             text = owner[here_at[hit]]
-            seen.append(np.stack([np.maximum(start, words.first[text]), item[place]], 1))
+            seen.append(np.stack([np.maximum(start, words.first[text]), length[place]], 1))
         seen = np.unique(np.concatenate(seen), axis=0)
         if not len(seen):
             return []
-        start, item = seen[:, 0], seen[:, 1]
+        start, wide = seen[:, 0], seen[:, 1]
         text = owner[start]
         pairs = []
-        order = np.argsort(self.size[item], kind="stable")
+        order = np.argsort(wide, kind="stable")
         at = 0
         while at < len(order):
-            n = max(1, CELLS // (REPEATS * SAMPLED * int(self.size[item[order[min(len(order) - 1, at + 499)]]])))
+            n = max(1, CELLS // (REPEATS * SAMPLED * int(wide[order[min(len(order) - 1, at + 499)]])))
             some = order[at : at + min(n, 500)]
             at += len(some)
-            size = self.size[item[some]]
-            length = np.minimum(size, words.first[text[some] + 1] - start[some])
-            keys = cgk_keys(_cut(own, start[some], length), size)
-            hit, place = _matches(self.keys, keys.reshape(-1))
-            window, other = some[hit // REPEATS], self.key_items[place]
-            same = self.size[other] == self.size[item[window]]
+            length = np.minimum(wide[some], words.first[text[some] + 1] - start[some])
+            keys = cgk_keys(_cut(own, start[some], length), wide[some]).reshape(-1)
+            real = np.flatnonzero(keys)
+            hit, place = _matches(self.keys, keys[real])
+            window, other = some[real[hit] // REPEATS], self.key_items[place]
+            same = self.size[other] == wide[window]
             pairs.append(np.unique(np.stack([window[same], other[same]], 1), axis=0))
         pairs = np.unique(np.concatenate(pairs), axis=0)
         best: dict[tuple[int, int], tuple[int, int]] = {}

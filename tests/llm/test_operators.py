@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rejoinder.llm import (
@@ -16,6 +17,7 @@ from rejoinder.llm import (
 from rejoinder.llm.columns import fresh
 from rejoinder.llm.components import components
 from rejoinder.llm.suffix_array import collection_bwt, repeated_starts
+from rejoinder.llm.text import mix
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, h string, score double, size int"
 
@@ -232,6 +234,52 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(docs, benchmark).count() == 0
 
 
+def test_decontamination_finds_every_kind_of_edit(spark):
+    """Recall of the sampled keys at the most edits allowed; insertions and deletions move the walks apart."""
+    chance = random.Random(5)
+    weights = [1 / (k + 3) for k in range(5000)]
+    some = lambda n: [f"w{k}" for k in chance.choices(range(5000), weights, k=n)]
+    for size, least in ((5, 1), (16, 0.95), (59, 0.95), (200, 0.85)):
+        for kind in ("replace", "insert", "delete"):
+            items, texts = [], []
+            for _ in range(40):
+                words = some(size)
+                own = list(words)
+                for _ in range(int(size * decontamination.RATE)):
+                    at = chance.randrange(len(own))
+                    own[at : at + (kind != "insert")] = [] if kind == "delete" else some(1)
+                items.append(" ".join(words))
+                texts.append(" ".join(some(40) + own + some(40)))
+            found = decontamination.Items(list(range(40)), pa.array(items)).found(pa.array(texts))
+            assert len({t for t, i, *_ in found if t == i}) >= least * 40, (size, kind)
+
+
+def test_decontamination_keys_select():
+    """Unrelated sequences of one length rarely share a key, equal ones share all; padding makes no key."""
+    chance = random.Random(6)
+    weights = [1 / (k + 3) for k in range(5000)]
+    for size in (16, 27, 40, 59):
+        words = mix(np.array([chance.choices(range(5000), weights, k=size) for _ in range(300)]).astype(np.uint64)) | np.uint64(1)
+        keys = decontamination.cgk_keys(words, np.full(300, size))
+        other = np.roll(keys, 1, 0)
+        assert ((keys == other) & (keys > 0)).any(1).mean() < 0.05
+        assert (keys > 0).mean() > 0.9
+        wider = np.concatenate([words, np.zeros((300, 9), np.uint64)], 1)
+        assert (decontamination.cgk_keys(wider, np.full(300, size)) == keys).all()
+    assert not decontamination.cgk_keys(np.zeros((2, 3), np.uint64), np.full(2, 3)).any()
+
+
+def test_decontamination_of_items_with_a_common_piece(spark):
+    """Many items that share a run of words are looked up by one window for each place, and only true ones are told."""
+    chance = random.Random(7)
+    word = lambda: "".join(chance.choices("abcdefghij", k=5))
+    items = [" ".join(["which", "of", "these", "is"] + [word() for _ in range(16)]) for _ in range(300)]
+    one = decontamination.Items(list(range(300)), pa.array(items))
+    assert sum(len(value) for value, *_ in one.pieces.values()) <= 300 * 17 - 299
+    texts = [f"x {items[7]} y", "which of these is " * 200, " ".join(word() for _ in range(50))]
+    assert [(t, i, d) for t, i, d, _ in one.found(pa.array(texts))] == [(0, 7, 0)]
+
+
 def _auc(label, score):
     rank = np.argsort(np.argsort(score)) + 1
     label = np.asarray(label)
