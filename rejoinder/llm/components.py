@@ -33,16 +33,23 @@ def components(links: DataFrame) -> DataFrame:
     Self links and repeated links do no harm; an empty table gives an empty table.
     """
     spark = links.sparkSession
-    print_of = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
     edges = links.select("u", "v").where("u <> v").distinct()
-    last_path, before = None, None
+    last_path = None
     while True:
         path = scratch_path(spark, "stars")
         _small_star(_large_star(edges)).distinct().write.parquet(path)
         edges = spark.read.parquet(path)
         if last_path:
             drop_path(spark, last_path)
-        last_path, now = path, print_of(edges)
-        if now == before or now[0] == 0:
+        last_path = path
+        if _stars_only(edges):
             return edges.select("u", F.col("v").alias("root"))
-        before = now
+
+
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and none if it is a smaller neighbour itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    ups = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.max("down").alias("root"))
+    return ups.where("ups > 1 OR ups = 1 AND root = 1").isEmpty()

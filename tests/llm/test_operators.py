@@ -211,6 +211,20 @@ def test_components(spark):
     links = spark.createDataFrame([(k + 1, k) for k in range(1, 30)] + [(50, 40), (40, 60), (7, 7), (60, 50)], "u long, v long")
     got = {r.u: r.root for r in components(links).collect()}
     assert got == {k: 1 for k in range(2, 31)} | {50: 40, 60: 40}
+    assert components(links.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_of_random_links(spark, seed):
+    chance = random.Random(seed)
+    links = [(chance.randrange(300), chance.randrange(300)) for _ in range(220)] + [(500, k) for k in range(400, 460)]
+    root = list(range(501))
+    find = lambda k: k if root[k] == k else find(root[k])
+    for u, v in links:
+        a, b = sorted((find(u), find(v)))
+        root[b] = a
+    want = {k: find(k) for pair in links for k in pair if find(k) != k}
+    assert {r.u: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()} == want
 
 
 def test_decontamination(spark, docs):
