@@ -85,7 +85,7 @@ LLM_QUERIES: dict[str, Query] = {
 
 LLM_ORACLES: dict[str, str] = {
     "op2_substring_dedup": r"""
-        WITH split AS (
+        WITH RECURSIVE split AS (
             SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words
             FROM documents),
         starts AS (
@@ -96,13 +96,22 @@ LLM_ORACLES: dict[str, str] = {
         gone AS (
             SELECT DISTINCT doc_id, unnest(range(place, place + 13)) AS place FROM windows WHERE first_id < doc_id),
         lost AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id),
-        shared AS (SELECT DISTINCT doc_id FROM windows WHERE first_id < last_id),
+        ladder AS (
+            SELECT DISTINCT 13::BIGINT AS size, doc_id FROM windows WHERE first_id < last_id
+            UNION ALL
+            SELECT DISTINCT 2 * size, doc_id FROM (
+                SELECT size, doc_id, min(doc_id) OVER w <> max(doc_id) OVER w AS held
+                FROM (SELECT size, doc_id, words, unnest(range(1, len(words) - 2 * size + 2)) AS place
+                      FROM ladder JOIN split USING (doc_id))
+                WINDOW w AS (PARTITION BY md5(array_to_string(words[place:place + 2 * size - 1], ' '))))
+            WHERE held),
+        longest AS (SELECT doc_id, max(size) AS size FROM ladder GROUP BY doc_id),
         told AS (
             SELECT doc_id, words, coalesce(places, []) AS places FROM split LEFT JOIN lost USING (doc_id))
         SELECT doc_id, len(words) AS n_words, len(places) AS n_removed,
                sha256(coalesce(array_to_string([words[i] FOR i IN range(1, len(words) + 1) IF NOT list_contains(places, i)], ' '), '')) AS kept_sha256,
-               CASE WHEN doc_id IN (SELECT doc_id FROM shared) THEN 13::BIGINT ELSE 0::BIGINT END AS longest_repeat
-        FROM told
+               coalesce(size, 0)::BIGINT AS longest_repeat
+        FROM told LEFT JOIN longest USING (doc_id)
     """,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -6,7 +6,9 @@ among those the long window holds, which equal long windows choose alike. Where
 occurs in one document only, the long window cannot repeat. The windows that are left are asked at
 the full length, which decides what is removed. With ``extend`` the doubling goes on, from
 windows repeated at one length to windows of twice that length that begin and end with one,
-until none survives; this tells the longest repeat of each document.
+until none survives; this tells the longest repeat of each document. From here on only the
+surviving places and their hashes travel, no texts: the hash of a window of twice the length is made of those of
+its two halves.
 
 Questions travel as sorted distinct hashes of a pack of documents, answers as one small number
 for each, in the same order; so a passage that many documents share costs one entry for each pack.
@@ -29,8 +31,8 @@ from rejoinder.llm.packs import (
     BLOCK_SCHEMA, answered, bucket_count, bucket_edges, expand, from_ipc, in_order, new_pack_id, squeeze,
     to_ipc, written_packs,
 )
-from rejoinder.llm.text import BLANK_SEPARATED, U64, Words, flat, inside_text, least_of, slices, windows
-from rejoinder.session import scratch_path
+from rejoinder.llm.text import BASE, BLANK_SEPARATED, U64, Words, flat, inside_text, least_of, mix, slices, windows
+from rejoinder.session import scratch_path, written
 
 WINDOW = 13
 PACK_BYTES = 8 << 20
@@ -93,18 +95,11 @@ class Pack:
             asked = np.unique(at)
             hashes = self.half[asked]
         else:
-            before_hash, before_start, before_place = self.asked[level - 1]
+            _, before_start, before_place = self.asked[level - 1]
             code = answers[level - 1][before_place]
-            if level == 1:
-                shared = np.zeros(len(self.half), bool)
-                shared[before_start] = (code & SHARED) > 0
-                asked = self.start[shared[self.speaker]]
-            else:
-                shared = np.zeros(len(self.words) + lengths[level], bool)
-                shared[before_start] = (code & SHARED) > 0
-                fits = inside_text(self.words.first, lengths[level])
-                step = lengths[level] - lengths[level - 1]
-                asked = np.flatnonzero(fits & shared[: len(fits)] & shared[step : step + len(fits)])
+            shared = np.zeros(len(self.half), bool)
+            shared[before_start] = (code & SHARED) > 0
+            asked = self.start[shared[self.speaker]]
             hashes = windows(self.words.hash, lengths[level])[asked]
         _, place = np.unique(hashes, return_inverse=True)
         return hashes, asked, place
@@ -157,28 +152,23 @@ def _codes(replies: pa.Table, level: int) -> np.ndarray:
     return np.concatenate(blocks) if blocks else np.zeros(0, np.uint8)
 
 
-def _levels(docs: DataFrame, window: int, extend: bool, pack_bytes: int) -> tuple[DataFrame, DataFrame, list[int]]:
-    """Packs, the answers of all levels (written), and the lengths asked."""
+def _levels(docs: DataFrame, window: int, pack_bytes: int) -> tuple[DataFrame, DataFrame, list[int]]:
+    """Packs, the answers at half the window and at the window (written), and these two lengths."""
     spark = docs.sparkSession
     narrow = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     packs, _ = written_packs(narrow.mapInArrow(partial(packed, pack_bytes=pack_bytes), PACK_SCHEMA), "word-packs")
     buckets = bucket_count(packs, "n_bytes")
-    lengths, path, level = [-(-window // 2), window], scratch_path(spark, "levels"), 0
+    lengths, path = [-(-window // 2), window], scratch_path(spark, "levels")
     schema = BLOCK_SCHEMA + ", level int"
-    while True:
-        whole = packs.select("pack_id", "rows")
+    whole = packs.select("pack_id", "rows")
+    for level in range(2):
         if level == 0:
             questions = whole.mapInArrow(_first_questions(lengths, buckets), BLOCK_SCHEMA)
         else:
             known = spark.read.schema(schema).parquet(path)
             questions = whole.groupBy("pack_id").cogroup(known.groupBy("pack_id")).applyInArrow(_later_questions(lengths, level, buckets), BLOCK_SCHEMA)
         answered(questions, _answer).withColumn("level", F.lit(level)).write.mode("append").parquet(path)
-        level += 1
-        if level == len(lengths):
-            answers = spark.read.schema(schema).parquet(path)
-            if not extend or answers.where(F.col("level") == level - 1).isEmpty():
-                return packs, answers, lengths
-            lengths = [*lengths, 2 * lengths[-1]]
+    return packs, spark.read.schema(schema).parquet(path), lengths
 
 
 def _first_questions(lengths: list[int], buckets: int):
@@ -204,13 +194,13 @@ def _later_questions(lengths: list[int], level: int, buckets: int):
     return run
 
 
-def _result(packs: DataFrame, answers: DataFrame, lengths: list[int], id_type: str, finish, schema: str) -> DataFrame:
+def _result(packs: DataFrame, answers: DataFrame, lengths: list[int], finish, schema: str) -> DataFrame:
     def run(pack: pa.Table, replies: pa.Table) -> pa.Table:
-        (rows,) = pack.column("rows").to_pylist()
+        ((pack_id, rows),) = zip(pack.column("pack_id").to_pylist(), pack.column("rows").to_pylist(), strict=True)
         own = Pack(rows)
-        codes = [_codes(replies, k) for k in range(len(lengths))]
-        own.ask(lengths, codes[:-1])
-        _, start, place = own.asked[1]
+        codes = [_codes(replies, k) for k in range(2)]
+        own.ask(lengths, codes[:1])
+        hashes, start, place = own.asked[1]
         code = codes[1][place]
         covered = np.zeros(len(own.words) + 1, np.int64)
         # a pack's smallest holder is not covered unless a document outside the pack comes earlier
@@ -220,15 +210,97 @@ def _result(packs: DataFrame, answers: DataFrame, lengths: list[int], id_type: s
         gone = start[((code & EARLIER) > 0) | (ids > least[place])]
         np.add.at(covered, gone, 1)
         np.add.at(covered, gone + lengths[1], -1)
-        longest = np.zeros(len(own.ids), np.int64)
-        for k in range(1, len(lengths)):
-            _, at, where = own.asked[k]
-            longest[own.owner[at[(codes[k][where] & SHARED) > 0]]] = lengths[k]
-        return finish(own, np.cumsum(covered)[:-1] > 0, longest)
+        repeated = np.flatnonzero((code & SHARED) > 0)
+        return finish(own, np.cumsum(covered)[:-1] > 0, pack_id, (start[repeated], own.owner[start[repeated]], hashes[repeated]))
 
     return packs.select("pack_id", "rows").groupBy("pack_id").cogroup(answers.groupBy("pack_id")).applyInArrow(run, schema)
 
 
+#: Windows of one pack: where they start (in words of the pack), in which of its rows, and their hashes.
+Windows = tuple[np.ndarray, np.ndarray, np.ndarray]
+WINDOWS_SCHEMA = "n_bytes bigint, start binary, owner binary, hash binary"
+
+
+def _twice(repeated: Windows, length: int) -> Windows:
+    """The windows of twice ``length`` that begin and end with one of the given; a window's hash is made of its halves' hashes."""
+    start, owner, hashes = repeated
+    if not len(start):
+        return repeated
+    at = np.minimum(np.searchsorted(start, start + length), len(start) - 1)
+    first = np.flatnonzero((start[at] == start + length) & (owner[at] == owner))
+    return start[first], owner[first], mix(hashes[first] * BASE + mix(hashes[at[first]]))
+
+
+def _stored(some: Windows) -> dict[str, list]:
+    start, owner, hashes = some
+    return {"n_bytes": [8 * len(start)], "start": [squeeze(start)], "owner": [squeeze(owner.astype(np.int32))], "hash": [squeeze(hashes)]}
+
+
+def _read(row: dict) -> Windows:
+    return expand(row["start"], np.int64), expand(row["owner"], np.int32).astype(np.int64), expand(row["hash"], np.uint64)
+
+
+def _window_questions(buckets: int):
+    """Sorted distinct hashes of each pack's windows and whether several of its rows hold them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                _, owner, hashes = _read(row)
+                distinct, place = np.unique(hashes, return_inverse=True)
+                low, high = np.full(len(distinct), NO_ID), np.full(len(distinct), -1)
+                np.minimum.at(low, place, owner)
+                np.maximum.at(high, place, owner)
+                yield from _blocks(row["pack_id"], (distinct, np.zeros(len(distinct), np.int64), low < high), buckets)
+
+    return run
+
+
+def _survivors(length: int):
+    """The rows of a pack that share a window of ``length``, and their windows of twice that length."""
+    arrow = pa.schema(
+        [("pack_id", pa.string()), ("held_by", pa.list_(pa.int64())), ("n_bytes", pa.int64()), ("start", pa.binary()), ("owner", pa.binary()), ("hash", pa.binary())]
+    )
+
+    def run(asked: pa.Table, replies: pa.Table) -> pa.Table:
+        out = []
+        blocks = [expand(b, np.uint8) for b in in_order(replies)]
+        code = np.concatenate(blocks) if blocks else np.zeros(0, np.uint8)
+        for row in asked.to_pylist():
+            some = _read(row)
+            repeated = (code[np.unique(some[2], return_inverse=True)[1]] & SHARED) > 0
+            kept = tuple(part[repeated] for part in some)
+            told = {"pack_id": [row["pack_id"]], "held_by": [np.unique(kept[1]).tolist()], **_stored(_twice(kept, length))}
+            out.append(pa.table(told, arrow))
+        return pa.concat_tables(out) if out else arrow.empty_table()
+
+    return run
+
+
+def _longest(first: DataFrame, window: int) -> DataFrame:
+    """(pack_id, row, length): the largest length of the ladder above ``window`` that a row shares, for the rows that share one.
+
+    ``first`` has the windows of twice ``window``. Each round writes what survives to the shared folder; the
+    number of rounds is the logarithm of the longest repeat.
+    """
+    spark = first.sparkSession
+    path, length, asked = scratch_path(spark, "ladder"), 2 * window, first.where("n_bytes > 0")
+    found = None
+    while not asked.isEmpty():
+        buckets = bucket_count(asked, "n_bytes")
+        replies = answered(asked.mapInArrow(_window_questions(buckets), BLOCK_SCHEMA), _answer)
+        schema = f"pack_id string, held_by array<bigint>, {WINDOWS_SCHEMA}"
+        told = asked.groupBy("pack_id").cogroup(replies.groupBy("pack_id")).applyInArrow(_survivors(length), schema)
+        told.write.parquet(f"{path}/{length}")
+        told = spark.read.schema(schema).parquet(f"{path}/{length}")
+        rows = told.select("pack_id", F.explode("held_by").alias("row"), F.lit(length).cast("bigint").alias("length"))
+        found = rows if found is None else found.unionByName(rows)
+        asked, length = told.select("pack_id", "n_bytes", "start", "owner", "hash").where("n_bytes > 0"), 2 * length
+    if found is None:
+        return spark.createDataFrame([], "pack_id string, row bigint, length bigint")
+    return found.groupBy("pack_id", "row").agg(F.max("length").alias("length"))
+
+
 def _kept_texts(own: Pack, removed: np.ndarray) -> Iterator[memoryview]:
     """The kept words of each text, joined by one blank."""
     w = own.words
@@ -249,34 +321,44 @@ def _kept_texts(own: Pack, removed: np.ndarray) -> Iterator[memoryview]:
         yield memoryview(out)
 
 
-def passage_report(docs: DataFrame, window: int = WINDOW, extend: bool = False, pack_bytes: int = PACK_BYTES) -> DataFrame:
+def passage_report(docs: DataFrame, window: int = WINDOW, pack_bytes: int = PACK_BYTES) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, longest_repeat) for every row of ``docs``.
 
     A word is removed if a window of ``window`` words over it also starts in a document with a
     smaller id. Null ids count as larger than all others, and rows with one id as one document
     that removes nothing from itself. Null and empty texts have no words; texts shorter than a
-    window lose none. ``longest_repeat`` is the largest length asked that the document
-    shares with another row, 0 if none; without ``extend`` only ``window`` is asked.
+    window lose none. ``longest_repeat`` is the largest of the lengths ``window``, twice, four times it and so on
+    of which the row shares a window with another row, 0 if none.
     """
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256", "longest_repeat"]
 
-    def finish(own: Pack, removed: np.ndarray, longest: np.ndarray) -> pa.Table:
+    def finish(own: Pack, removed: np.ndarray, pack_id: str, repeated: Windows) -> pa.Table:
         count = np.diff(own.words.first)
         lost = np.diff(np.concatenate([[0], np.cumsum(removed)])[own.words.first])
         digest = [hashlib.sha256(text).hexdigest() for text in _kept_texts(own, removed)]
-        names = ["doc_id", "n_words", "n_removed", "kept_sha256", "longest_repeat"]
-        return pa.table([own.key, pa.array(count), pa.array(lost.astype(np.int64)), pa.array(digest, pa.string()), pa.array(longest)], names=names)
+        longest = np.zeros(len(count), np.int64)
+        longest[repeated[1]] = window
+        rows = pa.table([own.key, pa.array(count), pa.array(lost.astype(np.int64)), pa.array(digest, pa.string()), pa.array(longest)], names=names)
+        rows = rows.append_column("pack_id", pa.array([pack_id] * len(count), pa.string())).append_column("row", pa.array(np.arange(len(count))))
+        ladder = pa.table({"pack_id": [pack_id], **_stored(_twice(repeated, window))})
+        return pa.concat_tables([rows, ladder], promote_options="default").select([*names, "pack_id", "row", "n_bytes", "start", "owner", "hash"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string, longest_repeat bigint"
-    return _result(*_levels(docs, window, extend, pack_bytes), id_type, finish, schema)
+    columns = f"doc_id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string, longest_repeat bigint, pack_id string, row bigint"
+    told = written(_result(*_levels(docs, window, pack_bytes), finish, f"{columns}, {WINDOWS_SCHEMA}"), "passages")
+    longer = _longest(told.where("row IS NULL").select("pack_id", "n_bytes", "start", "owner", "hash"), window)
+    return (
+        told.where("row IS NOT NULL").select(*names, "pack_id", "row").join(longer, ["pack_id", "row"], "left")
+        .select(*names[:-1], F.coalesce("length", "longest_repeat").alias("longest_repeat"))
+    )
 
 
 def without_passages(docs: DataFrame, window: int = WINDOW, pack_bytes: int = PACK_BYTES) -> DataFrame:
     """(doc_id, text) with the words that are left, joined by one blank."""
 
-    def finish(own: Pack, removed: np.ndarray, longest: np.ndarray) -> pa.Table:
+    def finish(own: Pack, removed: np.ndarray, pack_id: str, repeated: Windows) -> pa.Table:
         texts = [bytes(t).decode() for t in _kept_texts(own, removed)]
         return pa.table([own.key, pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return _result(*_levels(docs, window, False, pack_bytes), id_type, finish, f"doc_id {id_type}, text string")
+    return _result(*_levels(docs, window, pack_bytes), finish, f"doc_id {id_type}, text string")

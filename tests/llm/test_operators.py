@@ -112,9 +112,20 @@ def test_passages(docs, rows, pack_bytes):
         gone = {k for j in range(len(w) - 12) if first[tuple(w[j : j + 13])] < order(i) for k in range(j, j + 13)}
         kept = b" ".join(x for k, x in enumerate(w) if k not in gone)
         want[i, len(w), len(gone), hashlib.sha256(kept).hexdigest()] += 1
-    got = substring_dedup.passage_report(docs, extend=True, pack_bytes=pack_bytes).collect()
+    got = substring_dedup.passage_report(docs, pack_bytes=pack_bytes).collect()
     assert Counter(tuple(r)[:4] for r in got) == want
-    assert max(r.longest_repeat for r in got) >= 52  # the passage of 60 words
+    held = defaultdict(set)
+    sizes = [13 * 2**k for k in range(8)]
+    for n, (_, w) in enumerate(words):
+        for size in sizes:
+            for j in range(len(w) - size + 1):
+                held[tuple(w[j : j + size])].add(n)
+    longest = Counter()
+    for i, w in words:
+        shared = [size for size in sizes if any(len(held[tuple(w[j : j + size])]) > 1 for j in range(len(w) - size + 1))]
+        longest[i, max(shared, default=0)] += 1
+    assert Counter((r.doc_id, r.longest_repeat) for r in got) == longest
+    assert sum(n for (_, size), n in longest.items() if size >= 52) >= 8  # the passage of 60 words
 
 
 @pytest.mark.parametrize("most", [20_000, 1])
