@@ -101,9 +101,9 @@ LLM_ORACLES: dict[str, str] = {
             UNION ALL
             SELECT DISTINCT 2 * size, doc_id FROM (
                 SELECT size, doc_id, min(doc_id) OVER w <> max(doc_id) OVER w AS held
-                FROM (SELECT size, doc_id, words, unnest(range(1, len(words) - 2 * size + 2)) AS place
+                FROM (SELECT size, doc_id, unnest([md5(array_to_string(words[i:i + 2 * size - 1], ' ')) FOR i IN range(1, len(words) - 2 * size + 2)]) AS part
                       FROM ladder JOIN split USING (doc_id))
-                WINDOW w AS (PARTITION BY md5(array_to_string(words[place:place + 2 * size - 1], ' '))))
+                WINDOW w AS (PARTITION BY part))
             WHERE held),
         longest AS (SELECT doc_id, max(size) AS size FROM ladder GROUP BY doc_id),
         told AS (
