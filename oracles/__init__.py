@@ -148,13 +148,13 @@ ORACLES: dict[str, str] = {
     "scan_topics": "SELECT source AS topic, text AS position FROM documents",
     "distinct_topics": "SELECT DISTINCT source AS topic FROM documents",
     "scan_debates": with_views(
-        """SELECT conv_id * 1000000 + turn // 1000 AS debate_id, any_value(topic) AS topic,
+        """SELECT conv_id * 1000000 AS debate_id, part, any_value(topic) AS topic,
                   any_value(position) AS position,
                   CASE WHEN conv_id % 3 = 0 THEN arg_min(content, turn) FILTER (role = 'proponent') END AS proponent,
                   CASE WHEN conv_id % 3 = 1 THEN count(*) ELSE 0 END AS full_debate_messages,
                   CASE WHEN conv_id % 3 = 2 THEN count(*) ELSE 0 END AS history_messages
-           FROM messages LEFT JOIN doc_topics ON conv_id = doc_id GROUP BY conv_id, turn // 1000""",
-        "messages", "doc_topics"),
+           FROM parted LEFT JOIN doc_topics ON conv_id = doc_id GROUP BY conv_id, part""",
+        "parted", "doc_topics"),
     "scan_evaluated_pairs": with_views(
         """SELECT pair_id, topic, proponent, kind <> 1 AS evaluated,
                   round(CASE WHEN kind NOT IN (0, 1) THEN harmful_subtotal END, 6) AS harmful_subtotal,
@@ -217,10 +217,8 @@ ORACLES: dict[str, str] = {
                    least(count(*) // 2 + 1, {fixed.MAX_TURNS}) FROM messages GROUP BY conv_id""",
         "walked", "messages"),
     "render_transcript": with_views(
-        f"""SELECT conv_id, turn // {transcripts.TRANSCRIPT_PART} AS part,
-                   string_agg(role || ': ' || content, chr(10) ORDER BY turn) AS transcript
-            FROM messages GROUP BY ALL""",
-        "messages"),
+        "SELECT conv_id, part, string_agg(line, chr(10) ORDER BY turn) AS transcript FROM parted GROUP BY conv_id, part",
+        "parted"),
     "assign_batches": with_views(
         f"""SELECT pair_id, position, (position - 1) // {fixed.BATCH_SIZE} AS batch
             FROM (SELECT pair_id, row_number() OVER (ORDER BY pair_id) AS position FROM pairs)""",

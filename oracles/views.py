@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rejoinder.functions import fixed_values as fixed
+from rejoinder.operators import transcripts
 
 
 def text(value: str) -> str:
@@ -390,6 +391,11 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "messages": ([], """
         SELECT conv_id, turn, CASE role WHEN 'user' THEN 'proponent' WHEN 'assistant' THEN 'opponent' ELSE role END
                AS role, text AS content FROM conversations"""),
+    "parted": (["messages"], f"""
+        SELECT *, (turn // {transcripts.TURN_BLOCK}) * {transcripts.PIECES} + coalesce(cast(sum(strlen(line) + 1) OVER (
+                      PARTITION BY conv_id, turn // {transcripts.TURN_BLOCK} ORDER BY turn
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) // {transcripts.PART_BYTES} AS part
+        FROM (SELECT *, concat_ws(': ', role, content) AS line FROM messages)"""),
     "doc_topics": ([], f"SELECT doc_id, {TOPIC} AS topic, lang AS position FROM documents"),
     "walked": (["messages"], """
         SELECT conv_id, turn, before_text AS proponent, content AS opponent

@@ -235,7 +235,7 @@ def with_quality(scored: DataFrame) -> DataFrame:
 
 def rank_pairs(scored: DataFrame) -> DataFrame:
     """Pairs by quality, best first, input order on ties, with their place."""
-    return with_ordinal(with_quality(scored), [F.desc("quality"), F.asc("pair_id")], "place")
+    return with_ordinal(with_quality(scored), [F.desc("quality"), F.asc("pair_id")], "place", key=["quality", "pair_id"])
 
 
 def filter_high_quality(scored: DataFrame, threshold: float = fixed.QUALITY_THRESHOLD) -> DataFrame:

@@ -109,7 +109,7 @@ def import_examples(examples: DataFrame, paragraphs: DataFrame) -> DataFrame:
     named = examples.filter(strip(F.col("topic")) != "").withColumn("topic", strip(F.col("topic")))
     first_lines = named.groupBy("topic").agg(F.min("line").alias("_first"))
     usable = named.filter(F.col("content").isNotNull()).join(first_lines, "topic")
-    numbered = with_ordinal(usable.select("topic", "line", "content", "_first"), ["_first", "line"], "_number")
+    numbered = with_ordinal(usable.select("topic", "line", "content", "_first"), ["_first", "line"], "_number", key=["_first", "line"])
     scores = [F.lit(v).alias(k) for k, v in fixed.SYNTHETIC_SCORES.items()]
     return numbered.select(
         (next_id_base(paragraphs).scalar() + F.col("_number")).alias("id"),

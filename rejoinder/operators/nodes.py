@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.functions.text import sentences
-from rejoinder.operators.ordinals import with_ordinal
+from rejoinder.operators.ordinals import joined_by_hash, with_ordinal, with_total_before
 
 PARAGRAPH_COLUMNS = [
     "id", "content", "topic", "source_debate", "representativeness", "coherence", "harmfulness", "quality_score",
@@ -57,7 +57,7 @@ def resolve_scores(evaluated: DataFrame) -> DataFrame:
 
 def assign_ids(evaluated: DataFrame, order_by: str = "pair_id") -> DataFrame:
     """Dense ids 1..N in input order; one debate is one pair, so the id is also its number."""
-    return with_ordinal(evaluated, [order_by], "id")
+    return with_ordinal(evaluated, [order_by], "id", key=[order_by])
 
 
 def build_paragraphs(numbered: DataFrame) -> DataFrame:
@@ -73,9 +73,13 @@ def build_paragraphs(numbered: DataFrame) -> DataFrame:
 
 def build_sentences(paragraphs: DataFrame, embeddings: DataFrame | None = None) -> DataFrame:
     """Sentences numbered over the whole table; ``embeddings (id, embedding)`` are joined by that number."""
-    pieces = split_sentences(paragraphs).select(F.col("id").alias("paragraph_id"), "position", "sentence")
-    numbered = with_ordinal(pieces, ["paragraph_id", "position"], "id").select(
-        "id", F.col("sentence").alias("content"), "paragraph_id"
+    # A sentence's number is that of all sentences of the paragraphs before, plus its place; only counts are sorted.
+    pieces = F.when(F.col("content").isNull(), 0).otherwise(F.size(sentences(F.col("content"))))
+    before = with_total_before(paragraphs.select("id", pieces.alias("_pieces")), ["id"], "_pieces", "_before")
+    numbered = (
+        joined_by_hash(paragraphs.select("id", "content"), before.select("id", "_before"), ["id"])
+        .select("_before", F.col("id").alias("paragraph_id"), F.posexplode(sentences(F.col("content"))).alias("_place", "content"))
+        .select((F.col("_before") + F.col("_place") + 1).alias("id"), "content", "paragraph_id")
     )
     return numbered if embeddings is None else numbered.join(embeddings, "id", "left")
 

@@ -11,7 +11,8 @@ from rejoinder.operators.joins import top_per_merged
 from rejoinder.operators.ordinals import with_ordinal
 
 TURN_BLOCK = 65_536
-TRANSCRIPT_PART = 10_000
+PART_BYTES = 4 << 20
+PIECES = 1 << 32  # more pieces than a block of turns can have
 
 
 def extract_pairs(messages: DataFrame, key: str = "conv_id", turn_block: int | None = TURN_BLOCK) -> DataFrame:
@@ -138,25 +139,59 @@ def next_turn_state(messages: DataFrame, debates: DataFrame, key: str = "conv_id
     )
 
 
-def render_transcript(messages: DataFrame, key: str = "conv_id", part_turns: int = TRANSCRIPT_PART) -> DataFrame:
-    """``role: content`` lines in turn order.
+def line_of(role: Column, content: Column) -> Column:
+    return F.concat_ws(": ", role, content)
 
-    A transcript longer than ``part_turns`` turns comes as several numbered parts, since
-    one row must stay within what a task and a string can hold. Parts joined with a line
-    break give the whole transcript.
+
+def with_parts(
+    messages: DataFrame, key: str = "conv_id", part_bytes: int = PART_BYTES, turn_block: int = TURN_BLOCK
+) -> DataFrame:
+    """Messages with the number of the ``part`` of their transcript.
+
+    A part is what begins within the same ``part_bytes`` bytes of lines of one block of
+    ``turn_block`` turns, so it holds at most that and one message. Parts follow in turn order;
+    their numbers grow but may leave gaps. Blocks keep a transcript with much of the table from
+    meeting in one task, and grouping by block and part needs no shuffle beyond that of the blocks.
     """
-    lines = F.transform(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "content"))),
-        lambda m: F.concat_ws(": ", m["role"], m["content"]),
+    in_block = Window.partitionBy(key, "_block").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.octet_length(line_of(F.col("role"), F.col("content"))).cast("bigint") + 1
+    return (
+        messages.withColumn("_block", whole_parts(F.col("turn"), turn_block))
+        .withColumn("_piece", whole_parts(F.coalesce(F.sum(size).over(in_block), F.lit(0)), part_bytes))
+        .withColumn("part", F.col("_block") * PIECES + F.col("_piece"))
     )
-    return messages.groupBy(key, whole_parts(F.col("turn"), part_turns).alias("part")).agg(
-        F.array_join(lines, "\n").alias("transcript")
+
+
+def render_transcript(
+    messages: DataFrame, key: str = "conv_id", part_bytes: int = PART_BYTES, turn_block: int = TURN_BLOCK
+) -> DataFrame:
+    """``role: content`` lines in turn order, one row for each part (see ``with_parts``).
+
+    The parts of a transcript joined with line breaks give the whole of it; ``write_transcripts``
+    does that in files.
+    """
+    lines = F.transform(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "content"))), lambda m: line_of(m["role"], m["content"])
     )
+    parts = with_parts(messages, key, part_bytes, turn_block)
+    return parts.groupBy(key, "_block", "_piece").agg(
+        F.first("part").alias("part"), F.array_join(lines, "\n").alias("transcript")
+    ).drop("_block", "_piece")
+
+
+def write_transcripts(parts: DataFrame, path: str, key: str = "conv_id") -> None:
+    """The parts of every transcript as one text file, in a folder ``key=value`` of its own.
+
+    All parts of a transcript go to one task, which sorts them (with spilling) and writes them
+    one after the other, so no transcript is ever held as one row.
+    """
+    together = parts.repartition(key).sortWithinPartitions(key, "part")
+    together.select(key, "transcript").write.partitionBy(key).text(path)
 
 
 def assign_batches(df: DataFrame, order_by: list, batch_size: int = fixed.BATCH_SIZE) -> DataFrame:
     """Consecutive batches of ``batch_size`` rows, numbered from 0; the last may be short."""
-    return with_ordinal(df, order_by, "position").withColumn(
+    return with_ordinal(df, order_by, "position", key=order_by).withColumn(
         "batch", whole_parts(F.col("position") - 1, batch_size)
     )
 

@@ -75,10 +75,10 @@ def _(i):
 @query("scan_debates")
 def _(i):
     path = _place(i, "debates")
-    # One object per line, so that no line grows with the length or number of debates.
+    # One object per line and part of a debate, so that no line grows with the length or number of debates.
     files.write_json(i.debates(), path)
     return files.scan_debates(i.spark, path).select(
-        "debate_id", "topic", "position",
+        "debate_id", "part", "topic", "position",
         F.col("content.proponent").alias("proponent"),
         F.coalesce(F.size("full_debate"), F.lit(0)).alias("full_debate_messages"),
         F.coalesce(F.size("history"), F.lit(0)).alias("history_messages"),

@@ -13,13 +13,12 @@ from rejoinder.functions import fixed_values as fixed
 from rejoinder.functions.text import whole_parts
 from rejoinder.operators import knowledge_base as kb_ops
 from rejoinder.operators.retrieval import KnowledgeBase
-from rejoinder.operators.transcripts import extract_pairs
+from rejoinder.operators.transcripts import extract_pairs, with_parts
 from rejoinder.plans.evaluate_pairs import evaluate_pairs
 from rejoinder.session import written
 from rejoinder.sources.files import EVALUATION, MESSAGES
 
 DEBATE_IDS = 1_000_000
-DEBATE_TURNS = 1000  # turns per nested debate row, so that a row stays small; pairs are walked on message rows
 PAIR_TURNS = 1_000_000  # turns of a conversation that have a pair id in (conv_id, turn) order
 PARAGRAPH_STEP = 7
 
@@ -74,7 +73,8 @@ class Inputs:
         )
 
     def debates(self) -> DataFrame:
-        """Nested debates of at most ``DEBATE_TURNS`` turns: ready content, full_debate or history."""
+        """Nested debates, a row for each part of a conversation (``transcripts.with_parts``), so that rows stay small:
+        ready content, full_debate or history. Pairs are walked on message rows."""
         kind = F.col("conv_id") % 3
         arrays = F.transform(
             F.array_sort(F.collect_list(F.struct("turn", "role", "content"))),
@@ -82,15 +82,15 @@ class Inputs:
         )
 
         grouped = (
-            self.messages()
-            .groupBy("conv_id", whole_parts(F.col("turn"), DEBATE_TURNS).alias("_part"))
-            .agg(arrays.alias("_all"), _first("proponent").alias("_p"), _first("opponent").alias("_o"))
+            with_parts(self.messages())
+            .groupBy("conv_id", "_block", "_piece")
+            .agg(F.first("part").alias("part"), arrays.alias("_all"), _first("proponent").alias("_p"), _first("opponent").alias("_o"))
             .join(self.topics_of_documents(), F.col("conv_id") == F.col("doc_id"), "left")
         )
         content = F.when(kind == 0, F.struct(F.col("_p").alias("proponent"), F.col("_o").alias("opponent")))
         return grouped.select(
-            (F.col("conv_id") * DEBATE_IDS + F.col("_part")).alias("debate_id"),
-            "topic", "position",
+            (F.col("conv_id") * DEBATE_IDS).alias("debate_id"),
+            "part", "topic", "position",
             content.alias("content"),
             F.when(kind == 1, F.col("_all")).otherwise(F.array().cast(MESSAGES)).alias("full_debate"),
             F.when(kind == 2, F.col("_all")).alias("history"),

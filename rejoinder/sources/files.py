@@ -12,7 +12,7 @@ from rejoinder.sources import split
 
 MESSAGES = "array<struct<role: string, content: string>>"
 DEBATE_SCHEMA = (
-    "debate_id bigint, topic string, position string, "
+    "debate_id bigint, part bigint, topic string, position string, "
     "content struct<proponent: string, opponent: string>, "
     f"full_debate {MESSAGES}, history {MESSAGES}"
 )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from compare import differences
 from oracles import ORACLES
 from rejoinder.operators import transcripts
-from rejoinder.plans import catalog
+from rejoinder.plans import catalog, fixtures
 from rejoinder.plans.catalog import CATALOG
 from rejoinder.plans.evaluate_pairs import evaluate_pairs
 from rejoinder.plans.fixtures import PAIR_TURNS, Inputs
@@ -97,7 +97,7 @@ def test_pair_ids_at_the_edges(spark, tmp_path):
 
 LONG_QUERIES = [
     "extract_pairs", "pair_source_precedence", "assign_ids", "assign_batches", "default_scores_corrupted", "compile_evaluated_pairs",
-    "evaluate_pairs", "rank_pairs", "build_paragraphs", "judge_request_table",
+    "evaluate_pairs", "rank_pairs", "scan_debates", "render_transcript", "node_counts", "build_paragraphs", "judge_request_table",
 ]
 
 
@@ -120,14 +120,17 @@ def test_written_debates_stay_small_and_whole(spark, tmp_path, monkeypatch):
         return places[-1]
 
     monkeypatch.setattr(catalog, "_place", place)
+    parted = transcripts.with_parts
+    monkeypatch.setattr(fixtures, "with_parts", lambda df: parted(df, part_bytes=20_000))
     rows = CATALOG["scan_debates"](spark, path).collect()
     lines = spark.read.text(places[0])
-    assert lines.count() == len(rows) == 5 + 3 + 1 + 1
-    # At most 1,000 messages of some 50 characters on a line.
-    assert lines.agg(F.max(F.length("value"))).first()[0] < 60_000
+    assert lines.count() == len(rows) and len({(r.debate_id, r.part) for r in rows}) == len(rows)
+    # A part holds lines of 20,000 bytes and at most one line more; JSON adds names and quotes.
+    assert lines.agg(F.max(F.length("value"))).first()[0] < 80_000
     said = {}
     for r in rows:
         conv = r.debate_id // 1_000_000
         said[conv] = said.get(conv, 0) + r.full_debate_messages + r.history_messages
     assert said == {1: 5000, 2: 2500, 3: 0, 4: 1}
+    assert sum(r.debate_id == 1_000_000 for r in rows) > 3
     assert [r.proponent for r in rows if r.debate_id == 3_000_000] == ["m3.0"]

@@ -1,3 +1,4 @@
+import glob
 import random
 
 import pytest
@@ -88,11 +89,34 @@ def test_next_turn_state(spark):
     assert (beyond.turn_number, beyond.turn_focus) == (21, "making your arguments")
 
 
-def test_long_transcript_comes_in_parts(spark):
-    df = spark.createDataFrame([(1, n, "proponent", f"m{n}") for n in range(25)], MESSAGES)
-    parts = transcripts.render_transcript(df, part_turns=10).orderBy("part").collect()
-    assert [r.part for r in parts] == [0, 1, 2]
-    assert "\n".join(r.transcript for r in parts) == "\n".join(f"proponent: m{n}" for n in range(25))
+def test_transcript_comes_in_parts_of_bytes(spark, tmp_path):
+    said = {
+        1: [f"m{n} é" for n in range(25)],
+        2: ["x" * 1000, "", None, "short", "y" * 400],
+        3: ["one"],
+    }
+    rows = [(conv, n, "proponent", text) for conv, texts in said.items() for n, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, MESSAGES)
+    whole = {conv: ["proponent" if t is None else f"proponent: {t}" for t in texts] for conv, texts in said.items()}
+    for turn_block in (10, 65_536):
+        parts = transcripts.render_transcript(df, part_bytes=100, turn_block=turn_block)
+        found = {}
+        for r in parts.orderBy("conv_id", "part").collect():
+            found.setdefault(r.conv_id, []).append(r)
+            lines = r.transcript.split("\n")
+            # Every line but the last begins and ends within the part's 100 bytes.
+            assert len("\n".join(lines[:-1]).encode()) <= 100
+        for conv, lines in whole.items():
+            assert "\n".join(r.transcript for r in found[conv]) == "\n".join(lines)
+            assert len({r.part for r in found[conv]}) == len(found[conv])
+        assert len(found[1]) > 3 and len(found[3]) == 1
+        place = str(tmp_path / f"files{turn_block}")
+        transcripts.write_transcripts(parts, place)
+        for conv, lines in whole.items():
+            files = glob.glob(f"{place}/conv_id={conv}/part-*")
+            assert len(files) == 1
+            with open(files[0], encoding="utf-8") as file:
+                assert file.read() == "\n".join(lines) + "\n"
 
 
 def test_batches(spark):
