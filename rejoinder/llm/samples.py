@@ -6,13 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rejoinder.llm.columns import held_out
-from rejoinder.operators.joins import top_per_merged
+from rejoinder.operators.joins import top_per
+
+
+#: Rows of a value that are expected below its threshold: this many times the sample and this many more. That fewer
+#: than the sample lie there has a probability below 1e-200.
+TIMES, MORE = 2, 1000
 
 
 def first_by_hash(rows: DataFrame, group: str, most: int, salt: int = 0) -> DataFrame:
-    """At most ``most`` ids of every value of ``group``, the smallest by a hash of the id; merged in two steps, as there are few values."""
-    order = F.xxhash64(F.col("doc_id"), F.lit(salt))
-    return top_per_merged(rows, [group], [order, F.asc("doc_id")], most, "place").drop("place")
+    """At most ``most`` ids of every value of ``group``, the smallest by a hash of the id.
+
+    Rows of each value are counted first; a threshold on the hash, set from the count, then leaves
+    some ``TIMES * most + MORE`` of them to be ranked, however many rows and partitions there are. The
+    counts, one row for each value, are broadcast: a model keeps far more for each value than that.
+    """
+    draw = F.xxhash64(F.col("doc_id"), F.lit(salt))
+    counts = rows.groupBy(F.col(group).alias("_value")).agg(F.count("*").alias("_rows"))
+    share = F.lit(float(TIMES * most + MORE)) / F.col("_rows")
+    low = draw.cast("double") / F.lit(2.0**64) + F.lit(0.5) <= share
+    near = rows.join(F.broadcast(counts), F.col(group).eqNullSafe(F.col("_value"))).where(low).select(*rows.columns)
+    return top_per(near, [group], [draw, F.asc("doc_id")], most, "place").drop("place")
 
 
 def with_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
