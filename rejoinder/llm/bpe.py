@@ -26,7 +26,8 @@ from rejoinder.llm.packs import (
     squeeze, to_ipc, written_packs,
 )
 
-DEFAULT_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: The vocabulary file that is read where no path is given.
+DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
 #: Distinct words of all packs that meet in one task.
 BUCKET_BYTES = 6 << 20
@@ -39,8 +40,15 @@ WORD = (
 )
 
 
-def tokenizer_json(path: str = DEFAULT_TOKENIZER) -> str:
+def default_tokenizer() -> str:
+    import public_tokenizers  # needed by the driver only
+
+    return str(public_tokenizers.path(DEFAULT_TOKENIZER))
+
+
+def tokenizer_json(path: str | None = None) -> str:
     """The tokenizer file; only plain byte-level BPE can be split into words beforehand."""
+    path = path or default_tokenizer()
     with open(path, encoding="utf-8") as file:
         text = file.read()
     told = json.loads(text)
@@ -185,7 +193,7 @@ def encode_digests(docs: DataFrame, key: str = "doc_id", text_col: str = "text",
 
 def _finished(docs: DataFrame, key: str, text_col: str, tokenizer: str | None, digest: bool) -> DataFrame:
     spark = docs.sparkSession
-    text = tokenizer_json(tokenizer or DEFAULT_TOKENIZER)
+    text = tokenizer_json(tokenizer)
     vocabulary = spark.sparkContext.broadcast(text)
     specials = [t["content"] for t in json.loads(text)["added_tokens"]]
     key_type = docs.schema[key].dataType

@@ -5,19 +5,22 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rejoinder.llm import (
-    bpe, byte_dedup, decontamination, exact_dedup, language, near_dedup, quality, secret_ledger, substring_dedup, toxicity,
+    bpe, byte_dedup, decontamination, exact_dedup, language, near_dedup, quality, samples, secret_ledger, substring_dedup, toxicity,
 )
 from rejoinder.llm.columns import fresh
 from rejoinder.llm.components import components
 from rejoinder.llm.suffix_array import collection_bwt, repeated_starts
 from rejoinder.llm.text import mix
+from rejoinder.operators.joins import top_per
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, h string, score double, size int"
 
@@ -70,7 +73,7 @@ def test_exact_dedup(docs, rows):
 def test_bpe(docs, rows):
     from tokenizers import Tokenizer
 
-    known = Tokenizer.from_file(bpe.DEFAULT_TOKENIZER)
+    known = Tokenizer.from_file(bpe.default_tokenizer())
     want = Counter()
     for i, t in rows:
         ids = known.encode(t or "", add_special_tokens=False).ids
@@ -98,6 +101,30 @@ def test_secrets(spark, docs, rows, tmp_path):
     assert spark.read.parquet(path).count() == len(blobs)
 
 
+def test_secrets_of_texts_with_very_many(spark):
+    """The walk over matches is not quadratic: 50,000 matches in one text, blocks of matches ending inside and at the end."""
+    found = "token=abcdef"
+    sizes = [1, secret_ledger.MATCH_BLOCK, secret_ledger.MATCH_BLOCK + 1, 50_000]
+    texts = {n: " é ".join([found, "token=no"][k % 3 == 2] for k in range(n)) for n in sizes}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    began = time.monotonic()
+    rows = secret_ledger.secret_report(docs).collect()
+    assert time.monotonic() - began < 30
+    for r in rows:
+        want = [(m.start(), m.end()) for m in re.finditer("token=(abcdef)", texts[r.doc_id])]
+        assert r.spans == ",".join(f"assign:{a}:{b}" for a, b in want) and r.n_assign == len(want)
+
+
+def test_samples_are_the_smallest_by_hash(spark):
+    """The threshold leaves the same ids as ranking all rows."""
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 11 == 0, "b").when(F.col("id") > 50, "a").alias("lang"))
+    draw = F.xxhash64(F.col("doc_id"), F.lit(3))
+    for most in (0, 5, 400, 100_000):
+        plain = top_per(rows, ["lang"], [draw, F.asc("doc_id")], most, "place").drop("place")
+        got = samples.first_by_hash(rows, "lang", most, 3)
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
+
+
 @pytest.mark.parametrize("pack_bytes", [8 << 20, 3000])
 def test_passages(docs, rows, pack_bytes):
     words = [(i, re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())) for i, t in rows]
