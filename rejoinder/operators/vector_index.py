@@ -14,7 +14,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +31,7 @@ TRAINING_ROUNDS = 12
 WANTED_RECALL = 0.97
 
 LIST_SCHEMA = "id bigint, embedding array<float>, list int"
+ASKING_SCHEMA = "query_id bigint, embedding array<double>"
 
 
 class VectorIndex(NamedTuple):
@@ -105,7 +105,7 @@ def _fewest_probes(spark: SparkSession, index: VectorIndex, asking: np.ndarray,
     """The lists to read, so that ``asking`` vectors find ``recall`` of what reading all lists finds."""
     if not len(asking):
         return len(index.centroids)
-    queries = spark.createDataFrame(pa.table({"query_id": np.arange(len(asking)), "embedding": pa.array(list(asking), pa.list_(pa.float64()))}).to_pandas())
+    queries = spark.createDataFrame([(n, vector.tolist()) for n, vector in enumerate(asking)], ASKING_SCHEMA)
     exact = {(r.query_id, r.sentence_id) for r in indexed_nearest(index, queries, k, len(index.centroids)).collect()}  # ASKING_VECTORS * k rows
     probes = 1
     while probes < len(index.centroids):

@@ -35,6 +35,22 @@ def test_index_reaches_the_wanted_recall_with_few_lists(spark):
     assert sorted(every.select(key).collect()) == sorted(exact.select(key).collect())
 
 
+def test_index_is_built_in_a_session_without_arrow(spark):
+    name = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        sentences = frame(spark, vectors(300))
+        index, rejected = vector_index.build_index(sentences, 16, scratch_path(spark, "index"), k=5)
+        asked = sentences.filter("id < 20").withColumnRenamed("id", "query_id")
+        exact = semantic.nearest_sentences(asked, sentences, 5)
+        told = vector_index.recall_of(vector_index.indexed_nearest(index, asked, 5), exact).first()
+        assert rejected.count() == 0
+        assert (told.queries, told.wanted) == (20, 100) and told.recall >= 0.9
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_index_of_hard_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0]), (6, [float("nan"), 1.0]), (7, [0.0, 1.0])]
     index, rejected = vector_index.build_index(spark.createDataFrame(rows, VECTORS), 2, scratch_path(spark, "index"), lists=2)
