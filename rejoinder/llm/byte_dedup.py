@@ -36,7 +36,7 @@ from rejoinder.session import scratch_path
 LEAST = 200
 PACK_BYTES = 8 << 20
 #: Bytes looked at together inside a pack; windows that begin in a chunk are looked at whole.
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 #: Different segments of one speaker that are still put into one collection.
 MOST_SEGMENTS = 20_000
 #: Segments of one suffix array.
@@ -99,7 +99,7 @@ class Pack:
         first, count = first[mine], count[mine]
         if not len(first):
             return None
-        speaker = halves[at[first]]
+        speaker = mix(halves[at[first]])  # the least hashes are all small: mixed once more they spread over the buckets
         whole = (sums[first + count + least - 1] - sums[first]) * inverse[first]
         content = mix(mix(whole) + count.astype(U64) + mix((at[first] - first).astype(U64)))
         return speaker, content, first + low, count

@@ -11,6 +11,8 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Prefix lengths are cut here; the files hold one byte for each.
 MOST = 250
@@ -38,6 +40,11 @@ class SequentialFile:
         self.file.close()
 
 
+def _by_symbol(bwt: np.ndarray) -> np.ndarray:
+    """The places of a transform by symbol, in their order under each: Arrow counts where numpy would sort."""
+    return pc.array_sort_indices(pa.array(bwt)).to_numpy().view(np.int64)
+
+
 def _inserted(old: np.ndarray, keep: np.ndarray, at: np.ndarray, value: np.ndarray) -> np.ndarray:
     out = np.empty(len(keep), np.uint8)
     out[keep] = old
@@ -62,13 +69,14 @@ def collection_bwt(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
         lcp_file.write(np.zeros(n, np.uint8))
         place = np.arange(n)  # of the suffix that each text has inserted last
         alive = np.flatnonzero(some)
+        counts = np.bincount(last, minlength=256)  # of the symbols in the transform
         for size in range(1, int(length.max(initial=0)) + 1):
             bwt, lcp = bwt_file.read(), lcp_file.read()
             mine = place[alive]
             symbol = bwt[mine]
-            order = np.argsort(bwt, kind="stable")  # places by symbol: the piles
-            pile = np.searchsorted(bwt[order], np.arange(257)) if len(bwt) < 4096 else np.concatenate([[0], np.cumsum(np.bincount(bwt, minlength=256))])
-            by = np.lexsort((mine, symbol))
+            order = _by_symbol(bwt)  # the piles
+            pile = np.concatenate([[0], np.cumsum(counts)])
+            by = np.argsort((symbol.astype(np.int64) << 40) | mine)
             rank = np.empty(len(mine), np.int64)
             edges = np.searchsorted(symbol[by], np.arange(257))
             for s in np.flatnonzero(np.diff(edges)):
@@ -95,6 +103,7 @@ def collection_bwt(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
             lcp[first_of_next[first_of_next < len(lcp)]] = 0
             lcp_file.write(lcp)
             bwt_file.write(_inserted(bwt, keep, new, following))
+            counts += np.bincount(following, minlength=256)
             # a text that has ended stays at its place; only the last places of living texts are needed
             place[alive] = new
             alive = alive[more]
@@ -117,7 +126,7 @@ def places(bwt: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """For each suffix length the places of all texts that have one, found by walking the transform."""
     n = len(offsets) - 1
     length = np.diff(offsets)
-    order = np.argsort(bwt, kind="stable")
+    order = _by_symbol(bwt)
     step = np.empty(len(bwt), np.int64)
     step[order] = np.arange(len(bwt)) + n - np.count_nonzero(bwt == 0)
     out, at, alive = [np.arange(n)], np.arange(n), np.arange(n)

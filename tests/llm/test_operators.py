@@ -18,6 +18,7 @@ from rejoinder.llm import (
 )
 from rejoinder.llm.columns import fresh
 from rejoinder.llm.components import components
+from rejoinder.llm.packs import bucket_edges, to_ipc
 from rejoinder.llm.suffix_array import collection_bwt, repeated_starts
 from rejoinder.llm.text import mix
 from rejoinder.operators.joins import top_per
@@ -170,6 +171,14 @@ def test_bytes(docs, rows, most):  # 1: the way taken where one speaker has too
     assert Counter(tuple(r) for r in byte_dedup.byte_report(docs, pack_bytes=4000, most_segments=most).collect()) == want
 
 
+def test_segments_spread_over_the_buckets():
+    chance = random.Random(8)
+    texts = ["".join(chance.choices("abcdefgh ", k=3000)) for _ in range(40)]
+    pack = byte_dedup.Pack(to_ipc(pa.table({"doc_id": list(range(40)), "text": texts})), byte_dedup.LEAST)
+    sizes = np.diff(bucket_edges(np.sort(pack.speaker), 16))
+    assert sizes.min() > 0 and sizes.max() < 2 * sizes.mean()
+
+
 def test_suffix_array():
     chance = random.Random(1)
     for trial in range(30):
