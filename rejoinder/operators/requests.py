@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST_TRIES = 3
+#: What the text of a request is looked up by; copies of a text differ in the owner, so they lie apart.
+TEXT_KEY = ["request_key", "kind", "owner"]
 LEDGER_SCHEMA = "request_key string, state string, asked_at timestamp"
 
 CRITERIA_HEAD = (
@@ -60,7 +62,8 @@ def open_requests(requests: DataFrame, ledger: DataFrame, most_tries: int = MOST
     """(request_key, kind, payload, owners, tries): what is to be asked now, each text once.
 
     Left out is what is done or was tried ``most_tries`` times. Keys are grouped and joined without the texts: the text is taken from
-    the row with the smallest owner, so copies of a long text are not shuffled with each other.
+    the row with the smallest owner, so copies of a long text are not shuffled with each other. Rows that were written by
+    ``TEXT_KEY`` are not shuffled at all.
     """
     state = ledger_state(ledger)
     keys = requests.groupBy("request_key", "kind").agg(F.count("*").alias("owners"), F.min("owner").alias("owner"))
@@ -68,8 +71,8 @@ def open_requests(requests: DataFrame, ledger: DataFrame, most_tries: int = MOST
         ~F.coalesce("done", F.lit(False)) & (F.coalesce("tries", F.lit(0)) < most_tries)
     )
     chosen = wanted.select("request_key", "kind", "owner", "owners", F.coalesce("tries", F.lit(0)).cast("bigint").alias("tries"))
-    texts = requests.select("request_key", "kind", "owner", "payload").join(chosen, ["request_key", "kind", "owner"])
-    one = texts.groupBy("request_key", "kind", "owners", "tries").agg(F.first("payload").alias("payload"))  # equal keys, equal texts
+    texts = requests.select(*TEXT_KEY, "payload").join(chosen, TEXT_KEY)
+    one = texts.groupBy(*TEXT_KEY).agg(*[F.first(c).alias(c) for c in ("payload", "owners", "tries")])  # equal keys, equal rows
     return one.select("request_key", "kind", "payload", "owners", "tries")
 
 

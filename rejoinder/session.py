@@ -78,3 +78,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_by(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """As ``written``, in buckets by ``keys``, as many as a shuffle has partitions: a join on these keys reads the
+    rows where they lie. The name of the table only tells the reader of the buckets and is dropped at once."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+    dealt.option("path", scratch_path(spark, name)).format("parquet").saveAsTable(table)
+    back = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay
+    return back

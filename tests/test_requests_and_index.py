@@ -1,9 +1,11 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rejoinder.operators import requests, retrieval, semantic, vector_index
-from rejoinder.session import scratch_path
+from rejoinder.session import scratch_path, written, written_by
 
 VECTORS = "id bigint, embedding array<float>"
 
@@ -103,6 +105,35 @@ def test_equal_texts_are_asked_once(spark, wanted, tmp_path):
     assert requests.open_requests(wanted, spark.read.parquet(path)).collect() == []
 
 
+def shuffles_of_texts(df):
+    """The exchanges above the scan of the payload in the plan."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(n for n, line in enumerate(lines) if "Scan" in line and "payload" in line)
+    depth, found = re.search(r"\w", lines[at]).start(), 0
+    for line in reversed(lines[:at]):
+        here = re.search(r"\w", line).start()
+        if here < depth:
+            depth, found = here, found + ("Exchange" in line)
+    return found
+
+
+def test_texts_written_by_their_key_are_not_shuffled_again(spark, wanted):
+    twice = wanted.unionByName(wanted.filter("owner = '1'")).repartition(3)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        ledger = spark.createDataFrame([], requests.LEDGER_SCHEMA)
+        plain = requests.open_requests(written(twice, "requests"), ledger)
+        dealt = requests.open_requests(written_by(twice, requests.TEXT_KEY, "requests"), ledger)
+        assert (shuffles_of_texts(plain), shuffles_of_texts(dealt)) == (1, 0)
+        told = [sorted((r.kind, r.payload, r.owners, r.tries) for r in df.collect()) for df in (plain, dealt)]
+        assert told[0] == told[1] and [r[2] for r in told[0]] == [3, 1, 1] * 2
+    finally:
+        spark.conf.set(name, before)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("requests")]
+
+
 def test_criteria_request(spark):
     pairs = spark.createDataFrame([(1, "p", "o"), (2, None, "o")], "pair_id int, proponent string, opponent string")
     one, none = requests.criteria_requests(pairs).orderBy("pair_id").collect()
