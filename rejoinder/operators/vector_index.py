@@ -182,9 +182,9 @@ def indexed_nearest(index: VectorIndex, queries: DataFrame, k: int, probes: int
 
 
 def recall_of(found: DataFrame, exact: DataFrame) -> DataFrame:
-    """(queries, wanted, hits, recall): the share of the exact neighbours that were found."""
+    """(queries, wanted, hits, recall): the share of the exact neighbours that were found, each counted once where ids repeat."""
     key = ["query_id", "sentence_id"]
-    hit = exact.join(found.select(*key, F.lit(1).alias("_hit")), key, "left")
+    hit = exact.join(found.select(*key, F.lit(1).alias("_hit")).distinct(), key, "left")
     return hit.agg(
         F.count_distinct("query_id").alias("queries"), F.count("*").alias("wanted"), F.count("_hit").alias("hits"),
         (F.count("_hit") / F.count("*")).alias("recall"),

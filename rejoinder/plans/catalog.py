@@ -815,7 +815,7 @@ def _(i):
     queries = i.queries()
     found = vector_index.indexed_nearest(index, queries, FETCH)
     told = vector_index.recall_of(found, semantic.nearest_sentences(queries, i.sentences(), FETCH))
-    listed = i.spark.read.schema(vector_index.LIST_SCHEMA).parquet(index.path).agg(F.count_distinct("id").alias("indexed"))
+    listed = i.spark.read.schema(vector_index.LIST_SCHEMA).parquet(index.path).agg(F.count("*").alias("indexed"))
     return told.crossJoin(listed).crossJoin(rejected.agg(F.count("*").alias("rejected"))).select(
         "queries", "wanted", "indexed", "rejected", (F.col("recall") >= 0.95).alias("recall_reached")
     )

@@ -64,6 +64,12 @@ def test_index_of_hard_vectors(spark):
     assert vector_index.indexed_nearest(none, asked, 2).collect() == []
 
 
+def test_recall_counts_a_neighbour_once_where_ids_repeat(spark):
+    exact = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (1, 3)], "query_id bigint, sentence_id bigint")
+    found = exact.filter("sentence_id < 3")
+    assert tuple(vector_index.recall_of(found, exact).first()) == (1, 4, 3, 0.75)
+
+
 def test_search_falls_back_for_queries_without_a_usable_vector(spark):
     paragraphs = spark.createDataFrame(
         [(n, f"text {n}", "News today" if n % 2 else "Sports", 5.0, None) for n in range(40)],
