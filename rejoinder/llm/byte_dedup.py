@@ -36,7 +36,7 @@ from rejoinder.session import scratch_path
 LEAST = 200
 PACK_BYTES = 8 << 20
 #: Bytes looked at together inside a pack; windows that begin in a chunk are looked at whole.
-CHUNK = 1 << 17
+CHUNK = 1 << 16
 #: Different segments of one speaker that are still put into one collection.
 MOST_SEGMENTS = 20_000
 #: Segments of one suffix array.
