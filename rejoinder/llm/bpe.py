@@ -14,6 +14,7 @@ import json
 import os
 from collections.abc import Iterator
 from functools import cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ from rejoinder.llm.packs import (
     BLOCK_SCHEMA, PACK_BYTES, answered, bucket_count, bucket_edges, expand, from_ipc, gather, in_order, new_pack_id,
     squeeze, to_ipc, written_packs,
 )
+from rejoinder.llm.text import release
 
 #: The vocabulary file that is read where no path is given.
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
@@ -32,6 +34,10 @@ DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 #: Distinct words of all packs that meet in one task.
 BUCKET_BYTES = 6 << 20
 
+#: Words that the tokenizer is given at once, and that are hashed or counted at once; neither changes any result.
+ENCODED_AT_ONCE = 2000
+WORDS_AT_ONCE = 50_000
+
 #: White space and the word pattern of byte-level tokenizers.
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = (
@@ -92,6 +98,12 @@ def piece_table(text: str) -> pa.Array:
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
+    """A number for each word; some words at a time, as every byte of them takes several numbers on the way."""
+    parts = [_hashes(words.slice(at, WORDS_AT_ONCE)) for at in range(0, len(words), WORDS_AT_ONCE)]
+    return np.concatenate([np.zeros(0, np.uint64), *parts])
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
     from rejoinder.llm.text import flat, mix, powers
 
     data, at = flat(words)
@@ -124,27 +136,29 @@ def _packed(batches: Iterator[pa.RecordBatch], key: str, words: str) -> Iterator
         return len(values) * 4 + (pc.sum(pc.binary_length(values)).as_py() or 0)
 
     for table in gather(batches, text_bytes, PACK_BYTES):
-        lists = table.column(words).combine_chunks()
-        encoded = pc.dictionary_encode(lists.flatten())
-        encoded = encoded.combine_chunks() if isinstance(encoded, pa.ChunkedArray) else encoded
-        hashes = _word_hashes(encoded.dictionary)
-        order = np.argsort(hashes, kind="stable")
+        lists = table.column(words)
+        values = [chunk.flatten() for chunk in lists.chunks]
+        encoded = pc.dictionary_encode(pa.chunked_array(values, lists.type.value_type)).combine_chunks()
+        dictionary = encoded.dictionary
+        order = np.argsort(_word_hashes(dictionary), kind="stable")
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order), dtype=np.int32)
         numbers = rank[encoded.indices.to_numpy(zero_copy_only=False)]
         # positions hold places by frequency, which compress well; the counts give them back
-        times = np.bincount(numbers, minlength=len(order)).astype(np.int32)
+        times = np.zeros(len(order), np.int32)
+        for at in range(0, len(numbers), 10 * WORDS_AT_ONCE):
+            times += np.bincount(numbers[at : at + 10 * WORDS_AT_ONCE], minlength=len(order)).astype(np.int32)
         by_frequency = np.empty(len(order), np.int32)
         by_frequency[np.argsort(-times, kind="stable")] = np.arange(len(order), dtype=np.int32)
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         yield pa.RecordBatch.from_pydict(
             {
                 "pack_id": [new_pack_id()],
-                "n_bytes": pa.array([pc.sum(pc.binary_length(encoded.dictionary)).as_py() or 0], pa.int64()),
+                "n_bytes": pa.array([pc.sum(pc.binary_length(dictionary)).as_py() or 0], pa.int64()),
                 "rows": [to_ipc(pa.table({"key": table.column(key), "n_words": counts}))],
                 "numbers": [_coded(by_frequency[numbers])],
                 "times": [squeeze(times)],
-                "words": [to_ipc(pa.table({"word": encoded.dictionary.take(pa.array(order))}))],
+                "words": [to_ipc(pa.table({"word": dictionary.take(pa.array(order))}))],
             }
         )
 
@@ -164,11 +178,14 @@ def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
 def _encoded(blocks: list[bytes], tokenizer: str) -> list[bytes]:
     asked = [from_ipc(b).column("word").combine_chunks() for b in blocks]
     joined = pc.dictionary_encode(pa.concat_arrays(asked))
-    words = joined.dictionary.to_pylist()
-    ids: list[list[int]] = []
-    for at in range(0, len(words), 20000):
-        ids += [e.ids for e in _tokenizer(tokenizer).encode_batch(words[at : at + 20000], add_special_tokens=False)]
-    table = pa.array(ids, pa.list_(pa.int32()))
+    sizes, ids = [np.zeros(1, np.int32)], [np.zeros(0, np.int32)]
+    for at in range(0, len(joined.dictionary), ENCODED_AT_ONCE):  # ids as numbers, not as Python's lists of all words
+        words = joined.dictionary.slice(at, ENCODED_AT_ONCE).to_pylist()
+        own = [e.ids for e in _tokenizer(tokenizer).encode_batch(words, add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, own), np.int32, len(own)))
+        ids.append(np.fromiter(chain.from_iterable(own), np.int32))
+    ends = np.cumsum(np.concatenate(sizes), dtype=np.int64)
+    table = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
     answers, at = [], 0
     for block in asked:
         mine = table.take(joined.indices.slice(at, len(block)))
@@ -209,12 +226,14 @@ def _finished(docs: DataFrame, key: str, text_col: str, tokenizer: str | None, d
     def assembled(pack: pa.Table, replies: pa.Table) -> pa.Table:
         row = {name: pack.column(name)[0].as_py() for name in ("rows", "numbers", "times")}
         rows = from_ipc(row["rows"])
-        numbers = np.argsort(-expand(row["times"], np.int32), kind="stable")[_decoded(row["numbers"])]
+        numbers = np.argsort(-expand(row["times"], np.int32), kind="stable").astype(np.int32)[_decoded(row["numbers"])]
         blocks = [from_ipc(b).to_pylist()[0] for b in in_order(replies)]
         none = np.zeros(0, np.int32)
         sizes, values = (np.concatenate([none, *(expand(b[name], np.int32) for b in blocks)]) for name in ("size", "ids"))
         ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values))
-        return _documents(rows, numbers, ids, vocabulary.value, digest)
+        told = _documents(rows, numbers, ids, vocabulary.value, digest)
+        release()
+        return told
 
     out_type = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded binary"
     schema = f"`{key}` {key_type.simpleString()}, {out_type}"

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rejoinder.llm.text import release
 from rejoinder.session import scratch_path
 
 PACK_BYTES = 24 << 20
@@ -63,8 +64,10 @@ def gather(batches: Iterator[pa.RecordBatch], text_bytes: Callable[[pa.RecordBat
         if size >= most:
             yield pa.Table.from_batches(waiting)
             waiting, size = [], 0
+            release()
     if waiting:
         yield pa.Table.from_batches(waiting)
+    release()
 
 
 def written_packs(packs: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -84,13 +87,9 @@ def answered(questions: DataFrame, answer: Callable[[list[bytes]], list[bytes]])
 
     def run(table: pa.Table) -> pa.Table:
         blocks = table.column("block").to_pylist()
-        return pa.table(
-            {
-                "pack_id": table.column("pack_id"),
-                "bucket": table.column("bucket"),
-                "block": pa.array(answer(blocks), pa.binary()),
-            }
-        )
+        answers = pa.array(answer(blocks), pa.binary())
+        release()
+        return pa.table({"pack_id": table.column("pack_id"), "bucket": table.column("bucket"), "block": answers})
 
     return questions.groupBy("bucket").applyInArrow(run, BLOCK_SCHEMA)
 

@@ -44,6 +44,12 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0] : at[-1]], at - at[0]
 
 
+def release() -> None:
+    """Give freed memory back to the machine; else a Python worker keeps what its largest batch took for all later stages."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()  # that of malloc, which numpy takes from
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The rows of ``batch`` in runs of about ``most_bytes`` of text; a longer text is a run of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -52,6 +58,7 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
     for start, end in zip(edges, edges[1:], strict=False):
         if end > start:
             yield batch.slice(start, end - start)
+    release()
 
 
 def powers(n: int, base: int = int(BASE)) -> np.ndarray:

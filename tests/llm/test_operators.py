@@ -6,10 +6,12 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +87,45 @@ def test_bpe(docs, rows):
         assert known.encode(r.decoded.decode(), add_special_tokens=False).ids == r.ids
 
 
+def test_bpe_takes_some_words_at_a_time(docs, monkeypatch):
+    """Hashes, counts and ids are the same however many words are taken at once, and memory doesn't follow their number."""
+    texts = [f"w{i} " * 3 + f"é{i}" for i in range(60)] + ["", "a"]
+    batches = [pa.RecordBatch.from_pydict({"key": [i], "words": pa.array([t.split(" ")[:-1]], pa.list_(pa.string()))}) for i, t in enumerate(texts)]
+    batches += [pa.RecordBatch.from_pydict({"key": [-1], "words": pa.array([[]], pa.list_(pa.string()))})]
+
+    def told():
+        packs = list(bpe._packed(iter(batches), "key", "words"))
+        asked = [row["block"] for batch in bpe._asked(iter(packs), 3) for row in batch.to_pylist()]
+        none = list(bpe._packed(iter(batches[-1:]), "key", "words"))
+        return [{k: v for k, v in p.to_pylist()[0].items() if k != "pack_id"} for p in packs + none], bpe._encoded(asked, bpe.tokenizer_json())
+
+    want, digests = told(), sorted(bpe.encode_digests(docs).collect(), key=str)
+    monkeypatch.setattr(bpe, "WORDS_AT_ONCE", 2)
+    monkeypatch.setattr(bpe, "ENCODED_AT_ONCE", 7)
+    assert told() == want
+    assert sorted(bpe.encode_digests(docs).collect(), key=str) == digests
+
+
+def test_bpe_memory_of_many_distinct_words():
+    words = pa.array([f" word{i:x} of{i}" for i in range(60_000)])
+    tokenizer = bpe.tokenizer_json()
+    bpe._encoded([to_ipc(pa.table({"word": words.slice(0, 10)}))], tokenizer)
+
+    def peak(run) -> float:
+        tracemalloc.start()
+        try:
+            run()
+            return tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    block = to_ipc(pa.table({"word": words}))
+    assert peak(lambda: bpe._encoded([block], tokenizer)) < 15  # 27 with Python's lists of all words
+    many = pa.concat_arrays([words, pc.binary_join_element_wise(words, "x", "")])
+    many = pa.concat_arrays([many, pc.binary_join_element_wise(many, "yy", "")])
+    assert peak(lambda: bpe._word_hashes(many)) < 60  # 111 at once
+
+
 def test_secrets(spark, docs, rows, tmp_path):
     assign = re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     want = Counter()
