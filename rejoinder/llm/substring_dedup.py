@@ -31,11 +31,13 @@ from rejoinder.llm.packs import (
     BLOCK_SCHEMA, answered, bucket_count, bucket_edges, expand, from_ipc, in_order, new_pack_id, squeeze,
     to_ipc, written_packs,
 )
-from rejoinder.llm.text import BASE, BLANK_SEPARATED, U64, Words, flat, inside_text, least_of, mix, slices, windows
+from rejoinder.llm.text import BASE, BLANK_SEPARATED, U64, Words, flat, inside_text, least_of, mix, release, slices, windows
 from rejoinder.session import scratch_path, written
 
 WINDOW = 13
 PACK_BYTES = 8 << 20
+#: Words, windows or hashes looked at together inside a pack or a bucket; changes no result.
+AT_ONCE = 1 << 17
 #: Stands for a missing id; larger than every id.
 NO_ID = np.iinfo(np.int64).max
 PACK_SCHEMA = "pack_id string, n_bytes bigint, rows binary"
@@ -72,36 +74,48 @@ class Pack:
         self.ids = ids.cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
         self.data, self.offsets = flat(table.column("text"))
         self.words = Words(self.data, self.offsets, BLANK_SEPARATED)
-        self.owner = np.repeat(np.arange(len(self.ids)), np.diff(self.words.first))
+        self.owner = np.repeat(np.arange(len(self.ids), dtype=np.int32), np.diff(self.words.first))
+
+    def windows(self, n: int) -> np.ndarray:
+        """``windows`` of all words, made some at a time."""
+        hashes = self.words.hash
+        out = np.empty(max(0, len(hashes) - n + 1), U64)
+        for a in range(0, len(out), AT_ONCE):
+            out[a : a + AT_ONCE] = windows(hashes[a : a + AT_ONCE + n - 1], n)
+        return out
 
     def halves(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts of all windows of ``n`` words, and the place of the half window that speaks for each."""
         half = -(-n // 2)
-        start = np.flatnonzero(inside_text(self.words.first, n))
-        self.half = windows(self.words.hash, half)
-        key = np.minimum(self.half >> U64(24), U64((1 << 39) - 1)) << U64(24)
-        # of equal hashes the leftmost; places only count within a window, so 24 bits may wrap between windows
-        place = np.arange(len(key), dtype=U64) & U64((1 << 24) - 1)
-        chosen = least_of(key | place, n - half + 1) & U64((1 << 24) - 1)
-        base = start & ~((1 << 24) - 1)
-        at = base + chosen[start].astype(np.int64)
-        return start, np.where(at < start, at + (1 << 24), at)
+        start = np.flatnonzero(inside_text(self.words.first, n)).astype(np.int32)
+        self.half = self.windows(half)
+        chosen = np.empty(max(0, len(self.half) - (n - half)), np.int32)
+        for a in range(0, len(chosen), AT_ONCE):
+            some = self.half[a : a + AT_ONCE + n - half]
+            key = np.minimum(some >> U64(24), U64((1 << 39) - 1)) << U64(24)
+            key |= np.arange(len(key), dtype=U64)  # of equal hashes the leftmost
+            chosen[a : a + AT_ONCE] = a + (least_of(key, n - half + 1) & U64((1 << 24) - 1)).astype(np.int64)
+        return start, chosen[start]
 
     def question(self, level: int, lengths: list[int], answers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash of each asked window, its start, place of its hash among the sorted distinct ones) of one level."""
         if level == 0:
-            start, at = self.halves(lengths[1])
-            self.start, self.speaker = start, at
-            asked = np.unique(at)
-            hashes = self.half[asked]
+            self.start, self.speaker = self.halves(lengths[1])
+            speaks = np.zeros(len(self.half), bool)
+            speaks[self.speaker] = True
+            asked = np.flatnonzero(speaks).astype(np.int32)
+            # speakers have small hashes, which would meet in the first buckets; mixed once more they are spread
+            hashes = mix(self.half[asked])
+            self.half = None
         else:
             _, before_start, before_place = self.asked[level - 1]
-            code = answers[level - 1][before_place]
-            shared = np.zeros(len(self.half), bool)
-            shared[before_start] = (code & SHARED) > 0
+            shared = np.zeros(len(self.words), bool)
+            shared[before_start[(answers[level - 1][before_place] & SHARED) > 0]] = True
             asked = self.start[shared[self.speaker]]
-            hashes = windows(self.words.hash, lengths[level])[asked]
-        _, place = np.unique(hashes, return_inverse=True)
+            hashes = self.windows(lengths[level])[asked]
+        order = np.argsort(hashes)
+        place = np.empty(len(order), np.int32)
+        place[order] = np.cumsum(_first_of_equals(hashes[order]), dtype=np.int32) - 1
         return hashes, asked, place
 
     def ask(self, lengths: list[int], answers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,16 +124,20 @@ class Pack:
         for level in range(len(answers) + 1):
             self.asked.append(self.question(level, lengths, answers))
         hashes, start, place = self.asked[-1]
-        ids = self.ids[self.owner[start]]
-        order = np.lexsort((ids, place))
-        edge = np.searchsorted(place[order], np.arange(place.max(initial=-1) + 1))
-        distinct = hashes[order][edge] if len(edge) else np.zeros(0, U64)
-        least = ids[order][edge] if len(edge) else np.zeros(0, np.int64)
-        owner = self.owner[start][order]
-        several = np.zeros(len(edge), bool)
-        change = np.flatnonzero((owner[1:] != owner[:-1]) & (place[order][1:] == place[order][:-1]))
-        several[place[order][change]] = True
-        return distinct, least, several
+        if not len(start):
+            return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, bool)
+        order = np.argsort(place)
+        edge = np.flatnonzero(_first_of_equals(place[order]))
+        owner = self.owner[start[order]]
+        several = np.minimum.reduceat(owner, edge) < np.maximum.reduceat(owner, edge)
+        return hashes[order[edge]], np.minimum.reduceat(self.ids[owner], edge), several
+
+
+def _first_of_equals(values: np.ndarray) -> np.ndarray:
+    """For sorted values: whether each is the first of its kind."""
+    first = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return first
 
 
 def _blocks(pack_id: str, asked: tuple[np.ndarray, np.ndarray, np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -135,15 +153,37 @@ def _answer(blocks: list[bytes]) -> list[bytes]:
     """For each hash asked: whether a document with a smaller id than any of the asking pack's holds it, and whether several do."""
     asked = [from_ipc(b).to_pylist()[0] for b in blocks]
     hashes = [expand(a["hash"], np.uint64) for a in asked]
-    least = np.concatenate([expand(a["least"], np.int64) for a in asked])
-    several = np.concatenate([expand(a["several"], bool) for a in asked])
-    _, group, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    least = [expand(a["least"], np.int64) for a in asked]
+    several = [expand(a["several"], bool) for a in asked]
+    codes = [np.empty(len(h), np.uint8) for h in hashes]
+    for cuts in _ranges(hashes):
+        code = _coded(*(np.concatenate([part[cut] for part, cut in zip(x, cuts, strict=True)]) for x in (hashes, least, several)))
+        ends = np.cumsum([cut.stop - cut.start for cut in cuts])
+        for own, cut, end in zip(codes, cuts, ends, strict=True):
+            own[cut] = code[end - (cut.stop - cut.start) : end]
+    return [squeeze(own) for own in codes]
+
+
+def _ranges(hashes: list[np.ndarray]) -> Iterator[list[slice]]:
+    """Where each of equal ranges of the hash lies in each of the sorted arrays; a range has about ``AT_ONCE`` hashes of all arrays."""
+    ranges = -(-sum(map(len, hashes)) // AT_ONCE)
+    low, high = int(min(h[0] for h in hashes)), int(max(h[-1] for h in hashes))
+    inner = np.array([low + (high - low) * k // ranges for k in range(1, ranges)], U64)
+    begin = [0] * len(hashes)
+    for upper in inner:
+        end = [int(np.searchsorted(h, upper)) for h in hashes]
+        yield list(map(slice, begin, end))
+        begin = end
+    yield list(map(slice, begin, map(len, hashes)))
+
+
+def _coded(hashes: np.ndarray, least: np.ndarray, several: np.ndarray) -> np.ndarray:
+    _, group, count = np.unique(hashes, return_inverse=True, return_counts=True)
     smallest = np.full(len(count), NO_ID)
     np.minimum.at(smallest, group, least)
     shared = count > 1
     shared[group[several]] = True
-    code = (smallest[group] < least) * EARLIER + shared[group] * SHARED
-    return [squeeze(part.astype(np.uint8)) for part in np.split(code, np.cumsum([len(h) for h in hashes])[:-1])]
+    return ((smallest[group] < least) * EARLIER + shared[group] * SHARED).astype(np.uint8)
 
 
 def _codes(replies: pa.Table, level: int) -> np.ndarray:
@@ -176,6 +216,7 @@ def _first_questions(lengths: list[int], buckets: int):
         for batch in batches:
             for pack_id, rows in zip(batch["pack_id"].to_pylist(), batch["rows"].to_pylist(), strict=True):
                 yield from _blocks(pack_id, Pack(rows).ask(lengths, []), buckets)
+                release()
 
     return run
 
@@ -189,29 +230,35 @@ def _later_questions(lengths: list[int], level: int, buckets: int):
             for pack_id, rows in zip(pack.column("pack_id").to_pylist(), pack.column("rows").to_pylist(), strict=True)
             for batch in _blocks(pack_id, Pack(rows).ask(lengths, [_codes(replies, k) for k in range(level)]), buckets)
         ]
+        release()
         return pa.Table.from_batches(out, arrow)
 
     return run
 
 
+def _decided(own: Pack, pack_id: str, codes: list[np.ndarray], lengths: list[int]) -> tuple[Pack, np.ndarray, str, Windows]:
+    """A pack, whether each of its words is removed, its id, and its windows that another row shares."""
+    _, least, _ = own.ask(lengths, codes[:1])
+    hashes, start, place = own.asked[1]
+    own.start = own.speaker = own.asked = None
+    code = codes[1][place]
+    # a pack's smallest holder is not covered unless a document outside the pack comes earlier
+    gone = start[((code & EARLIER) > 0) | (own.ids[own.owner[start]] > least[place])]
+    covered = np.zeros(len(own.words) + 1, np.int32)
+    covered[gone] += 1  # every window has its own start
+    covered[gone + lengths[1]] -= 1
+    np.cumsum(covered, out=covered)
+    repeated = (code & SHARED) > 0
+    at = start[repeated].astype(np.int64)
+    return own, covered[:-1] > 0, pack_id, (at, own.owner[at], hashes[repeated])
+
+
 def _result(packs: DataFrame, answers: DataFrame, lengths: list[int], finish, schema: str) -> DataFrame:
     def run(pack: pa.Table, replies: pa.Table) -> pa.Table:
         ((pack_id, rows),) = zip(pack.column("pack_id").to_pylist(), pack.column("rows").to_pylist(), strict=True)
-        own = Pack(rows)
-        codes = [_codes(replies, k) for k in range(2)]
-        own.ask(lengths, codes[:1])
-        hashes, start, place = own.asked[1]
-        code = codes[1][place]
-        covered = np.zeros(len(own.words) + 1, np.int64)
-        # a pack's smallest holder is not covered unless a document outside the pack comes earlier
-        least = np.full(len(codes[1]), NO_ID)
-        ids = own.ids[own.owner[start]]
-        np.minimum.at(least, place, ids)
-        gone = start[((code & EARLIER) > 0) | (ids > least[place])]
-        np.add.at(covered, gone, 1)
-        np.add.at(covered, gone + lengths[1], -1)
-        repeated = np.flatnonzero((code & SHARED) > 0)
-        return finish(own, np.cumsum(covered)[:-1] > 0, pack_id, (start[repeated], own.owner[start[repeated]], hashes[repeated]))
+        told = finish(*_decided(Pack(rows), pack_id, [_codes(replies, k) for k in range(2)], lengths))
+        release()
+        return told
 
     return packs.select("pack_id", "rows").groupBy("pack_id").cogroup(answers.groupBy("pack_id")).applyInArrow(run, schema)
 
@@ -311,13 +358,16 @@ def _kept_texts(own: Pack, removed: np.ndarray) -> Iterator[memoryview]:
         if a == b:
             yield memoryview(b"")
             continue
-        mine = kept[a:b]
-        start, length = w.start[mine], w.end[mine] - w.start[mine]
-        begin = np.cumsum(length + 1) - (length + 1)
-        out = np.full(int(begin[-1] + length[-1]), 32, np.uint8)
-        shift = np.repeat(begin - start, length)
-        source = np.arange(len(shift)) + np.repeat(start - (np.cumsum(length) - length), length)
-        out[source + shift] = data[source]
+        size = w.end[kept[a:b]] - w.start[kept[a:b]]
+        out, filled = np.full(int(size.sum()) + int(b - a) - 1, 32, np.uint8), 0
+        for at in range(a, b, AT_ONCE):
+            mine = kept[at : min(b, at + AT_ONCE)]
+            start, length = w.start[mine], w.end[mine] - w.start[mine]
+            begin = filled + np.cumsum(length + 1) - (length + 1)
+            shift = np.repeat(begin - start, length)
+            source = np.arange(len(shift)) + np.repeat(start - (np.cumsum(length) - length), length)
+            out[source + shift] = data[source]
+            filled = int(begin[-1] + length[-1]) + 1
         yield memoryview(out)
 
 

@@ -20,9 +20,9 @@ from rejoinder.llm import (
 )
 from rejoinder.llm.columns import fresh
 from rejoinder.llm.components import components
-from rejoinder.llm.packs import bucket_edges, to_ipc
+from rejoinder.llm.packs import bucket_edges, expand, squeeze, to_ipc
 from rejoinder.llm.suffix_array import collection_bwt, repeated_starts
-from rejoinder.llm.text import mix
+from rejoinder.llm.text import mix, windows
 from rejoinder.operators.joins import top_per
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, h string, score double, size int"
@@ -197,6 +197,65 @@ def test_passages(docs, rows, pack_bytes):
     assert sum(n for (_, size), n in longest.items() if size >= 52) >= 8  # the passage of 60 words
 
 
+def _word_pack(texts):
+    return substring_dedup.Pack(to_ipc(pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})))
+
+
+def test_half_windows_spread_over_the_buckets():
+    chance = random.Random(5)
+    pack = _word_pack([" ".join("".join(chance.choices("abcdefgh", k=5)) for _ in range(2000)) for _ in range(40)])
+    sizes = np.diff(bucket_edges(pack.ask([7, 13], [])[0], 16))
+    assert sizes.min() > 0 and sizes.max() < 2 * sizes.mean()
+
+
+@pytest.mark.parametrize("at_once", [1, 5, 1 << 17])
+def test_questions_and_answers_some_at_a_time(monkeypatch, at_once):
+    monkeypatch.setattr(substring_dedup, "AT_ONCE", at_once)
+    chance = random.Random(6)
+    texts = ["".join(chance.choices(["a", "b", " "], k=k)) for k in (0, 3, 40, 200, 90, 400)] + [" ".join("abcdefg") * 9] * 2
+    pack = _word_pack(texts)
+    assert [bytes(t).decode() for t in substring_dedup._kept_texts(pack, np.zeros(len(pack.words), bool))] == [" ".join(t.split()) for t in texts]
+    plain = windows(pack.words.hash, 4)
+    assert list(pack.windows(4)) == list(plain)
+    start, at = pack.halves(7)
+    assert [int(x) for x in at] == [s + min(range(4), key=lambda k: (min(int(plain[s + k]) >> 24, (1 << 39) - 1), k)) for s in start.tolist()]
+    held = [sorted(chance.sample(range(1 << 60, (1 << 60) + 300), k)) for k in (1, 120, 60, 250)]
+    ids = [[chance.randrange(5) for _ in h] for h in held]
+    several = [[chance.random() < 0.2 for _ in h] for h in held]
+    blocks = [
+        to_ipc(pa.table({"hash": [squeeze(np.array(h, np.uint64))], "least": [squeeze(np.array(i, np.int64))], "several": [squeeze(np.array(m, bool))]}))
+        for h, i, m in zip(held, ids, several, strict=True)
+    ]
+    told = defaultdict(list)
+    for h, i, m in zip(held, ids, several, strict=True):
+        for x in zip(h, i, m, strict=True):
+            told[x[0]].append(x[1:])
+    want = [
+        [(min(told[x])[0] < i) * substring_dedup.EARLIER + (len(told[x]) > 1 or told[x][0][1]) * substring_dedup.SHARED for x, i in zip(h, own, strict=True)]
+        for h, own in zip(held, ids, strict=True)
+    ]
+    assert [list(expand(b, np.uint8)) for b in substring_dedup._answer(blocks)] == want
+
+
+def test_memory_of_passages():
+    """Numpy's largest amount for questions and answers: about 100 bytes for each word of a pack, 30 for each hash of a bucket."""
+
+    def most(f, *args) -> int:
+        tracemalloc.start()
+        f(*args)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return peak
+
+    chance = np.random.default_rng(7)
+    hashes = [np.sort(chance.integers(0, 1 << 62, 500_000, np.uint64)) for _ in range(3)]
+    blocks = [to_ipc(pa.table({"hash": [squeeze(h)], "least": [squeeze(np.arange(len(h)))], "several": [squeeze(np.zeros(len(h), bool))]})) for h in hashes]
+    assert most(substring_dedup._answer, blocks) < 40 * 1_500_000
+    words = chance.integers(0, 5000, 1_000_000).astype(str)
+    pack = _word_pack([" ".join(words[at : at + 1000]) for at in range(0, len(words), 1000)])
+    assert most(pack.ask, [7, 13], []) < 70 * len(pack.words)
+
+
 @pytest.mark.parametrize("most", [20_000, 1])
 def test_bytes(docs, rows, most):  # 1: the way taken where one speaker has too many segments
     texts = [(i, (t or "").encode()) for i, t in rows]
